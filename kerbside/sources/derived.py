@@ -115,23 +115,22 @@ def _names_used(sql: str, names) -> list[str]:
     return [name for name in names if re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", sql)]
 
 
-def derived_ctes(*names: str) -> str:
-    """WITH-list (without the word WITH) of the named derived tables and those they are built on."""
+def with_list(sql: str, tables: dict[str, str]) -> str:
+    """The entries of ``tables`` that ``sql`` is built on, as a WITH-list (without the word WITH) in their order."""
     needed: list[str] = []
 
-    def visit(name: str) -> None:
-        for parent in _names_used(DERIVED_SQL[name], DERIVED_SQL):
-            visit(parent)
-        if name not in needed:
-            needed.append(name)
+    def visit(text: str) -> None:
+        for name in _names_used(text, tables):
+            visit(tables[name])
+            if name not in needed:
+                needed.append(name)
 
-    for name in names:
-        visit(name)
-    return ",\n".join(f"{name} AS ({DERIVED_SQL[name].strip()})" for name in needed)
+    visit(sql)
+    return ",\n".join(f"{name} AS ({tables[name].strip()})" for name in needed)
 
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The derived table ``name`` over the parquet files below ``sf_dir``."""
-    body = derived_ctes(name)
+    body = with_list(f"FROM {name}", DERIVED_SQL)
     base = [f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in _names_used(body, BASE_TABLES)]
     return spark.sql("WITH " + ",\n".join([*base, body]) + f"\nSELECT * FROM {name}")
