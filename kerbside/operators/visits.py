@@ -126,7 +126,8 @@ def match_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
     paired = planned.withColumns(keys).join(spots, [*keys, *HALF_DAY]).drop(*keys)
     expected = F.col("expected_time")
     micros = F.array_min(F.transform("minutes", lambda s: _micros_apart(s, expected)))
-    return paired.withColumn("gap", F.floor(micros / MICROS_PER_MINUTE).cast("int"))
+    gap = F.when(expected.isNotNull(), F.floor(micros / MICROS_PER_MINUTE).cast("int"))
+    return paired.withColumn("gap", gap)
 
 
 def closest_visits(trips: DataFrame, visits: DataFrame, first_if_unplanned: bool = False) -> DataFrame:

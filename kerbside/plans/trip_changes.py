@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,12 +110,50 @@ def _paired_routes(pending: Snapshot, plan: Snapshot, fixes: Fixes) -> tuple[Dat
     return enriched[0], enriched[1], paired.select(key, "*")
 
 
-def route_diff(
-    pending: Snapshot, plan: Snapshot, thresholds: Thresholds = Thresholds(), fixes: Fixes = Fixes()
-) -> DataFrame:
-    """One row per route of either snapshot with difference, new and old text of 14 attributes."""
+class _Comparison:
+    """Collects the columns of the 14 attributes, whether any changed, and whether any has a text to show.
+
+    The two flags are used as filters. They are written over the source columns and never repeat the expression of an
+    output column: Catalyst derives a constraint for every mix of an expression and its alias in a filter, and that
+    number doubles with each attribute.
+    """
+
+    def __init__(self, text_of, any_change: str):
+        self.columns: dict[str, Column] = {}
+        self.noted: list[Column] = []
+        self._amounts: list[Column] = []
+        self._text_of = text_of
+        self._any_change = any_change
+
+    def put(self, name: str, diff: Column, amount: Column, shown: Column, added: Column, removed: Column) -> None:
+        self.columns[f"{name}_diff"] = diff
+        self.columns[f"{name}_added"] = F.when(shown, added).otherwise("")
+        self.columns[f"{name}_removed"] = F.when(shown, removed).otherwise("")
+        self._amounts.append(F.abs(amount) if self._any_change == "abs" else amount)
+        self.noted.append(shown & ((added != "") | (removed != "")))
+
+    def put_unequal(self, name: str, before: Column, after: Column, old_text: Column, new_text: Column) -> None:
+        unequal = after != before
+        self.put(name, unequal.cast("int"), F.when(unequal, 1.0).otherwise(0.0), unequal, new_text, old_text)
+
+    def put_number(self, name: str, column: str, shown_above: float | None, text=None) -> None:
+        """A signed difference, shown if it grew or, with a limit, if it is larger either way."""
+        new, old = F.col(f"{column}_plan"), F.col(f"{column}_pend")
+        change = new.cast("double") - old.cast("double")
+        shown = change > 0 if shown_above is None else F.abs(change) > shown_above
+        texts = [(text or self._text_of)(f"{column}_{side}") for side in ("plan", "pend")]
+        self.put(name, new - old, F.coalesce(change, F.lit(0.0)), shown, *texts)
+
+    @property
+    def any_change(self) -> Column:
+        return reduce(add, self._amounts) > 0
+
+
+def _compare_routes(pending: Snapshot, plan: Snapshot, thresholds: Thresholds, fixes: Fixes) -> DataFrame:
+    """``route_diff`` with the extra flag ``noted``: is there a text to show."""
     old_routes, new_routes, paired = _paired_routes(pending, plan, fixes)
     routes = join_on(paired, stop_changes(pending, plan), null_safe=["visible_route_id"])
+    seen = _Comparison(lambda name: number_text(routes, name), fixes.any_change)
 
     def old(name: str) -> Column:
         return F.col(f"{name}_pend")
@@ -121,82 +161,66 @@ def route_diff(
     def new(name: str) -> Column:
         return F.col(f"{name}_plan")
 
-    columns: dict[str, Column] = {}
-
-    def put(name: str, diff: Column, shown: Column, added: Column, removed: Column) -> None:
-        columns[f"{name}_diff"] = diff
-        columns[f"{name}_added"] = F.when(shown, added).otherwise("")
-        columns[f"{name}_removed"] = F.when(shown, removed).otherwise("")
-
-    def put_unequal(name: str, before: Column, after: Column, old_text: Column, new_text: Column) -> None:
-        diff = (after != before).cast("int")
-        put(name, diff, diff > 0, new_text, old_text)
-
-    def put_number(name: str, column: str, shown_from: float | None, text=None) -> None:
-        diff = new(column) - old(column)
-        shown = diff > 0 if shown_from is None else F.abs(diff) > shown_from
-        texts = [
-            text(F.col(f"{column}_{side}")) if text else number_text(routes, f"{column}_{side}")
-            for side in ("plan", "pend")
-        ]
-        put(name, diff, shown, *texts)
-
     only_new = new("record_id").isNotNull() & old("record_id").isNull()
     only_old = old("record_id").isNotNull() & new("record_id").isNull()
-    columns["route_diff"] = (only_new | only_old).cast("int")
-    columns["route_added"] = F.when(only_new, new("record_id").cast("string")).otherwise("")
-    columns["route_removed"] = F.when(only_old, old("record_id").cast("string")).otherwise("")
+    one_sided = only_new | only_old
+    id_text = [F.when(only, side("record_id").cast("string")).otherwise("") for only, side in ((only_new, new), (only_old, old))]
+    seen.put("route", one_sided.cast("int"), F.when(one_sided, 1.0).otherwise(0.0), one_sided, *id_text)
 
     before = direction_code(old("anchor_time_at_origin"))
-    after = direction_code(new("anchor_time_at_origin") if fixes.direction else old("anchor_time_at_origin"))
-    put_unequal("direction", before, after, before, after)
+    if fixes.direction:
+        after = direction_code(new("anchor_time_at_origin"))
+        seen.put_unequal("direction", before, after, before, after)
+    else:
+        # Both directions come from the pending plan: known ones are equal, so no text is ever shown.
+        seen.put("direction", F.when(before.isNotNull(), 0), F.lit(0.0), F.lit(False), before, before)
     for name, compared, shown in (
         ("route_name", "name", "name"),
         ("route_set", "route_set_id", "route_set"),
         ("days", "days", "days"),
         ("anchor_location", "anchor_point_id", "anchor_location"),
     ):
-        put_unequal(name, old(compared), new(compared), old(shown), new(shown))
-    put_number("anchor_time", "anchor_time_s", None, clock_text)
+        seen.put_unequal(name, old(compared), new(compared), old(shown), new(shown))
+    seen.put_number("anchor_time", "anchor_time_s", None, lambda name: clock_text(F.col(name)))
     for name in ("vehicle", "yard"):
-        put_unequal(name, old(name), new(name), old(name), new(name))
-    columns["stops_diff"] = F.coalesce("n_stops_changed", F.lit(0))
-    columns["stops_added"] = F.coalesce("stops_added", F.lit(""))
-    columns["stops_removed"] = F.coalesce("stops_removed", F.lit(""))
-    put_number("desired_load", "desired_load", None)
-    put_number("actual_load", "actual_load", thresholds.load)
-    put_number("route_distance", "route_distance", thresholds.distance)
-    put_number("route_time", "route_time_s", thresholds.minutes * 60)
-
-    diffs = routes.select("visible_route_id", *[c.alias(n) for n, c in columns.items()])
-    amounts = [F.coalesce(F.col(f"{v}_diff"), F.lit(0)) for v in VARIABLES]
-    if fixes.any_change == "abs":
-        amounts = [F.abs(a) for a in amounts]
-    total = sum(amounts[1:], amounts[0])
-    flagged = diffs.withColumns({"any_change": total > 0, "__number": route_number(F.col("visible_route_id"))})
+        seen.put_unequal(name, old(name), new(name), old(name), new(name))
+    n_stops = F.coalesce("n_stops_changed", F.lit(0))
+    stop_texts = [F.coalesce(c, F.lit("")) for c in ("stops_added", "stops_removed")]
+    seen.put("stops", n_stops, n_stops.cast("double"), F.col("n_stops_changed").isNotNull(), *stop_texts)
+    seen.put_number("desired_load", "desired_load", None)
+    seen.put_number("actual_load", "actual_load", thresholds.load)
+    seen.put_number("route_distance", "route_distance", thresholds.distance)
+    seen.put_number("route_time", "route_time_s", thresholds.minutes * 60)
+
+    diffs = routes.select(
+        "visible_route_id",
+        *[c.alias(n) for n, c in seen.columns.items()],
+        seen.any_change.alias("any_change"),
+        F.coalesce(reduce(or_, seen.noted), F.lit(False)).alias("noted"),
+        route_number(F.col("visible_route_id")).cast("bigint").alias("__number"),
+    )
     old_rule = old_change_rule(old_routes, new_routes, fixes.old_rule_key)
-    if fixes.old_rule_key == "visible_route_id":
-        old_rule = old_rule.withColumn("route", route_number(F.col("route")))
-    members = old_rule.select(F.col("route").cast("bigint").alias("route"))
-    known = with_membership(
-        flagged.withColumn("__number", F.col("__number").cast("bigint")), "__number", members, "route", "in_old_rule"
+    number = F.col("route").try_cast("double").try_cast("bigint")
+    return with_membership(diffs, "__number", old_rule.select(number.alias("route")), "route", "in_old_rule").drop(
+        "__number"
     )
-    return known.drop("__number")
+
+
+def route_diff(
+    pending: Snapshot, plan: Snapshot, thresholds: Thresholds = Thresholds(), fixes: Fixes = Fixes()
+) -> DataFrame:
+    """One row per route of either snapshot with difference, new and old text of 14 attributes."""
+    return _compare_routes(pending, plan, thresholds, fixes).drop("noted")
 
 
 def change_long(diffs: DataFrame) -> DataFrame:
     """Changed routes in long form: one row per route and attribute with its difference, new and old text."""
-    entries = [
-        F.struct(
-            F.lit(position).alias("position"),
-            F.lit(published).alias("variable"),
-            F.col(f"{name}_diff").cast("double").alias("diff"),
-            F.col(f"{name}_added").alias("added"),
-            F.col(f"{name}_removed").alias("removed"),
-        )
-        for position, (name, published) in enumerate(VARIABLES.items())
-    ]
-    return diffs.filter("any_change").select("visible_route_id", F.inline(F.array(*entries)))
+    cells: list[Column] = []
+    for position, (name, published) in enumerate(VARIABLES.items()):
+        diff = F.col(f"{name}_diff").cast("double")
+        cells += [F.lit(position), F.lit(published), diff, F.col(f"{name}_added"), F.col(f"{name}_removed")]
+    rows = F.stack(F.lit(len(VARIABLES)), *cells).alias("position", "variable", "diff", "added", "removed")
+    return diffs.filter("any_change").select("visible_route_id", rows)
 
 
 def _note(variable: str | Column, added: Column, removed: Column) -> Column:
@@ -226,15 +250,12 @@ def tripchange_report(
     A snapshot holds a visible route id once, so the notes of a route are those of its row and need no further
     shuffle. Set ``repeated_routes`` if ids repeat: all rows of an id then share the notes of all of them.
     """
-    changed = route_diff(pending, plan, thresholds, fixes).filter("any_change")
+    compared = _compare_routes(pending, plan, thresholds, fixes).filter("any_change")
+    changed = compared.drop("noted")
     if repeated_routes:
         return join_on(changed, change_notes(change_long(changed)), null_safe=["visible_route_id"], how="inner")
-    notes = F.array_compact(
-        F.array(*[_note(v, F.col(f"{n}_added"), F.col(f"{n}_removed")) for n, v in VARIABLES.items()])
-    )
-    return changed.withColumn("notes", F.nullif(F.array_join(notes, ";\n"), F.lit(""))).filter(
-        F.col("notes").isNotNull()
-    )
+    notes = [_note(v, F.col(f"{n}_added"), F.col(f"{n}_removed")) for n, v in VARIABLES.items()]
+    return compared.filter("noted").drop("noted").withColumn("notes", F.concat_ws(";\n", *notes))
 
 
 def published_changes(report: DataFrame) -> DataFrame:

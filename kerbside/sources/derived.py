@@ -7,6 +7,7 @@ derived tables that stand before it. The schemas are listed in ``FIXTURES.md``.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -129,6 +130,7 @@ def with_list(sql: str, tables: dict[str, str]) -> str:
     return ",\n".join(f"{name} AS ({tables[name].strip()})" for name in needed)
 
 
+@lru_cache(maxsize=256)
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The derived table ``name`` over the parquet files below ``sf_dir``."""
     body = with_list(f"FROM {name}", DERIVED_SQL)
