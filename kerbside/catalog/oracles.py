@@ -23,12 +23,23 @@ _EXCLUDED = """CASE WHEN actual_load = 0 AND route_set_name <> 'CHARLESTOWN HS C
  WHEN regexp_matches(route_set_name, '(?i)horace mann afterschool pm') THEN true
  WHEN regexp_matches(route_set_name, '(?i)fsb bos collab all day') THEN true ELSE false END"""
 
-_PICK_ORDER = """(delay_combined > -10) ASC NULLS LAST, arrival_in_window DESC NULLS LAST,
- abs(delay_combined) ASC NULLS LAST, arrival ASC NULLS LAST, rp_vehicle ASC NULLS LAST, anchor_abbrev ASC NULLS LAST,
- zone ASC NULLS LAST, expected_time ASC NULLS LAST, gps_time ASC NULLS LAST, actual_time ASC NULLS LAST,
- delay_time ASC NULLS LAST, overnight_garage ASC NULLS LAST, gps_category ASC NULLS LAST, gps_duration ASC NULLS LAST,
- route_set_name ASC NULLS LAST, route_name ASC NULLS LAST, actual_load ASC NULLS LAST, days ASC NULLS LAST,
- original_rp_vehicle ASC NULLS LAST"""
+
+
+def _nearness(ts: str) -> str:
+    def minute(t: str) -> str:
+        return f"floor((epoch_us({t}) - epoch_us(CAST(c.effective_date AS TIMESTAMP))) / 60000000.0)"
+
+    apart = f"abs({minute(ts)} - {minute('expected_time')})"
+    micros = f"CASE WHEN {apart} > 0 THEN abs(epoch_us({ts}) - epoch_us(expected_time)) WHEN {ts} IS NOT NULL THEN 0 END"
+    return f"{apart} ASC NULLS LAST, {micros} ASC NULLS LAST, {ts} ASC NULLS LAST"
+
+
+_PICK_ORDER = f"""(delay_combined > -10) ASC NULLS LAST, arrival_in_window DESC NULLS LAST,
+ abs(delay_combined) ASC NULLS LAST, {_nearness("arrival")}, c.rp_vehicle ASC NULLS LAST,
+ anchor_abbrev ASC NULLS LAST, zone ASC NULLS LAST, expected_time ASC NULLS LAST, {_nearness("gps_time")},
+ gps_category ASC NULLS LAST, gps_duration ASC NULLS LAST, actual_time ASC NULLS LAST, delay_time ASC NULLS LAST,
+ overnight_garage ASC NULLS LAST, route_set_name ASC NULLS LAST, route_name ASC NULLS LAST,
+ actual_load ASC NULLS LAST, days ASC NULLS LAST, original_rp_vehicle ASC NULLS LAST"""
 
 _HALF_DAY = ("effective_date", "direction")
 _MATCHED = ("rp_vehicle", "anchor_abbrev")
@@ -70,7 +81,7 @@ SELECT p.* EXCLUDE (overnight_garage, original_rp_vehicle), regexp_replace(p.ove
  coalesce(p.anchor_abbrev IN (SELECT anchor_abbrev FROM zone_anchor), false) AS zone_known
 FROM (
 SELECT * FROM (SELECT c.*, o.original_rp_vehicle,
- row_number() OVER (PARTITION BY c.rp_route, c.effective_date, c.direction ORDER BY {_PICK_ORDER.replace("rp_vehicle ASC", "c.rp_vehicle ASC", 1)}) AS pick
+ row_number() OVER (PARTITION BY c.rp_route, c.effective_date, c.direction ORDER BY {_PICK_ORDER}) AS pick
  FROM {candidates} c LEFT JOIN override_clean o ON {_same("c", "o", "rp_route", "rp_vehicle", "effective_date")}) WHERE pick = 1) p
 LEFT JOIN uncovered_clean u ON coalesce(p.original_rp_vehicle, p.rp_vehicle) IS NOT DISTINCT FROM u.rp_vehicle
  AND p.ampm IS NOT DISTINCT FROM u.ampm AND p.route_set_name IS NOT DISTINCT FROM u.route_set_name AND p.effective_date = u.date
@@ -334,7 +345,7 @@ _FINAL: dict[str, str] = {
     "vehicle_override": "SELECT * FROM ovr_trips",
     "visit_anchor": "SELECT asset, zone, category, time_in, duration_s, anchor_abbrev FROM (SELECT DISTINCT asset, zone, category, time_in, duration_s FROM zone_visit) v LEFT JOIN anchored a ON v.zone IS NOT DISTINCT FROM a.name",
     "zone_known": "SELECT rp_route, rp_vehicle, effective_date, direction, anchor_abbrev, coalesce(anchor_abbrev IN (SELECT anchor_abbrev FROM zone_anchor), false) AS zone_known FROM trips_anchored",
-    "visit_match": "SELECT rp_vehicle, anchor_abbrev, rp_route, expected_time, effective_date, direction, zone, count(*) AS n_visits, min(abs(gps_delay)) AS gap FROM pairs GROUP BY ALL",
+    "visit_match": "SELECT rp_vehicle, anchor_abbrev, rp_route, expected_time, effective_date, direction, zone, gps_category, count(*) AS n_visits, min(abs(gps_delay)) AS gap FROM pairs GROUP BY ALL",
     "closest_visit": "SELECT * FROM closest",
     "arrival_choice": "SELECT rp_route, rp_vehicle, anchor_abbrev, effective_date, direction, expected_time, zone, gps_time, gps_delay, actual_time, delay_time, arrival, arrival_source, delay_combined, arrival_in_window FROM chosen",
     "otp_report": f"SELECT {_REPORT} FROM report",

@@ -208,7 +208,7 @@ def zone_known(t: Inputs) -> DataFrame:
 @query
 def visit_match(t: Inputs) -> DataFrame:
     clean = t.clean_trips()
-    return visits.match_visits(clean, t.placed_visits(clean)).drop("minutes")
+    return visits.match_visits(clean, t.placed_visits(clean)).drop("near")
 
 
 @query

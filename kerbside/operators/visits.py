@@ -4,9 +4,10 @@ A vehicle can be in a zone many times and serve many trips there, so the plain j
 pair. Only the closest visits count, and they are found without the pairs:
 
 1. visits are reduced to one row per vehicle, anchor, zone, half-day and minute (a combining aggregate), then to one
-   short sorted list of minutes per zone; a half-day has a bounded number of minutes, whatever the number of visits;
+   sorted list of minutes per zone; a half-day has a bounded number of minutes, whatever the number of visits;
 2. every distinct trip looks up the smallest gap in that list, and only the best trips of a group go on;
-3. the visits that have this gap are fetched by an equi-join that includes the minute.
+3. the report takes one visit per minute at that gap from the list itself; where all ties are asked for, they are
+   fetched by an equi-join that includes the minute.
 """
 
 from __future__ import annotations
@@ -84,79 +85,126 @@ def prepare_visits(visits: DataFrame, zones: DataFrame, anchored: DataFrame, win
     )
 
 
-def _minute() -> Column:
-    micros = micros_of_day(F.col("gps_time"), F.col("effective_date"))
-    return F.floor(micros / MICROS_PER_MINUTE)
+ZONE_KEY = ["rp_vehicle", "anchor_abbrev", "zone", "gps_category"]
 
 
-def _text_key(name: str) -> Column:
-    """A never-null text that is equal for equal values and for missing ones."""
-    return F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit(""))
+def _minute(ts: str) -> Column:
+    return F.floor(micros_of_day(F.col(ts), F.col("effective_date")) / MICROS_PER_MINUTE)
+
+
+def _text_keys(*names: str) -> dict[str, Column]:
+    """Never-null texts, equal for equal values and for missing ones."""
+    return {f"{name}_key": F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit("")) for name in names}
 
 
 def visit_minutes(visits: DataFrame) -> DataFrame:
-    """Per vehicle, anchor, zone and half-day: the minutes with a visit, with first and last visit time in each."""
-    zone_key = ["rp_vehicle", "anchor_abbrev", "zone", *HALF_DAY]
+    """Per vehicle, anchor, zone, category and half-day the sorted minutes with a visit.
+
+    Each minute has the first and the last visit in it. Of visits at the same moment the one with the smallest duration
+    counts, a missing one last.
+    """
+    duration = F.col("gps_duration")
+    first = F.min(F.struct("gps_time", duration.isNull().alias("unknown"), duration.alias("duration")))
+    last = F.max(F.struct("gps_time", duration.isNotNull().alias("known"), (-duration).alias("minus_duration")))
     by_minute = (
-        visits.withColumn("minute", _minute())
-        .groupBy(*zone_key, "minute")
-        .agg(F.min("gps_time").alias("first"), F.max("gps_time").alias("last"), F.count(F.lit(1)).alias("n"))
+        visits.withColumn("minute", _minute("gps_time"))
+        .groupBy(*ZONE_KEY, *HALF_DAY, "minute")
+        .agg(first.alias("first"), last.alias("last"), F.count(F.lit(1)).alias("n"))
+    )
+    spot = F.struct(
+        "minute",
+        F.col("first.gps_time").alias("first"),
+        F.col("first.duration").alias("first_duration"),
+        F.col("last.gps_time").alias("last"),
+        (-F.col("last.minus_duration")).alias("last_duration"),
     )
-    spot = F.struct("minute", "first", "last")
-    return by_minute.groupBy(*zone_key).agg(
-        F.array_sort(F.collect_list(spot)).alias("minutes"), F.sum("n").alias("n_visits")
+    return by_minute.groupBy(*ZONE_KEY, *HALF_DAY).agg(
+        F.array_sort(F.collect_list(spot)).alias("spots"), F.sum("n").alias("n_visits")
     )
 
 
-def _micros_apart(spot: Column, expected: Column) -> Column:
-    """Microseconds from a planned time to the nearest visit of a minute; 0 inside it, where all are under a minute."""
+def _gap(spot: Column, expected: Column) -> Column:
+    """Whole minutes from a planned time to the nearest visit of a minute; 0 inside it, where all are under a minute."""
     after = F.timestamp_diff("MICROSECOND", expected, spot["first"])
     before = F.timestamp_diff("MICROSECOND", spot["last"], expected)
-    return F.greatest(after, before, F.lit(0))
+    return F.floor(F.greatest(after, before, F.lit(0)) / MICROS_PER_MINUTE).cast("int")
 
 
 def match_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
-    """One row per distinct trip and zone visited by its vehicle at its anchor, with the gap to the nearest visit.
+    """One row per distinct trip and zone (and category) visited by its vehicle at its anchor.
 
-    ``gap`` is in whole minutes, null without a planned time; ``minutes`` lists the visits of the zone.
+    ``gap`` is the number of whole minutes to the nearest visit, null without a planned time. ``near`` lists the minutes
+    with visits at that gap, or all of them without a planned time.
     """
     planned = trips.select(*TRIP_KEY, *HALF_DAY).distinct()
-    keys = {"vehicle_key": _text_key("rp_vehicle"), "anchor_key": _text_key("anchor_abbrev")}
+    keys = _text_keys("rp_vehicle", "anchor_abbrev")
     spots = visit_minutes(visits).withColumns(keys).drop("rp_vehicle", "anchor_abbrev")
     paired = planned.withColumns(keys).join(spots, [*keys, *HALF_DAY]).drop(*keys)
     expected = F.col("expected_time")
-    micros = F.array_min(F.transform("minutes", lambda s: _micros_apart(s, expected)))
-    gap = F.when(expected.isNotNull(), F.floor(micros / MICROS_PER_MINUTE).cast("int"))
-    return paired.withColumn("gap", gap)
+    gap = F.when(expected.isNotNull(), F.array_min(F.transform("spots", lambda s: _gap(s, expected))))
+    at_gap = F.filter("spots", lambda s: _gap(s, expected) == F.col("gap"))
+    near = F.when(expected.isNull(), F.col("spots")).otherwise(at_gap)
+    return paired.withColumn("gap", gap).withColumn("near", near).drop("spots")
 
 
-def closest_visits(trips: DataFrame, visits: DataFrame, first_if_unplanned: bool = False) -> DataFrame:
-    """Per zone, vehicle, route and half-day the visits with the least absolute delay, ties included.
+def _best_of_group(matches: DataFrame) -> DataFrame:
+    """Matches with the least gap of their zone, vehicle, route and half-day; those without a gap come last.
 
-    Trips without a planned time count only where their group has no other; then every visit ties. With
-    ``first_if_unplanned`` such trips get their earliest visit only, which is all that a report can use.
+    The rank limit is applied before the shuffle as well.
     """
     group = Window.partitionBy("zone", "rp_vehicle", "rp_route", *HALF_DAY).orderBy(F.col("gap").asc_nulls_last())
-    best = match_visits(trips, visits).withColumn("__rank", F.rank().over(group)).filter(F.col("__rank") == 1)
-
-    expected, gap, spots = F.col("expected_time"), F.col("gap"), F.col("minutes")
-    at_gap = F.filter(spots, lambda s: F.floor(_micros_apart(s, expected) / MICROS_PER_MINUTE) == gap)
-    unplanned = F.slice(spots, 1, 1) if first_if_unplanned else spots
-    wanted = F.when(expected.isNull(), unplanned).otherwise(at_gap)
-    keys = {
-        "vehicle_key": _text_key("rp_vehicle"),
-        "anchor_key": _text_key("anchor_abbrev"),
-        "zone_key": _text_key("zone"),
-    }
-    asked = best.select(*TRIP_KEY, *HALF_DAY, "zone", "gap", F.explode(wanted).alias("spot"))
-    asked = asked.withColumns(keys).withColumn("minute", F.col("spot.minute"))
-    offered = visits.withColumns(keys).withColumn("minute", _minute())
-    offered = offered.drop("rp_vehicle", "anchor_abbrev", "zone")
-
-    found = asked.join(offered, [*keys, *HALF_DAY, "minute"])
-    delay = delay_minutes(expected, F.col("gps_time"))
-    first_only = F.col("gps_time") == F.col("spot.first") if first_if_unplanned else F.lit(True)
-    fits = F.when(expected.isNull(), first_only).otherwise(F.abs(delay) == gap)
-    return found.filter(fits).select(
+    return matches.withColumn("__rank", F.rank().over(group)).filter(F.col("__rank") == 1)
+
+
+def _result(found: DataFrame) -> DataFrame:
+    delay = delay_minutes(F.col("expected_time"), F.col("gps_time"))
+    return found.select(
         *TRIP_KEY, *HALF_DAY, "zone", "gps_time", delay.alias("gps_delay"), "gps_category", "gps_duration"
     )
+
+
+def closest_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
+    """Per zone, vehicle, route and half-day the visits with the least absolute delay, ties included.
+
+    Trips without a planned time count only where their group has no other; then every visit ties.
+    """
+    keys = _text_keys(*ZONE_KEY)
+    best = _best_of_group(match_visits(trips, visits))
+    asked = best.select(*TRIP_KEY, *HALF_DAY, "zone", "gps_category", "gap", F.explode("near.minute").alias("minute"))
+    offered = visits.withColumns(keys).withColumn("minute", _minute("gps_time")).drop(*ZONE_KEY)
+    found = asked.withColumns(keys).join(offered, [*keys, *HALF_DAY, "minute"])
+    delay = delay_minutes(F.col("expected_time"), F.col("gps_time"))
+    return _result(found.filter(F.col("gap").isNull() | (F.abs(delay) == F.col("gap"))))
+
+
+def nearest_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
+    """Those of the closest visits that a report can pick, without going back to the visits.
+
+    Per trip, zone and minute only one is left: the first in minutes after the planned one and in the planned minute
+    itself, the last in minutes before it; without a planned time the first of all. ``one_per_route`` prefers exactly
+    these, so the pick is the same as from all ties.
+    """
+    expected = F.col("expected_time")
+    best = _best_of_group(match_visits(trips, visits).drop("n_visits"))
+    kept = F.when(expected.isNull(), F.slice("near", 1, 1)).otherwise(F.col("near"))
+    spots = best.select(*TRIP_KEY, *HALF_DAY, "zone", "gps_category", F.explode(kept).alias("spot"))
+    earlier = F.col("spot.minute") < _minute("expected_time")
+    return _result(
+        spots.withColumns(
+            {
+                "gps_time": F.when(earlier, F.col("spot.last")).otherwise(F.col("spot.first")),
+                "gps_duration": F.when(earlier, F.col("spot.last_duration")).otherwise(F.col("spot.first_duration")),
+            }
+        )
+    )
+
+
+def clock_minutes_apart(ts: str) -> Column:
+    """Number of clock minutes between the planned minute and that of ``ts``."""
+    return F.abs(_minute(ts) - _minute("expected_time"))
+
+
+def micros_apart(ts: str) -> Column:
+    """Microseconds between the planned time and ``ts``; 0 within the same clock minute."""
+    micros = F.abs(F.timestamp_diff("MICROSECOND", F.col("expected_time"), F.col(ts)))
+    return F.when(clock_minutes_apart(ts) > 0, micros).otherwise(F.when(F.col(ts).isNotNull(), 0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions import rules
@@ -16,7 +16,14 @@ from kerbside.operators.buildings import anchored_buildings, zone_anchors
 from kerbside.operators.joins import join_on, with_membership
 from kerbside.operators.trips import Day, clean_trips, in_days, name_routes, scan_trips
 from kerbside.operators.uncovered import attach_uncovered
-from kerbside.operators.visits import HALF_DAY, closest_visits, prepare_visits, service_windows
+from kerbside.operators.visits import (
+    HALF_DAY,
+    clock_minutes_apart,
+    micros_apart,
+    nearest_visits,
+    prepare_visits,
+    service_windows,
+)
 from kerbside.schemas import VEHICLE_OVERRIDE
 from kerbside.session import cut_lineage
 
@@ -87,21 +94,35 @@ def choose_arrivals(candidates: DataFrame, cutoffs: Cutoffs, gps_label: str, sys
 def one_per_route(candidates: DataFrame, prefer_not_early: bool = False) -> DataFrame:
     """The best candidate of each route, date and direction.
 
-    Early arrivals come first unless ``prefer_not_early`` is set, then those in the window, then small delays; the
-    rest of the order only makes the pick repeatable. The rank limit is applied before the shuffle, so a route that
-    holds a large part of all rows sends one row per map task.
+    Early arrivals come first unless ``prefer_not_early`` is set, then those in the window, then small delays. The
+    rest of the order makes the pick repeatable: arrival nearest to the planned clock minute, then nearest to the
+    planned time, then earliest; vehicle, anchor, zone and planned time; the same for the GPS visit; all other columns.
+    The rank limit is applied before the shuffle, so a route that holds a large part of all rows sends one row per map
+    task.
     """
     delay = F.col("delay_combined")
     not_early = delay > rules.EARLY_LIMIT
+
+    def nearness(ts: str) -> list[Column]:
+        return [clock_minutes_apart(ts), micros_apart(ts), F.col(ts)]
+
     ties = [
-        "arrival", "rp_vehicle", "anchor_abbrev", "zone", "expected_time", "gps_time", "actual_time", "delay_time",
-        "overnight_garage", "gps_category", "gps_duration", "route_set_name", "route_name", "actual_load", "days",
+        *nearness("arrival"),
+        *[F.col(c) for c in ("rp_vehicle", "anchor_abbrev", "zone", "expected_time")],
+        *nearness("gps_time"),
+        *[
+            F.col(c)
+            for c in (
+                "gps_category", "gps_duration", "actual_time", "delay_time", "overnight_garage", "route_set_name",
+                "route_name", "actual_load", "days",
+            )
+        ],
     ]
     order = [
         not_early.desc_nulls_last() if prefer_not_early else not_early.asc_nulls_last(),
         F.col("arrival_in_window").desc_nulls_last(),
         F.abs(delay).asc_nulls_last(),
-        *[F.col(c).asc_nulls_last() for c in ties],
+        *[c.asc_nulls_last() for c in ties],
     ]
     pick = F.row_number().over(Window.partitionBy("rp_route", *HALF_DAY).orderBy(*order))
     return candidates.withColumn("__pick", pick).filter(F.col("__pick") == 1).drop("__pick")
@@ -148,9 +169,9 @@ def otp_report(
         trips = cut_lineage(trips)
 
     visits = tables.visits if include_visits else tables.visits.filter(F.lit(False))
-    placed = prepare_visits(visits, tables.zones, anchored, service_windows(trips, as_of)).distinct()
-    closest = closest_visits(trips, placed, first_if_unplanned=True)
-    best = one_per_route(on_time_candidates(trips, closest, cutoffs, gps_label, system_label), prefer_not_early)
+    placed = prepare_visits(visits, tables.zones, anchored, service_windows(trips, as_of))
+    nearest = nearest_visits(trips, placed)
+    best = one_per_route(on_time_candidates(trips, nearest, cutoffs, gps_label, system_label), prefer_not_early)
 
     # One original vehicle per picked row, the first in text order: the pick has one row per route and day.
     overrides = original_vehicles(tables.overrides, first_day, last_day)
