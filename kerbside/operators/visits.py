@@ -98,19 +98,20 @@ def _text_keys(*names: str) -> dict[str, Column]:
 
 
 def visit_minutes(visits: DataFrame) -> DataFrame:
-    """Per vehicle, anchor, zone, category and half-day the sorted minutes with a visit.
+    """Per vehicle, anchor, zone, category and half-day one row for each minute with a visit.
 
-    Each minute has the first and the last visit in it. Of visits at the same moment the one with the smallest duration
-    counts, a missing one last.
+    A row has the first and the last visit of its minute. Of visits at the same moment the one with the smallest
+    duration counts, a missing one last.
     """
     duration = F.col("gps_duration")
     first = F.min(F.struct("gps_time", duration.isNull().alias("unknown"), duration.alias("duration")))
     last = F.max(F.struct("gps_time", duration.isNotNull().alias("known"), (-duration).alias("minus_duration")))
-    by_minute = (
-        visits.withColumn("minute", _minute("gps_time"))
-        .groupBy(*ZONE_KEY, *HALF_DAY, "minute")
-        .agg(first.alias("first"), last.alias("last"), F.count(F.lit(1)).alias("n"))
-    )
+    by_minute = visits.withColumn("minute", _minute("gps_time")).groupBy(*ZONE_KEY, *HALF_DAY, "minute")
+    return by_minute.agg(first.alias("first"), last.alias("last"), F.count(F.lit(1)).alias("n"))
+
+
+def zone_spots(visits: DataFrame, match_key: list[str]) -> DataFrame:
+    """The minutes of ``visit_minutes`` as one sorted list per zone, partitioned by ``match_key`` for the next join."""
     spot = F.struct(
         "minute",
         F.col("first.gps_time").alias("first"),
@@ -118,9 +119,9 @@ def visit_minutes(visits: DataFrame) -> DataFrame:
         F.col("last.gps_time").alias("last"),
         (-F.col("last.minus_duration")).alias("last_duration"),
     )
-    return by_minute.groupBy(*ZONE_KEY, *HALF_DAY).agg(
-        F.array_sort(F.collect_list(spot)).alias("spots"), F.sum("n").alias("n_visits")
-    )
+    minutes = visit_minutes(visits).withColumns(_text_keys("rp_vehicle", "anchor_abbrev"))
+    zones = minutes.repartition(*match_key).groupBy(*match_key, "zone", "gps_category")
+    return zones.agg(F.array_sort(F.collect_list(spot)).alias("spots"), F.sum("n").alias("n_visits"))
 
 
 def _gap(spot: Column, expected: Column) -> Column:
@@ -138,8 +139,8 @@ def match_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
     """
     planned = trips.select(*TRIP_KEY, *HALF_DAY).distinct()
     keys = _text_keys("rp_vehicle", "anchor_abbrev")
-    spots = visit_minutes(visits).withColumns(keys).drop("rp_vehicle", "anchor_abbrev")
-    paired = planned.withColumns(keys).join(spots, [*keys, *HALF_DAY]).drop(*keys)
+    match_key = [*keys, *HALF_DAY]
+    paired = planned.withColumns(keys).join(zone_spots(visits, match_key), match_key).drop(*keys)
     expected = F.col("expected_time")
     gap = F.when(expected.isNotNull(), F.array_min(F.transform("spots", lambda s: _gap(s, expected))))
     at_gap = F.filter("spots", lambda s: _gap(s, expected) == F.col("gap"))
