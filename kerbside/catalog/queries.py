@@ -72,7 +72,9 @@ class Inputs:
         return on_time.attach_override(trips.scan_trips(self.trip), on_time.original_vehicles(self.vehicle_override))
 
     def placed_visits(self, clean: DataFrame) -> DataFrame:
-        return visits.prepare_visits(self.zone_visit, self.zone, self.anchored(), visits.service_windows(clean))
+        days = trips.service_days(trips.scan_trips(self.trip))
+        windows = visits.service_windows(clean)
+        return visits.prepare_visits(self.zone_visit, self.zone, self.anchored(), windows, days)
 
     def report(self, **options) -> DataFrame:
         return on_time.otp_report(self.on_time(), **options)
@@ -190,7 +192,8 @@ def service_window(t: Inputs) -> DataFrame:
 @query
 def zone_visits_window(t: Inputs) -> DataFrame:
     kept = visits.drop_other_categories(ZONE_VISIT.select_from(t.zone_visit), t.zone)
-    return visits.visits_in_windows(kept, visits.service_windows(t.clean_trips()))
+    days = trips.service_days(trips.scan_trips(t.trip))
+    return visits.visits_in_windows(kept, visits.service_windows(t.clean_trips()), days)
 
 
 @query

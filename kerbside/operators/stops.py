@@ -47,7 +47,7 @@ def _when_type(inbound: Column, outbound: Column, other: Column | None = None) -
 
 
 def request_points(requests: DataFrame) -> DataFrame:
-    """Requests with the end of their route put in, as anchor and other point.
+    """Distinct requests with the end of their route put in, and their anchor and other point.
 
     The input has the request's own points and those of its route (``route_origin``, ``route_destination``). Inbound
     requests end where the route ends, outbound ones start where it starts.
@@ -59,7 +59,7 @@ def request_points(requests: DataFrame) -> DataFrame:
             "destination_point_id": _when_type(F.col("route_destination"), own_destination, own_destination),
         }
     )
-    return ends.drop("route_origin", "route_destination").withColumns(
+    return ends.drop("route_origin", "route_destination").distinct().withColumns(
         {
             "anchor_point": _when_type(F.col("destination_point_id"), F.col("origin_point_id")),
             "non_anchor_point": _when_type(F.col("origin_point_id"), F.col("destination_point_id")),
@@ -90,7 +90,7 @@ def snapshot_stops(snapshot: Snapshot) -> DataFrame:
     served = served.drop("pickup_route_detail_id").distinct()
     requests = REQUEST.select_from(snapshot.requests)
     joined = join_on(requests, served, null_safe=[("record_id", "trex_id")], how="inner").drop("record_id")
-    return request_points(joined).distinct()
+    return request_points(joined)
 
 
 def stop_requests(snapshot: Snapshot) -> DataFrame:

@@ -41,6 +41,19 @@ def scan_trips(
     )
 
 
+def service_days(scanned: DataFrame, first_day: Day | None = None, last_day: Day | None = None) -> int:
+    """Upper bound on the number of service dates: the length of the asked range, or that of the dates in the trips.
+
+    For an open range two values, the first and the last date, are read from the trips.
+    """
+    if first_day is None or last_day is None:
+        span = scanned.agg(F.min("effective_date"), F.max("effective_date")).first()
+        first_day, last_day = first_day or span[0], last_day or span[1]
+    if first_day is None or last_day is None:
+        return 0
+    return (dt.date.fromisoformat(str(last_day)) - dt.date.fromisoformat(str(first_day))).days + 1
+
+
 def apply_location_schedule(pm_trips: DataFrame, location_schedule: DataFrame) -> DataFrame:
     """Outbound trips with planned and actual time from the schedule by location; the delay stays that of the trip.
 

@@ -26,6 +26,10 @@ HALF_DAY = ["effective_date", "direction"]
 TRIP_KEY = ["rp_vehicle", "anchor_abbrev", "rp_route", "expected_time"]
 WINDOW_MARGIN = "INTERVAL '30' MINUTE"
 
+# A service date has two windows that touch at most three calendar dates each; a row takes about 40 bytes.
+WINDOW_ROWS_PER_DAY = 6
+MAX_BROADCAST_ROWS = 500_000
+
 
 def zone_categories(zones: DataFrame) -> DataFrame:
     return squish_strings(ZONE.select_from(zones).select("category", "type")).distinct()
@@ -51,16 +55,19 @@ def service_windows(trips: DataFrame, as_of: dt.datetime | None = None) -> DataF
     return bounds.select(*HALF_DAY, start.alias("start_time"), end.alias("end_time"))
 
 
-def visits_in_windows(visits: DataFrame, windows: DataFrame) -> DataFrame:
+def visits_in_windows(visits: DataFrame, windows: DataFrame, service_days: int | None = None) -> DataFrame:
     """Visits with the date and direction of every service window they start in, both ends included.
 
-    The windows are spread over the one to three calendar dates they touch and joined on that date. They are broadcast:
-    there are two per service date, so a century of dates gives about 150,000 narrow rows however many trips there are.
+    The windows are spread over the one to three calendar dates they touch and joined on that date. ``service_days``, an
+    upper bound on their number of dates, bounds their rows; they are broadcast if that is small enough. Otherwise
+    Spark chooses the join by size, and AQE splits dates with very many visits.
     """
     dates = F.sequence(F.to_date("start_time"), F.to_date("end_time"))
     usable = windows.filter(F.col("start_time") <= F.col("end_time"))
     dated = usable.withColumn("visit_date", F.explode(dates))
-    found = visits.withColumn("visit_date", F.to_date("time_in")).join(F.broadcast(dated), "visit_date")
+    if service_days is not None and service_days * WINDOW_ROWS_PER_DAY <= MAX_BROADCAST_ROWS:
+        dated = F.broadcast(dated)
+    found = visits.withColumn("visit_date", F.to_date("time_in")).join(dated, "visit_date")
     inside = F.col("time_in").between(F.col("start_time"), F.col("end_time"))
     return found.filter(inside).drop("visit_date", "start_time", "end_time")
 
@@ -70,10 +77,12 @@ def visit_anchors(visits: DataFrame, anchored: DataFrame) -> DataFrame:
     return join_on(visits, anchored, null_safe=[("zone", "name")])
 
 
-def prepare_visits(visits: DataFrame, zones: DataFrame, anchored: DataFrame, windows: DataFrame) -> DataFrame:
+def prepare_visits(
+    visits: DataFrame, zones: DataFrame, anchored: DataFrame, windows: DataFrame, service_days: int | None = None
+) -> DataFrame:
     """Visits that can be matched: category, window and anchor applied."""
     kept = drop_other_categories(ZONE_VISIT.select_from(visits), zones)
-    placed = visit_anchors(visits_in_windows(kept, windows), anchored)
+    placed = visit_anchors(visits_in_windows(kept, windows, service_days), anchored)
     return placed.select(
         F.col("asset").alias("rp_vehicle"),
         "anchor_abbrev",

@@ -14,7 +14,7 @@ from kerbside.functions.text import garage_short, squish_strings
 from kerbside.functions.times import delay_minutes
 from kerbside.operators.buildings import anchored_buildings, zone_anchors
 from kerbside.operators.joins import join_on, with_membership
-from kerbside.operators.trips import Day, clean_trips, in_days, name_routes, scan_trips
+from kerbside.operators.trips import Day, clean_trips, in_days, name_routes, scan_trips, service_days
 from kerbside.operators.uncovered import attach_uncovered
 from kerbside.operators.visits import (
     HALF_DAY,
@@ -159,8 +159,9 @@ def otp_report(
     reads three times, to the checkpoint folder first.
     """
     anchored = anchored_buildings(tables.buildings)
+    scanned = scan_trips(tables.trips, half_days, first_day, last_day)
     trips = clean_trips(
-        scan_trips(tables.trips, half_days, first_day, last_day),
+        scanned,
         tables.location_schedule,
         anchored,
         name_routes(tables.routes, tables.route_sets),
@@ -168,8 +169,11 @@ def otp_report(
     if checkpoint_trips:
         trips = cut_lineage(trips)
 
-    visits = tables.visits if include_visits else tables.visits.filter(F.lit(False))
-    placed = prepare_visits(visits, tables.zones, anchored, service_windows(trips, as_of))
+    if include_visits:
+        visits, days = tables.visits, service_days(scanned, first_day, last_day)
+    else:
+        visits, days = tables.visits.filter(F.lit(False)), None
+    placed = prepare_visits(visits, tables.zones, anchored, service_windows(trips, as_of), days)
     nearest = nearest_visits(trips, placed)
     best = one_per_route(on_time_candidates(trips, nearest, cutoffs, gps_label, system_label), prefer_not_early)
 
