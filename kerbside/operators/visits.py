@@ -119,8 +119,12 @@ def visit_minutes(visits: DataFrame) -> DataFrame:
     return by_minute.agg(first.alias("first"), last.alias("last"), F.count(F.lit(1)).alias("n"))
 
 
-def zone_spots(visits: DataFrame, match_key: list[str]) -> DataFrame:
-    """The minutes of ``visit_minutes`` as one sorted list per zone, partitioned by ``match_key`` for the next join."""
+def zone_spots(visits: DataFrame, planned: DataFrame, match_key: list[str]) -> DataFrame:
+    """The minutes of ``visit_minutes`` that a planned trip can use, as one sorted list per zone.
+
+    Minutes without a trip are left out before the lists are built. If that takes a shuffle by ``match_key``, the lists
+    and the join that follows use the same partitioning.
+    """
     spot = F.struct(
         "minute",
         F.col("first.gps_time").alias("first"),
@@ -129,7 +133,8 @@ def zone_spots(visits: DataFrame, match_key: list[str]) -> DataFrame:
         (-F.col("last.minus_duration")).alias("last_duration"),
     )
     minutes = visit_minutes(visits).withColumns(_text_keys("rp_vehicle", "anchor_abbrev"))
-    zones = minutes.repartition(*match_key).groupBy(*match_key, "zone", "gps_category")
+    usable = minutes.join(planned.select(*match_key), match_key, "left_semi")
+    zones = usable.groupBy(*match_key, "zone", "gps_category")
     return zones.agg(F.array_sort(F.collect_list(spot)).alias("spots"), F.sum("n").alias("n_visits"))
 
 
@@ -146,10 +151,10 @@ def match_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
     ``gap`` is the number of whole minutes to the nearest visit, null without a planned time. ``near`` lists the minutes
     with visits at that gap, or all of them without a planned time.
     """
-    planned = trips.select(*TRIP_KEY, *HALF_DAY).distinct()
     keys = _text_keys("rp_vehicle", "anchor_abbrev")
     match_key = [*keys, *HALF_DAY]
-    paired = planned.withColumns(keys).join(zone_spots(visits, match_key), match_key).drop(*keys)
+    planned = trips.select(*TRIP_KEY, *HALF_DAY).distinct().withColumns(keys)
+    paired = planned.join(zone_spots(visits, planned, match_key), match_key).drop(*keys)
     expected = F.col("expected_time")
     gap = F.when(expected.isNotNull(), F.array_min(F.transform("spots", lambda s: _gap(s, expected))))
     at_gap = F.filter("spots", lambda s: _gap(s, expected) == F.col("gap"))
