@@ -80,7 +80,7 @@ def snapshot_stops(snapshot: Snapshot) -> DataFrame:
         F.col("destination_point_id").alias("route_destination"),
     )
     details = ROUTE_DETAIL.select_from(snapshot.details)
-    stops = join_on(details, routes.distinct(), null_safe=["route_id"]).drop("route_id")
+    stops = join_on(details, routes.distinct(), null_safe=["route_id"]).drop("route_id").distinct()
     served = join_on(
         SATISFACTION.select_from(snapshot.satisfactions),
         stops,

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions.text import squish_strings
-from kerbside.functions.times import MICROS_PER_MINUTE, delay_minutes, micros_of_day
+from kerbside.functions.times import MICROS_PER_MINUTE, delay_minutes, micros_between, micros_of_day
 from kerbside.operators.joins import join_on
 from kerbside.schemas import ZONE, ZONE_VISIT
 
@@ -129,8 +129,10 @@ def zone_spots(visits: DataFrame, planned: DataFrame, match_key: list[str]) -> D
         "minute",
         F.col("first.gps_time").alias("first"),
         F.col("first.duration").alias("first_duration"),
+        micros_of_day(F.col("first.gps_time"), F.col("effective_date")).alias("first_micros"),
         F.col("last.gps_time").alias("last"),
         (-F.col("last.minus_duration")).alias("last_duration"),
+        micros_of_day(F.col("last.gps_time"), F.col("effective_date")).alias("last_micros"),
     )
     minutes = visit_minutes(visits).withColumns(_text_keys("rp_vehicle", "anchor_abbrev"))
     usable = minutes.join(planned.select(*match_key), match_key, "left_semi")
@@ -138,10 +140,9 @@ def zone_spots(visits: DataFrame, planned: DataFrame, match_key: list[str]) -> D
     return zones.agg(F.array_sort(F.collect_list(spot)).alias("spots"), F.sum("n").alias("n_visits"))
 
 
-def _gap(spot: Column, expected: Column) -> Column:
+def _gap(spot: Column, expected_micros: Column) -> Column:
     """Whole minutes from a planned time to the nearest visit of a minute; 0 inside it, where all are under a minute."""
-    after = F.timestamp_diff("MICROSECOND", expected, spot["first"])
-    before = F.timestamp_diff("MICROSECOND", spot["last"], expected)
+    after, before = spot["first_micros"] - expected_micros, expected_micros - spot["last_micros"]
     return F.floor(F.greatest(after, before, F.lit(0)) / MICROS_PER_MINUTE).cast("int")
 
 
@@ -153,13 +154,14 @@ def match_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
     """
     keys = _text_keys("rp_vehicle", "anchor_abbrev")
     match_key = [*keys, *HALF_DAY]
-    planned = trips.select(*TRIP_KEY, *HALF_DAY).distinct().withColumns(keys)
+    expected_micros = micros_of_day(F.col("expected_time"), F.col("effective_date"))
+    planned = trips.select(*TRIP_KEY, *HALF_DAY).distinct().withColumns({**keys, "expected_micros": expected_micros})
     paired = planned.join(zone_spots(visits, planned, match_key), match_key).drop(*keys)
-    expected = F.col("expected_time")
+    expected = F.col("expected_micros")
     gap = F.when(expected.isNotNull(), F.array_min(F.transform("spots", lambda s: _gap(s, expected))))
     at_gap = F.filter("spots", lambda s: _gap(s, expected) == F.col("gap"))
     near = F.when(expected.isNull(), F.col("spots")).otherwise(at_gap)
-    return paired.withColumn("gap", gap).withColumn("near", near).drop("spots")
+    return paired.withColumn("gap", gap).withColumn("near", near).drop("spots", "expected_micros")
 
 
 def _best_of_group(matches: DataFrame) -> DataFrame:
@@ -221,5 +223,5 @@ def clock_minutes_apart(ts: str) -> Column:
 
 def micros_apart(ts: str) -> Column:
     """Microseconds between the planned time and ``ts``; 0 within the same clock minute."""
-    micros = F.abs(F.timestamp_diff("MICROSECOND", F.col("expected_time"), F.col(ts)))
+    micros = F.abs(micros_between(F.col("expected_time"), F.col(ts)))
     return F.when(clock_minutes_apart(ts) > 0, micros).otherwise(F.when(F.col(ts).isNotNull(), 0))

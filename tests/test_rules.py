@@ -140,3 +140,20 @@ def test_times(spark):
         times.minutes_of_day(F.col("b"), F.col("day")), times.us_date(F.col("day")), times.clock(F.col("t")),
     ).first()
     assert tuple(got) == (dt.datetime(2024, 3, 1, 23, 59, 59, 123456), 2.0, 4.0, "03/01/2024", "23:59")
+
+
+def test_times_ignore_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    day = dt.date(2024, 3, 10)
+    skipped, later = dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 10, 3, 10)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(day, skipped, later)], "day date, a timestamp_ntz, b timestamp_ntz")
+        got = df.select(
+            times.delay_minutes(F.col("a"), F.col("b")), times.delay_minutes(F.col("b"), F.col("a")),
+            times.minutes_of_day(F.col("a"), F.col("day")), times.clock(F.col("a")), times.us_date(F.col("day")),
+            times.rebase_date(F.col("b"), F.col("day")),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert tuple(got) == (40, -40, 150.0, "02:30", "03/10/2024", later)
