@@ -5,8 +5,10 @@ pair. Only the closest visits count, and they are found without the pairs:
 
 1. visits are reduced to one row per vehicle, anchor, zone, half-day and minute (a combining aggregate), then to one
    sorted list of minutes per zone; a half-day has a bounded number of minutes, whatever the number of visits;
-2. every distinct trip looks up the smallest gap in that list, and only the best trips of a group go on;
-3. the report takes one visit per minute at that gap from the list itself; where all ties are asked for, they are
+2. every distinct planned minute of a vehicle and anchor looks up the few minutes around it in that list;
+3. every distinct trip takes the smallest gap from the few minutes of its planned minute, and only the best trips of a
+   group go on;
+4. the report takes one visit per minute at that gap from the list itself; where all ties are asked for, they are
    fetched by an equi-join that includes the minute.
 """
 
@@ -14,18 +16,22 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.text import squish_strings
 from kerbside.functions.times import MICROS_PER_MINUTE, delay_minutes, micros_between, micros_of_day
 from kerbside.operators.joins import join_on
 from kerbside.schemas import ZONE, ZONE_VISIT
+from kerbside.session import cut_lineage
 
 HALF_DAY = ["effective_date", "direction"]
 TRIP_KEY = ["rp_vehicle", "anchor_abbrev", "rp_route", "expected_time"]
 WINDOW_MARGIN = "INTERVAL '30' MINUTE"
 
+# Stands for the minute of a missing planned time; minutes of a half-day are a few thousand at most.
+NO_TIME = -1_000_000
+
 # A service date has two windows that touch at most three calendar dates each; a row takes about 40 bytes.
 WINDOW_ROWS_PER_DAY = 6
 MAX_BROADCAST_ROWS = 500_000
@@ -119,7 +125,7 @@ def visit_minutes(visits: DataFrame) -> DataFrame:
     return by_minute.agg(first.alias("first"), last.alias("last"), F.count(F.lit(1)).alias("n"))
 
 
-def zone_spots(visits: DataFrame, planned: DataFrame, match_key: list[str]) -> DataFrame:
+def zone_spots(visits: DataFrame, asked: DataFrame, match_key: list[str]) -> DataFrame:
     """The minutes of ``visit_minutes`` that a planned trip can use, as one sorted list per zone.
 
     Minutes without a trip are left out before the lists are built. If that takes a shuffle by ``match_key``, the lists
@@ -135,11 +141,27 @@ def zone_spots(visits: DataFrame, planned: DataFrame, match_key: list[str]) -> D
         micros_of_day(F.col("last.gps_time"), F.col("effective_date")).alias("last_micros"),
     )
     minutes = visit_minutes(visits).withColumns(_text_keys("rp_vehicle", "anchor_abbrev"))
-    usable = minutes.join(planned.select(*match_key), match_key, "left_semi")
+    usable = minutes.join(asked.select(*match_key), match_key, "left_semi")
     zones = usable.groupBy(*match_key, "zone", "gps_category")
     return zones.agg(F.array_sort(F.collect_list(spot)).alias("spots"), F.sum("n").alias("n_visits"))
 
 
+def spots_around(asked: DataFrame, spots: DataFrame, match_key: list[str]) -> DataFrame:
+    """For every planned minute and zone the list of visit minutes that can be nearest to a time in that minute.
+
+    These are the minute itself and the two before and after it that have visits: whole-minute gaps that are equal
+    come from two neighbouring minutes. Without a planned time all minutes are kept.
+    """
+    planned, all_spots = F.col("planned_minute"), F.col("spots")
+    before = F.filter(all_spots, lambda s: s["minute"] < planned)
+    own = F.filter(all_spots, lambda s: s["minute"] == planned)
+    after = F.filter(all_spots, lambda s: s["minute"] > planned)
+    last_two = F.slice(before, F.greatest(F.size(before) - 1, F.lit(1)), 2)
+    around = F.concat(last_two, own, F.slice(after, 1, 2))
+    near = F.when(planned == NO_TIME, all_spots).otherwise(around)
+    return asked.join(spots, match_key).withColumn("near", near).drop("spots")
+
+
 def _gap(spot: Column, expected_micros: Column) -> Column:
     """Whole minutes from a planned time to the nearest visit of a minute; 0 inside it, where all are under a minute."""
     after, before = spot["first_micros"] - expected_micros, expected_micros - spot["last_micros"]
@@ -154,23 +176,33 @@ def match_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
     """
     keys = _text_keys("rp_vehicle", "anchor_abbrev")
     match_key = [*keys, *HALF_DAY]
-    expected_micros = micros_of_day(F.col("expected_time"), F.col("effective_date"))
-    planned = trips.select(*TRIP_KEY, *HALF_DAY).distinct().withColumns({**keys, "expected_micros": expected_micros})
-    paired = planned.join(zone_spots(visits, planned, match_key), match_key).drop(*keys)
-    expected = F.col("expected_micros")
-    gap = F.when(expected.isNotNull(), F.array_min(F.transform("spots", lambda s: _gap(s, expected))))
-    at_gap = F.filter("spots", lambda s: _gap(s, expected) == F.col("gap"))
-    near = F.when(expected.isNull(), F.col("spots")).otherwise(at_gap)
-    return paired.withColumn("gap", gap).withColumn("near", near).drop("spots", "expected_micros")
+    keyed = trips.select(*TRIP_KEY, *HALF_DAY).withColumns(
+        {
+            **keys,
+            "planned_minute": F.coalesce(_minute("expected_time"), F.lit(NO_TIME)),
+            "planned_micros": micros_of_day(F.col("expected_time"), F.col("effective_date")),
+        }
+    )
+    asked = keyed.select(*match_key, "planned_minute").distinct()
+    around = spots_around(asked, zone_spots(visits, asked, match_key), match_key)
+    paired = keyed.distinct().join(around, [*match_key, "planned_minute"]).drop(*keys, "planned_minute")
+    micros = F.col("planned_micros")
+    gap = F.when(micros.isNotNull(), F.array_min(F.transform("near", lambda s: _gap(s, micros))))
+    at_gap = F.filter("near", lambda s: _gap(s, micros) == F.col("gap"))
+    near = F.when(micros.isNull(), F.col("near")).otherwise(at_gap)
+    return paired.withColumn("gap", gap).withColumn("near", near).drop("planned_micros")
 
 
 def _best_of_group(matches: DataFrame) -> DataFrame:
     """Matches with the least gap of their zone, vehicle, route and half-day; those without a gap come last.
 
-    The rank limit is applied before the shuffle as well.
+    The least gap is a combining aggregate that is joined back, so that a route with very many equal gaps is never
+    ranked in one task.
     """
-    group = Window.partitionBy("zone", "rp_vehicle", "rp_route", *HALF_DAY).orderBy(F.col("gap").asc_nulls_last())
-    return matches.withColumn("__rank", F.rank().over(group)).filter(F.col("__rank") == 1)
+    texts = ["zone", "rp_vehicle", "rp_route"]
+    least = matches.groupBy(*texts, *HALF_DAY).agg(F.min("gap").alias("least_gap"))
+    equal = F.col("gap").eqNullSafe(F.col("least_gap"))
+    return join_on(matches, least, null_safe=texts, plain=HALF_DAY, how="inner", where=equal).drop("least_gap")
 
 
 def _result(found: DataFrame) -> DataFrame:
@@ -194,15 +226,16 @@ def closest_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
     return _result(found.filter(F.col("gap").isNull() | (F.abs(delay) == F.col("gap"))))
 
 
-def nearest_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
+def nearest_visits(trips: DataFrame, visits: DataFrame, checkpoint: bool = False) -> DataFrame:
     """Those of the closest visits that a report can pick, without going back to the visits.
 
     Per trip, zone and minute only one is left: the first in minutes after the planned one and in the planned minute
     itself, the last in minutes before it; without a planned time the first of all. ``one_per_route`` prefers exactly
-    these, so the pick is the same as from all ties.
+    these, so the pick is the same as from all ties. ``checkpoint`` writes the matches first; they are read twice.
     """
     expected = F.col("expected_time")
-    best = _best_of_group(match_visits(trips, visits).drop("n_visits"))
+    matches = match_visits(trips, visits).drop("n_visits")
+    best = _best_of_group(cut_lineage(matches) if checkpoint else matches)
     kept = F.when(expected.isNull(), F.slice("near", 1, 1)).otherwise(F.col("near"))
     spots = best.select(*TRIP_KEY, *HALF_DAY, "zone", "gps_category", F.explode(kept).alias("spot"))
     earlier = F.col("spot.minute") < _minute("expected_time")

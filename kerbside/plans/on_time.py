@@ -25,7 +25,7 @@ from kerbside.operators.visits import (
     service_windows,
 )
 from kerbside.schemas import VEHICLE_OVERRIDE
-from kerbside.session import cut_lineage
+from kerbside.session import cut_lineage, names_checkpoint_folder
 
 REPORT_COLUMNS = [
     "rp_vehicle", "rp_route", "expected_time", "arrival", "delay_combined", "actual_time", "gps_time", "delay_time",
@@ -149,14 +149,14 @@ def otp_report(
     gps_label: str = "GPS",
     system_label: str = "Schedule",
     keep_listed: bool = False,
-    checkpoint_trips: bool = False,
+    checkpoint: bool | None = None,
 ) -> DataFrame:
     """On-time report over a range of days.
 
     Many days and both half-days are one plan; date and direction are part of every key, so the result is that of one
     run per day and half-day. ``include_visits=False`` rests on the schedule system alone. ``keep_listed`` adds the
-    column ``listed_uncovered`` for ``covered_trips``. ``checkpoint_trips`` writes the cleaned trips, which the plan
-    reads three times, to the checkpoint folder first.
+    column ``listed_uncovered`` for ``covered_trips``. ``checkpoint`` writes the cleaned trips and their visit matches,
+    which the plan reads more than once, to the checkpoint folder first; by default if the session names that folder.
     """
     anchored = anchored_buildings(tables.buildings)
     scanned = scan_trips(tables.trips, half_days, first_day, last_day)
@@ -166,7 +166,9 @@ def otp_report(
         anchored,
         name_routes(tables.routes, tables.route_sets),
     )
-    if checkpoint_trips:
+    if checkpoint is None:
+        checkpoint = names_checkpoint_folder(tables.trips.sparkSession)
+    if checkpoint:
         trips = cut_lineage(trips)
 
     if include_visits:
@@ -174,7 +176,7 @@ def otp_report(
     else:
         visits, days = tables.visits.filter(F.lit(False)), None
     placed = prepare_visits(visits, tables.zones, anchored, service_windows(trips, as_of), days)
-    nearest = nearest_visits(trips, placed)
+    nearest = nearest_visits(trips, placed, checkpoint)
     best = one_per_route(on_time_candidates(trips, nearest, cutoffs, gps_label, system_label), prefer_not_early)
 
     # One original vehicle per picked row, the first in text order: the pick has one row per route and day.

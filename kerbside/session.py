@@ -23,6 +23,10 @@ def local_session(cores: str = "*", app_name: str = "kerbside", **settings: str)
     return builder.getOrCreate()
 
 
+def names_checkpoint_folder(spark: SparkSession) -> bool:
+    return bool(spark.conf.get("spark.checkpoint.dir", None))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there; lost executors then cost no recomputation.
 

@@ -71,7 +71,7 @@ def test_result_does_not_depend_on_partitions(spark, tables, report):
 
 
 def test_checkpointed_run_is_the_same(tables, report):
-    assert rows(otp_report(tables, keep_listed=True, checkpoint_trips=True)) == rows(report)
+    assert rows(otp_report(tables, keep_listed=True, checkpoint=True)) == rows(report)
 
 
 def test_without_visits(tables):
