@@ -15,6 +15,7 @@ from kerbside.operators.joins import join_on, with_membership
 from kerbside.plans import daily_rates, on_time, trip_changes
 from kerbside.plans.update import update_history
 from kerbside.schemas import ZONE_VISIT
+from kerbside.session import cut_lineage, names_checkpoint_folder
 from kerbside.sources.derived import derived
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +69,15 @@ class Inputs:
             trips.scan_trips(self.trip), self.location_schedule, self.anchored(), self.named_routes()
         )
 
+    def settled_trips(self) -> DataFrame:
+        """Cleaned trips for plans that read them more than once."""
+        clean = self.clean_trips()
+        return cut_lineage(clean) if self.checkpoint else clean
+
+    @property
+    def checkpoint(self) -> bool:
+        return names_checkpoint_folder(self._spark)
+
     def overridden_trips(self) -> DataFrame:
         return on_time.attach_override(trips.scan_trips(self.trip), on_time.original_vehicles(self.vehicle_override))
 
@@ -210,20 +220,20 @@ def zone_known(t: Inputs) -> DataFrame:
 
 @query
 def visit_match(t: Inputs) -> DataFrame:
-    clean = t.clean_trips()
+    clean = t.settled_trips()
     return visits.match_visits(clean, t.placed_visits(clean)).drop("near")
 
 
 @query
 def closest_visit(t: Inputs) -> DataFrame:
-    clean = t.clean_trips()
-    return visits.closest_visits(clean, t.placed_visits(clean))
+    clean = t.settled_trips()
+    return visits.closest_visits(clean, t.placed_visits(clean), t.checkpoint)
 
 
 @query
 def arrival_choice(t: Inputs) -> DataFrame:
-    clean = t.clean_trips()
-    closest = visits.closest_visits(clean, t.placed_visits(clean))
+    clean = t.settled_trips()
+    closest = visits.closest_visits(clean, t.placed_visits(clean), t.checkpoint)
     return on_time.on_time_candidates(clean, closest, Cutoffs(), "GPS", "Schedule").select(
         "rp_route", "rp_vehicle", "anchor_abbrev", "effective_date", "direction", "expected_time", "zone", "gps_time",
         "gps_delay", "actual_time", "delay_time", "arrival", "arrival_source", "delay_combined", "arrival_in_window",

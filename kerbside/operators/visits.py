@@ -212,13 +212,15 @@ def _result(found: DataFrame) -> DataFrame:
     )
 
 
-def closest_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
+def closest_visits(trips: DataFrame, visits: DataFrame, checkpoint: bool = False) -> DataFrame:
     """Per zone, vehicle, route and half-day the visits with the least absolute delay, ties included.
 
-    Trips without a planned time count only where their group has no other; then every visit ties.
+    Trips without a planned time count only where their group has no other; then every visit ties. ``checkpoint``
+    writes the matches first; they are read twice.
     """
     keys = _text_keys(*ZONE_KEY)
-    best = _best_of_group(match_visits(trips, visits))
+    matches = match_visits(trips, visits).drop("n_visits")
+    best = _best_of_group(cut_lineage(matches) if checkpoint else matches)
     asked = best.select(*TRIP_KEY, *HALF_DAY, "zone", "gps_category", "gap", F.explode("near.minute").alias("minute"))
     offered = visits.withColumns(keys).withColumn("minute", _minute("gps_time")).drop(*ZONE_KEY)
     found = asked.withColumns(keys).join(offered, [*keys, *HALF_DAY, "minute"])
