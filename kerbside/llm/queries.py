@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm import decontaminate, quality, secrets
@@ -32,9 +32,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document by the trigram index."""
     rows = secrets.scan(table(spark, sf_dir, "documents"))
     base = [r.kind for r in secrets.BASE_RULES]
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base
-    ]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in base]
     own = F.filter("spans", lambda s: s["kind"].isin(*base))
     return rows.select(
         "doc_id", *counts, F.sha2(secrets.joined(own), 256).alias("base_sha256"),
