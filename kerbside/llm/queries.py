@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import decontaminate, quality, secrets
+from kerbside.llm import decontaminate, packing, quality, secrets, token_store
 from kerbside.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +49,17 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, and which."""
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in windows of 4096 ids."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
+
+
+@query
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written to shards and read back."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents")
+    return token_store.read_back(token_store.write_shards(docs, token_store.store_folder(spark), tokenizer, 2))
