@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import decontaminate, packing, quality, secrets, token_store
+from kerbside.llm import decontaminate, ngram_join, packing, quality, secrets, token_store
 from kerbside.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,9 @@ def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents")
     return token_store.read_back(token_store.write_shards(docs, token_store.store_folder(spark), tokenizer, 2))
+
+
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), width=3, num=90, den=100)

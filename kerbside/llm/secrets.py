@@ -159,12 +159,14 @@ def find(text: Column, rule: Rule, order: int) -> Column:
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """All spans of every row of ``docs``: doc_id, text, spans (start, order, kind, end), sorted by start, then rule.
+    """All spans of every row of ``docs``: doc_id, text, spans (start, order, kind, end) sorted by start, then rule, and
+    the other columns as the struct ``row``, so that no column of ``docs`` can clash.
 
-    Null texts count as empty. Rows that share a doc_id share the index entry, which then only admits more searches;
-    each row is searched by itself. Other columns are dropped.
+    Null texts count as empty and stay null. Rows that share a doc_id share the index entry, which then only admits more searches;
+    each row is searched by itself.
     """
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row"))
+    text = F.coalesce(F.col("text"), F.lit(""))
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     grams = sorted({g for q in queries.values() for member in q for alt in member for g in alt})
     found = F.collect_set("gram")
@@ -179,11 +181,11 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     none = F.array().cast("array<struct<start:long,order:int,kind:string,end:long>>")
     parts = []
     for order, rule in enumerate(rules):
-        spans = find(F.col("text"), _least(rule), order)
+        spans = find(text, _least(rule), order)
         if queries[rule.kind]:
             spans = F.when(F.coalesce(F.array_contains("admitted", rule.kind), F.lit(False)), spans).otherwise(none)
         parts.append(spans)
-    return rows.select("doc_id", "text", F.array_sort(F.concat(*parts)).alias("spans"))
+    return rows.select("doc_id", "text", F.array_sort(F.concat(*parts)).alias("spans"), "row")
 
 
 def _least(rule: Rule) -> Rule:
@@ -199,17 +201,35 @@ def joined(spans: Column) -> Column:
     return F.array_join(text, ",")
 
 
-def redact(scanned: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """Texts of ``scan`` with every span replaced by ``mark``; overlapping spans are merged. Columns doc_id, text."""
+def without(text: Column, spans: Column, mark: str) -> Column:
+    """``text`` with every span replaced by ``mark``; what overlaps an earlier span goes with it."""
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
+        gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
         out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
 
     def whole(acc: Column) -> Column:
-        return F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text")))
+        return F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
 
-    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(bind(F.aggregate("spans", start, step), whole))
-    return scanned.select("doc_id", text.alias("text"))
+    return F.when(F.size(spans) == 0, text).otherwise(bind(F.aggregate(spans, start, step), whole))
+
+
+def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
+    """``docs`` with all columns; in texts that hold secrets these are replaced by ``mark`` and n_chars, if there, is
+    counted anew. Null texts stay null.
+    """
+    own = scan(docs, rules)
+    hit = F.size("spans") > 0
+    hidden = without(F.col("text"), F.col("spans"), mark)
+    out = own.withColumn("hidden", F.when(hit, hidden))
+    columns = []
+    for name in docs.columns:
+        kept = F.col("text") if name == "text" else F.col("row").getField(name)
+        if name == "text":
+            kept = F.coalesce("hidden", "text")
+        elif name == "n_chars":
+            kept = F.when(hit, F.length("hidden").cast(docs.schema[name].dataType)).otherwise(kept)
+        columns.append(kept.alias(name))
+    return out.select(*columns)
