@@ -49,8 +49,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts (A-Z lower-cased), and where each text's words begin (one more at the end)."""
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts (A-Z lower-cased), where each text's words begin (one more at the end), and
+    the last two bytes of every word as a number.
+    """
     raw = [t.encode() for t in texts]
     data = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
     space = _SPACES[data]
@@ -64,12 +66,14 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64, out=sums[1:])
     hashes = mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64), 1)
     starts = np.cumsum([0] + [len(r) + 1 for r in raw])
-    return hashes, np.searchsorted(begin, starts)
+    last = _LOWER[data[end - 1]].astype(np.int64)
+    before = np.where(end - begin > 1, _LOWER[data[end - 2]], 0)
+    return hashes, np.searchsorted(begin, starts), last * 256 + before
 
 
 def shingle_sets(texts: list[str], width: int) -> Iterator[np.ndarray]:
     """Of each text the sorted distinct hashes of its ``width``-word shingles; all words as one if there are fewer."""
-    hashes, at = word_hashes(texts)
+    hashes, at, _ = word_hashes(texts)
     factors = mixed(np.arange(width), 2) | np.uint64(1)
     whole = np.zeros(max(0, len(hashes) - width + 1), np.uint64)
     for j in range(width):
