@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import decontaminate, ngram_join, packing, quality, secrets, token_store
+from kerbside.llm import decontaminate, language_model, ngram_join, packing, quality, secrets, token_store
 from kerbside.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,9 @@ def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets have a Jaccard similarity of 0.9 or more."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
+@query
+def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of all documents under a hierarchical Pitman-Yor model of four fifths of them."""
+    return language_model.train_and_score(table(spark, sf_dir, "documents"))
