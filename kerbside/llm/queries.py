@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import decontaminate, language_model, ngram_join, packing, quality, secrets, token_store
+from kerbside.llm import decontaminate, language_model, ngram_join, packing, quality, secrets, substrings, token_store
 from kerbside.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,9 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probabilities of all documents under a hierarchical Pitman-Yor model of four fifths of them."""
     return language_model.train_and_score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_substring_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of repeated 200-byte strings."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
