@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import decontaminate, language_model, ngram_join, packing, quality, secrets, substrings, token_store
+from kerbside.llm import decontaminate, language_model, ngram_join, packing, passages, quality, secrets, substrings, token_store
 from kerbside.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,9 @@ def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the bytes of repeated 200-byte strings."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op9_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fuzzy passages that documents share."""
+    return passages.shared_passages(table(spark, sf_dir, "documents"))
