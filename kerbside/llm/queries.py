@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import decontaminate, language_model, ngram_join, packing, passages, quality, secrets, substrings, token_store
+from kerbside.llm import decontaminate, html_text, language_model, ngram_join, packing, passages, quality, secrets, substrings, token_store
 from kerbside.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,11 @@ def op10_substring_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fuzzy passages that documents share."""
     return passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
