@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from kerbside.plans.daily_rates import RATE_HEADINGS
 from kerbside.sources.derived import DERIVED_SQL, with_list
 
 
 def _squish(column: str) -> str:
-    return rf"trim(regexp_replace({column}, '\s+', ' ', 'g'))"
+    return rf"trim(regexp_replace({column}, '[\s\p{{Z}}]+', ' ', 'g'))"
 
 
 def _minutes(start: str, end: str) -> str:
@@ -323,7 +324,17 @@ _STEPS: dict[str, str] = {
 }
 
 _TABLES = {**DERIVED_SQL, **_STEPS}
-_UPDATED_HISTORY = ", ".join(f"round(s.{n}, 6) AS {n}" for n in _RATES)
+
+
+def _updated_history(headings: dict[str, str]) -> str:
+    """The history with the rates of the summary's dates; other rows stay. ``headings``: name of each result column."""
+    held = {"otp_am": "h.otp_am", "otp_pm": "h.otp_pm"}
+    rates = ", ".join(
+        f"round(CASE WHEN s.otp_date IS NOT NULL THEN s.{n} ELSE {held.get(n, 'NULL')} END, 6) AS \"{headings[n]}\"" for n in _RATES
+    )
+    return f"""SELECT h.otp_date AS "{headings['otp_date']}", {rates} FROM history h LEFT JOIN summary s ON strftime(h.otp_date, '%m/%d/%Y') = s.otp_date"""
+
+
 
 _FINAL: dict[str, str] = {
     "otp_scan": "SELECT * FROM trip WHERE direction = 'I' AND effective_date IS NOT NULL",
@@ -366,7 +377,8 @@ _FINAL: dict[str, str] = {
     "prepare_raw": "SELECT * FROM raw",
     "prepare_raw_old": "SELECT * EXCLUDE (uncovered, excluded) FROM raw",
     "otp_summary": "SELECT otp_date, " + ", ".join(f"round({n}, 6) AS {n}" for n in _RATES) + " FROM summary",
-    "history_merge": f"SELECT h.otp_date, {_UPDATED_HISTORY} FROM history h JOIN summary s ON strftime(h.otp_date, '%m/%d/%Y') = s.otp_date",
+    "history_merge": _updated_history({n: n for n in RATE_HEADINGS}),
+    "history_headings": _updated_history(RATE_HEADINGS),
     "fill_down": """SELECT event_id, user_id, ts, last_value(mark IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id
  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mark
  FROM (SELECT event_id, user_id, ts, CASE WHEN event_type IN ('purchase', 'signup') THEN event_type END AS mark FROM events)""",

@@ -15,7 +15,7 @@ from kerbside.operators.joins import join_on, with_membership
 from kerbside.plans import daily_rates, on_time, trip_changes
 from kerbside.plans.update import update_history
 from kerbside.schemas import ZONE_VISIT
-from kerbside.session import cut_lineage, names_checkpoint_folder
+from kerbside.session import checkpoint_folder, staged
 from kerbside.sources.derived import derived
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,23 +71,22 @@ class Inputs:
 
     def settled_trips(self) -> DataFrame:
         """Cleaned trips for plans that read them more than once."""
-        clean = self.clean_trips()
-        return cut_lineage(clean) if self.checkpoint else clean
+        return staged(self.clean_trips(), self.staging)
 
     @property
-    def checkpoint(self) -> bool:
-        return names_checkpoint_folder(self._spark)
+    def staging(self) -> str | None:
+        return checkpoint_folder(self._spark)
 
     def overridden_trips(self) -> DataFrame:
         return on_time.attach_override(trips.scan_trips(self.trip), on_time.original_vehicles(self.vehicle_override))
 
     def placed_visits(self, clean: DataFrame) -> DataFrame:
-        days = trips.service_days(trips.scan_trips(self.trip))
+        span = trips.service_range(trips.scan_trips(self.trip))
         windows = visits.service_windows(clean)
-        return visits.prepare_visits(self.zone_visit, self.zone, self.anchored(), windows, days)
+        return visits.prepare_visits(self.zone_visit, self.zone, self.anchored(), windows, span)
 
     def report(self, **options) -> DataFrame:
-        return on_time.otp_report(self.on_time(), **options)
+        return on_time.otp_report(self.on_time(), staging=self.staging, **options)
 
     def both_plans(self) -> tuple[stops.Snapshot, stops.Snapshot]:
         return self.snapshot("pend"), self.snapshot("plan")
@@ -201,9 +200,12 @@ def service_window(t: Inputs) -> DataFrame:
 
 @query
 def zone_visits_window(t: Inputs) -> DataFrame:
-    kept = visits.drop_other_categories(ZONE_VISIT.select_from(t.zone_visit), t.zone)
-    days = trips.service_days(trips.scan_trips(t.trip))
-    return visits.visits_in_windows(kept, visits.service_windows(t.clean_trips()), days)
+    span = trips.service_range(trips.scan_trips(t.trip))
+    if span is None:
+        return visits.visits_in_windows(ZONE_VISIT.select_from(t.zone_visit), visits.service_windows(t.clean_trips()))
+    near = visits.visits_near_days(ZONE_VISIT.select_from(t.zone_visit), span)
+    kept = visits.drop_other_categories(near, t.zone)
+    return visits.visits_in_windows(kept, visits.service_windows(t.clean_trips()), (span[1] - span[0]).days + 1)
 
 
 @query
@@ -227,13 +229,13 @@ def visit_match(t: Inputs) -> DataFrame:
 @query
 def closest_visit(t: Inputs) -> DataFrame:
     clean = t.settled_trips()
-    return visits.closest_visits(clean, t.placed_visits(clean), t.checkpoint)
+    return visits.closest_visits(clean, t.placed_visits(clean), t.staging)
 
 
 @query
 def arrival_choice(t: Inputs) -> DataFrame:
     clean = t.settled_trips()
-    closest = visits.closest_visits(clean, t.placed_visits(clean), t.checkpoint)
+    closest = visits.closest_visits(clean, t.placed_visits(clean), t.staging)
     return on_time.on_time_candidates(clean, closest, Cutoffs(), "GPS", "Schedule").select(
         "rp_route", "rp_vehicle", "anchor_abbrev", "effective_date", "direction", "expected_time", "zone", "gps_time",
         "gps_delay", "actual_time", "delay_time", "arrival", "arrival_source", "delay_combined", "arrival_in_window",
@@ -321,7 +323,25 @@ def otp_summary(t: Inputs) -> DataFrame:
 def history_merge(t: Inputs) -> DataFrame:
     measures = [c for c in daily_rates.RATE_HEADINGS if c != "otp_date"]
     held = t.history.select("otp_date", *measures[:2], *[F.lit(None).cast("double").alias(c) for c in measures[2:]])
-    return _rounded(update_history(held, t.report()))
+    return _rounded(update_history(held, t.report(), staging=t.staging))
+
+
+def _two_level_history(t: Inputs) -> DataFrame:
+    """The history as its sheet holds it: two rows of headings, joined to one."""
+    published = list(daily_rates.RATE_HEADINGS.values())
+    groups, names = zip(*[h.rsplit("_", 1) if "OTP_W" not in h else h.split("_", 1) for h in published], strict=True)
+    above = [g if i == 0 or g != groups[i - 1] else None for i, g in enumerate(groups)]
+    measures = [F.lit(None).cast("double").alias(f"m{i}") for i in range(len(published) - 3)]
+    held = t.history.select("otp_date", "otp_am", "otp_pm", *measures)
+    return held.toDF(*history.flat_headings(above, list(names)))
+
+
+@query
+def history_headings(t: Inputs) -> DataFrame:
+    updated = update_history(_two_level_history(t), t.report(), staging=t.staging)
+    return updated.select(
+        "OTP_Date", *[F.round(history.quoted(c), 6).alias(c) for c in updated.columns if c != "OTP_Date"]
+    )
 
 
 @query

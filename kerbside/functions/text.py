@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 
 def squish(col: Column) -> Column:
-    """Trim and collapse every run of white space to one space."""
-    return F.trim(F.regexp_replace(col, r"\s+", " "))
+    """Trim and collapse every run of white space, that of Unicode included, to one space."""
+    return F.trim(F.regexp_replace(col, r"[\s\p{Z}]+", " "))
 
 
 def squish_strings(df: DataFrame) -> DataFrame:
@@ -44,10 +44,12 @@ def stop_text(custom_description: Column, description: Column) -> Column:
 
 
 def number_text(df: DataFrame, name: str, qualified: str | None = None) -> Column:
-    """A number as text; whole floating-point numbers are written without a fraction."""
+    """A number as text in plain decimals, without trailing zeros; of floating-point numbers up to 15 places count."""
     col = F.col(qualified or name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return F.regexp_replace(col.cast("string"), r"\.0$", "")
+        text = col.cast("string")
+        plain = F.regexp_replace(col.try_cast("decimal(38,15)").cast("string"), r"\.?0+$", "")
+        return F.when(text.rlike("E|\\.0$"), F.coalesce(F.when(plain == "", "0").otherwise(plain), text)).otherwise(text)
     return col.cast("string")
 
 
@@ -61,6 +63,12 @@ def clock_text(seconds: Column) -> Column:
     )
 
 
+def numeric(route: Column) -> Column:
+    """A route as a double; null if its text is not a number (a type suffix such as D makes it none)."""
+    number = F.when(F.trim(route.cast("string")).rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), route)
+    return number.try_cast("double")
+
+
 def route_number(route: Column) -> Column:
     """A route as an integer, fractions cut; null if it is not numeric."""
-    return route.try_cast("double").try_cast("int")
+    return numeric(route).try_cast("int")

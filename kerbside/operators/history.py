@@ -8,7 +8,6 @@ import warnings
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.operators.joins import join_on
 
 
 def check_columns(history: DataFrame, updates: DataFrame, allow_unmatched: bool = False) -> list[str]:
@@ -27,9 +26,9 @@ def check_keys(history: DataFrame, updates: DataFrame, key: str) -> None:
 
     Only counts reach the driver.
     """
-    wanted = updates.groupBy(key).agg(F.count(F.lit(1)).alias("__updates"))
-    held = history.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    joined = wanted.join(held, key, "left")
+    wanted = updates.groupBy(quoted(key).alias("__key")).agg(F.count(F.lit(1)).alias("__updates"))
+    held = history.groupBy(quoted(key).alias("__key")).agg(F.count(F.lit(1)).alias("__rows"))
+    joined = wanted.join(held, "__key", "left")
     repeated = F.col("__updates") > 1
     unclear = F.coalesce("__rows", F.lit(0)) != 1
     found = joined.agg(F.count_if(repeated).alias("repeated"), F.count_if(unclear).alias("unclear")).first()
@@ -56,14 +55,22 @@ def merge_history(
         check_keys(history, updates, key)
     values = [c for c in history.columns if c != key]
     shared = [c for c in values if c in updates.columns]
-    renamed = updates.select(F.col(key), *[F.col(c).alias(f"__new_{c}") for c in shared], F.lit(True).alias("__hit"))
-    joined = history.join(renamed, key, "left")
+    new = {c: f"__new_{i}" for i, c in enumerate(shared)}
+    renamed = updates.select(
+        quoted(key).alias("__key"), *[quoted(c).alias(n) for c, n in new.items()], F.lit(True).alias("__hit")
+    )
+    joined = history.join(renamed, quoted(key) == F.col("__key"), "left")
 
     def merged(name: str) -> Column:
-        new = F.col(f"__new_{name}") if name in shared else F.lit(None)
-        return F.when(F.col("__hit"), new).otherwise(F.col(name)).cast(history.schema[name].dataType).alias(name)
+        value = F.col(new[name]) if name in new else F.lit(None)
+        return F.when(F.col("__hit"), value).otherwise(quoted(name)).cast(history.schema[name].dataType).alias(name)
+
+    return joined.select(*[quoted(c) if c == key else merged(c) for c in history.columns])
+
 
-    return joined.select(*[F.col(c) if c == key else merged(c) for c in history.columns])
+def quoted(name: str) -> Column:
+    """A column whose name may hold dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def flat_headings(groups: list[str | None], names: list[str | None]) -> list[str]:
@@ -98,22 +105,25 @@ def fill_down(
         running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(running) for c in columns})
 
-    chunked = df.withColumn("__chunk", chunk)
+    # Never-null texts as keys: the window and the join that follows it share one partitioning of the rows.
+    names = [f"__key_{i}" for i in range(len(partition_by) + 1)]
+    values = [*[F.col(c) for c in partition_by], chunk]
+    keys = {n: F.coalesce(F.concat(F.lit("="), v.cast("string")), F.lit("")) for n, v in zip(names, values, strict=True)}
+    chunked = df.withColumn("__chunk", chunk).withColumns(keys)
     place = F.struct(*order)
     last_known = [F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"__last_{c}") for c in columns]
-    ends = chunked.groupBy(*partition_by, "__chunk").agg(*last_known)
-    earlier = Window.partitionBy(*partition_by).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = chunked.groupBy(*names, "__chunk").agg(*last_known)
+    earlier = Window.partitionBy(*names[:-1]).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(
-        *partition_by,
-        "__chunk",
+        *names,
         *[F.last(f"__last_{c}", ignorenulls=True).over(earlier).alias(f"__carry_{c}") for c in columns],
     )
     within = (
-        Window.partitionBy(*partition_by, "__chunk")
+        Window.partitionBy(*names)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = chunked.withColumns({c: F.last(c, ignorenulls=True).over(within) for c in columns})
-    joined = join_on(local, carried, null_safe=[*partition_by, "__chunk"])
+    joined = local.join(carried, names, "left")
     filled = {c: F.coalesce(F.col(c), F.col(f"__carry_{c}")) for c in columns}
     return joined.withColumns(filled).select(*df.columns)

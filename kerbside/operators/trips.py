@@ -42,7 +42,15 @@ def scan_trips(
 
 
 def service_days(scanned: DataFrame, first_day: Day | None = None, last_day: Day | None = None) -> int:
-    """Upper bound on the number of service dates: the length of the asked range, or that of the dates in the trips.
+    """Upper bound on the number of service dates: the length of ``service_range``."""
+    span = service_range(scanned, first_day, last_day)
+    return (span[1] - span[0]).days + 1 if span else 0
+
+
+def service_range(
+    scanned: DataFrame, first_day: Day | None = None, last_day: Day | None = None
+) -> tuple[dt.date, dt.date] | None:
+    """The first and the last service date: the asked ones, or those of the trips; None without trips.
 
     For an open range two values, the first and the last date, are read from the trips.
     """
@@ -50,16 +58,22 @@ def service_days(scanned: DataFrame, first_day: Day | None = None, last_day: Day
         span = scanned.agg(F.min("effective_date"), F.max("effective_date")).first()
         first_day, last_day = first_day or span[0], last_day or span[1]
     if first_day is None or last_day is None:
-        return 0
-    return (dt.date.fromisoformat(str(last_day)) - dt.date.fromisoformat(str(first_day))).days + 1
+        return None
+    return dt.date.fromisoformat(str(first_day)), dt.date.fromisoformat(str(last_day))
 
 
-def apply_location_schedule(pm_trips: DataFrame, location_schedule: DataFrame) -> DataFrame:
+def apply_location_schedule(
+    pm_trips: DataFrame,
+    location_schedule: DataFrame,
+    first_day: Day | None = None,
+    last_day: Day | None = None,
+) -> DataFrame:
     """Outbound trips with planned and actual time from the schedule by location; the delay stays that of the trip.
 
-    Copies of a schedule row are dropped first, so that a group of copies cannot multiply with the trips.
+    Copies of a schedule row are dropped first, so that a group of copies cannot multiply with the trips. The asked days
+    bound the scan of the schedule.
     """
-    times = LOCATION_SCHEDULE.select_from(location_schedule).distinct()
+    times = in_days(LOCATION_SCHEDULE.select_from(location_schedule), "effective_date", first_day, last_day).distinct()
     times = times.withColumnsRenamed({"planned_time": "expected_time"})
     return join_on(
         pm_trips.drop("expected_time", "actual_time"),
@@ -88,14 +102,20 @@ def name_routes(routes: DataFrame, route_sets: DataFrame) -> DataFrame:
 
 
 def clean_trips(
-    trips: DataFrame, location_schedule: DataFrame, anchored: DataFrame, named_routes: DataFrame
+    trips: DataFrame,
+    location_schedule: DataFrame,
+    anchored: DataFrame,
+    named_routes: DataFrame,
+    first_day: Day | None = None,
+    last_day: Day | None = None,
 ) -> DataFrame:
     """Scanned trips with schedule times, cleaned texts, planned time on the service date, anchor, names and route.
 
     Inbound trips take no part in the join with the schedule, so they are not shuffled for it.
     """
     inbound = trips.filter(F.col("direction") == "I")
-    outbound = apply_location_schedule(trips.filter(F.col("direction") == "O"), location_schedule)
+    outbound = trips.filter(F.col("direction") == "O")
+    outbound = apply_location_schedule(outbound, location_schedule, first_day, last_day)
     both = squish_strings(inbound.unionByName(outbound))
     dated = both.withColumn("expected_time", rebase_date(F.col("expected_time"), F.col("effective_date")))
     resolved = resolve_anchor(dated, anchored)

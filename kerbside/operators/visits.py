@@ -23,7 +23,7 @@ from kerbside.functions.text import squish_strings
 from kerbside.functions.times import MICROS_PER_MINUTE, delay_minutes, micros_between, micros_of_day
 from kerbside.operators.joins import join_on
 from kerbside.schemas import ZONE, ZONE_VISIT
-from kerbside.session import cut_lineage
+from kerbside.session import staged
 
 HALF_DAY = ["effective_date", "direction"]
 TRIP_KEY = ["rp_vehicle", "anchor_abbrev", "rp_route", "expected_time"]
@@ -61,6 +61,26 @@ def service_windows(trips: DataFrame, as_of: dt.datetime | None = None) -> DataF
     return bounds.select(*HALF_DAY, start.alias("start_time"), end.alias("end_time"))
 
 
+def visits_near_days(
+    visits: DataFrame, span: tuple[dt.date, dt.date], as_of: dt.datetime | None = None
+) -> DataFrame:
+    """Visits that a window of these service dates can hold. A range of literals, so that it reaches the scan.
+
+    Planned times lie on their service date, and windows reach 30 minutes beyond them.
+    """
+    margin = dt.timedelta(minutes=30)
+    start = dt.datetime.combine(span[0], dt.time()) - margin
+    end = dt.datetime.combine(span[1], dt.time()) + dt.timedelta(days=1) + margin
+    if as_of is not None:
+        end = min(end, as_of.replace(tzinfo=None))
+    time_in = F.col("time_in")
+    return visits.filter((time_in >= _moment(start)) & (time_in <= _moment(end)))
+
+
+def _moment(at: dt.datetime) -> Column:
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def visits_in_windows(visits: DataFrame, windows: DataFrame, service_days: int | None = None) -> DataFrame:
     """Visits with the date and direction of every service window they start in, both ends included.
 
@@ -84,10 +104,21 @@ def visit_anchors(visits: DataFrame, anchored: DataFrame) -> DataFrame:
 
 
 def prepare_visits(
-    visits: DataFrame, zones: DataFrame, anchored: DataFrame, windows: DataFrame, service_days: int | None = None
+    visits: DataFrame,
+    zones: DataFrame,
+    anchored: DataFrame,
+    windows: DataFrame,
+    span: tuple[dt.date, dt.date] | None = None,
+    as_of: dt.datetime | None = None,
 ) -> DataFrame:
-    """Visits that can be matched: category, window and anchor applied."""
-    kept = drop_other_categories(ZONE_VISIT.select_from(visits), zones)
+    """Visits that can be matched: category, window and anchor applied.
+
+    ``span``, the first and the last service date, bounds the scan of the visits and the number of windows.
+    """
+    typed, service_days = ZONE_VISIT.select_from(visits), None
+    if span is not None:
+        typed, service_days = visits_near_days(typed, span, as_of), (span[1] - span[0]).days + 1
+    kept = drop_other_categories(typed, zones)
     placed = visit_anchors(visits_in_windows(kept, windows, service_days), anchored)
     return placed.select(
         F.col("asset").alias("rp_vehicle"),
@@ -146,11 +177,13 @@ def zone_spots(visits: DataFrame, asked: DataFrame, match_key: list[str]) -> Dat
     return zones.agg(F.array_sort(F.collect_list(spot)).alias("spots"), F.sum("n").alias("n_visits"))
 
 
-def spots_around(asked: DataFrame, spots: DataFrame, match_key: list[str]) -> DataFrame:
+def spots_around(
+    asked: DataFrame, spots: DataFrame, match_key: list[str], all_without_time: bool = True
+) -> DataFrame:
     """For every planned minute and zone the list of visit minutes that can be nearest to a time in that minute.
 
     These are the minute itself and the two before and after it that have visits: whole-minute gaps that are equal
-    come from two neighbouring minutes. Without a planned time all minutes are kept.
+    come from two neighbouring minutes. Without a planned time all minutes are kept, or the first of them.
     """
     planned, all_spots = F.col("planned_minute"), F.col("spots")
     before = F.filter(all_spots, lambda s: s["minute"] < planned)
@@ -158,7 +191,8 @@ def spots_around(asked: DataFrame, spots: DataFrame, match_key: list[str]) -> Da
     after = F.filter(all_spots, lambda s: s["minute"] > planned)
     last_two = F.slice(before, F.greatest(F.size(before) - 1, F.lit(1)), 2)
     around = F.concat(last_two, own, F.slice(after, 1, 2))
-    near = F.when(planned == NO_TIME, all_spots).otherwise(around)
+    without_time = all_spots if all_without_time else F.slice(all_spots, 1, 1)
+    near = F.when(planned == NO_TIME, without_time).otherwise(around)
     return asked.join(spots, match_key).withColumn("near", near).drop("spots")
 
 
@@ -168,11 +202,11 @@ def _gap(spot: Column, expected_micros: Column) -> Column:
     return F.floor(F.greatest(after, before, F.lit(0)) / MICROS_PER_MINUTE).cast("int")
 
 
-def match_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
+def match_visits(trips: DataFrame, visits: DataFrame, all_without_time: bool = True) -> DataFrame:
     """One row per distinct trip and zone (and category) visited by its vehicle at its anchor.
 
     ``gap`` is the number of whole minutes to the nearest visit, null without a planned time. ``near`` lists the minutes
-    with visits at that gap, or all of them without a planned time.
+    with visits at that gap; without a planned time all of them, or the first.
     """
     keys = _text_keys("rp_vehicle", "anchor_abbrev")
     match_key = [*keys, *HALF_DAY]
@@ -184,7 +218,7 @@ def match_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
         }
     )
     asked = keyed.select(*match_key, "planned_minute").distinct()
-    around = spots_around(asked, zone_spots(visits, asked, match_key), match_key)
+    around = spots_around(asked, zone_spots(visits, asked, match_key), match_key, all_without_time)
     paired = keyed.distinct().join(around, [*match_key, "planned_minute"]).drop(*keys, "planned_minute")
     micros = F.col("planned_micros")
     gap = F.when(micros.isNotNull(), F.array_min(F.transform("near", lambda s: _gap(s, micros))))
@@ -212,15 +246,15 @@ def _result(found: DataFrame) -> DataFrame:
     )
 
 
-def closest_visits(trips: DataFrame, visits: DataFrame, checkpoint: bool = False) -> DataFrame:
+def closest_visits(trips: DataFrame, visits: DataFrame, staging: str | None = None) -> DataFrame:
     """Per zone, vehicle, route and half-day the visits with the least absolute delay, ties included.
 
-    Trips without a planned time count only where their group has no other; then every visit ties. ``checkpoint``
-    writes the matches first; they are read twice.
+    Trips without a planned time count only where their group has no other; then every visit ties. The
+    matches are read twice; ``staging``, a shared folder, has them written there first.
     """
     keys = _text_keys(*ZONE_KEY)
     matches = match_visits(trips, visits).drop("n_visits")
-    best = _best_of_group(cut_lineage(matches) if checkpoint else matches)
+    best = _best_of_group(staged(matches, staging))
     asked = best.select(*TRIP_KEY, *HALF_DAY, "zone", "gps_category", "gap", F.explode("near.minute").alias("minute"))
     offered = visits.withColumns(keys).withColumn("minute", _minute("gps_time")).drop(*ZONE_KEY)
     found = asked.withColumns(keys).join(offered, [*keys, *HALF_DAY, "minute"])
@@ -228,18 +262,17 @@ def closest_visits(trips: DataFrame, visits: DataFrame, checkpoint: bool = False
     return _result(found.filter(F.col("gap").isNull() | (F.abs(delay) == F.col("gap"))))
 
 
-def nearest_visits(trips: DataFrame, visits: DataFrame, checkpoint: bool = False) -> DataFrame:
+def nearest_visits(trips: DataFrame, visits: DataFrame, staging: str | None = None) -> DataFrame:
     """Those of the closest visits that a report can pick, without going back to the visits.
 
     Per trip, zone and minute only one is left: the first in minutes after the planned one and in the planned minute
     itself, the last in minutes before it; without a planned time the first of all. ``one_per_route`` prefers exactly
-    these, so the pick is the same as from all ties. ``checkpoint`` writes the matches first; they are read twice.
+    these, so the pick is the same as from all ties. The matches are read twice; ``staging``, a shared folder,
+    has them written there first.
     """
-    expected = F.col("expected_time")
-    matches = match_visits(trips, visits).drop("n_visits")
-    best = _best_of_group(cut_lineage(matches) if checkpoint else matches)
-    kept = F.when(expected.isNull(), F.slice("near", 1, 1)).otherwise(F.col("near"))
-    spots = best.select(*TRIP_KEY, *HALF_DAY, "zone", "gps_category", F.explode(kept).alias("spot"))
+    matches = match_visits(trips, visits, all_without_time=False).drop("n_visits")
+    best = _best_of_group(staged(matches, staging))
+    spots = best.select(*TRIP_KEY, *HALF_DAY, "zone", "gps_category", F.explode("near").alias("spot"))
     earlier = F.col("spot.minute") < _minute("expected_time")
     return _result(
         spots.withColumns(

@@ -73,7 +73,7 @@ def lateness_flags(uncovered: Column, delay: Column) -> dict[str, Column]:
 
 def prepare_raw(report: DataFrame, oldstyle: bool = False) -> DataFrame:
     """Report rows in the flat layout; rows that already have it are returned as they are."""
-    if set(FLAT_HEADINGS) <= set(report.columns):
+    if set(FLAT_HEADINGS) - set(OLD_LAYOUT_DROPS) <= set(report.columns):
         return report
     require_columns(
         report, ["rp_route", "rp_vehicle", "date", "expected_time", "arrival", "delay_combined"], "on-time report"
@@ -136,6 +136,7 @@ def _measures() -> dict[str, tuple[Column, str]]:
 def otp_summary(report_or_raw: DataFrame) -> DataFrame:
     """The 17 on-time rates of every date, over rows that are not excluded. One combining aggregate."""
     raw = prepare_raw(report_or_raw)
+    require_columns(raw, ["excluded"], "flat layout")
     counted = ~F.col("excluded")
     rates = [F.avg(F.when(counted & rows, F.col(flag))).alias(name) for name, (rows, flag) in _measures().items()]
     return raw.groupBy(F.col("date").alias("otp_date")).agg(*rates)
@@ -145,3 +146,9 @@ def published_names(df: DataFrame) -> DataFrame:
     """A flat layout or a summary under its published headings (those with dots need back-ticks in Spark)."""
     headings = RATE_HEADINGS if "otp_date" in df.columns else FLAT_HEADINGS
     return df.select(*[F.col(c).alias(h) for c, h in headings.items() if c in df.columns])
+
+
+def own_names(df: DataFrame) -> DataFrame:
+    """Columns under published headings get the names used here; others keep theirs. The inverse of ``published_names``."""
+    ours = {h: c for c, h in {**FLAT_HEADINGS, **RATE_HEADINGS}.items()}
+    return df.toDF(*[ours.get(c, c) for c in df.columns])

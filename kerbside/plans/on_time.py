@@ -14,7 +14,7 @@ from kerbside.functions.text import garage_short, squish_strings
 from kerbside.functions.times import delay_minutes
 from kerbside.operators.buildings import anchored_buildings, zone_anchors
 from kerbside.operators.joins import join_on, with_membership
-from kerbside.operators.trips import Day, clean_trips, in_days, name_routes, scan_trips, service_days
+from kerbside.operators.trips import Day, clean_trips, in_days, name_routes, scan_trips, service_range
 from kerbside.operators.uncovered import attach_uncovered
 from kerbside.operators.visits import (
     HALF_DAY,
@@ -25,7 +25,7 @@ from kerbside.operators.visits import (
     service_windows,
 )
 from kerbside.schemas import VEHICLE_OVERRIDE
-from kerbside.session import cut_lineage, names_checkpoint_folder
+from kerbside.session import staged
 
 REPORT_COLUMNS = [
     "rp_vehicle", "rp_route", "expected_time", "arrival", "delay_combined", "actual_time", "gps_time", "delay_time",
@@ -149,14 +149,15 @@ def otp_report(
     gps_label: str = "GPS",
     system_label: str = "Schedule",
     keep_listed: bool = False,
-    checkpoint: bool | None = None,
+    staging: str | None = None,
 ) -> DataFrame:
     """On-time report over a range of days.
 
     Many days and both half-days are one plan; date and direction are part of every key, so the result is that of one
     run per day and half-day. ``include_visits=False`` rests on the schedule system alone. ``keep_listed`` adds the
-    column ``listed_uncovered`` for ``covered_trips``. ``checkpoint`` writes the cleaned trips and their visit matches,
-    which the plan reads more than once, to the checkpoint folder first; by default if the session names that folder.
+    column ``listed_uncovered`` for ``covered_trips``. The cleaned trips and their visit matches are read more than
+    once; ``staging``, a shared folder, has them written there while the plan is built. A range of days bounds the scans
+    of trips, schedule and visits; for an open end the first or last date is read from the trips.
     """
     anchored = anchored_buildings(tables.buildings)
     scanned = scan_trips(tables.trips, half_days, first_day, last_day)
@@ -165,18 +166,15 @@ def otp_report(
         tables.location_schedule,
         anchored,
         name_routes(tables.routes, tables.route_sets),
+        first_day,
+        last_day,
     )
-    if checkpoint is None:
-        checkpoint = names_checkpoint_folder(tables.trips.sparkSession)
-    if checkpoint:
-        trips = cut_lineage(trips)
-
-    if include_visits:
-        visits, days = tables.visits, service_days(scanned, first_day, last_day)
-    else:
-        visits, days = tables.visits.filter(F.lit(False)), None
-    placed = prepare_visits(visits, tables.zones, anchored, service_windows(trips, as_of), days)
-    nearest = nearest_visits(trips, placed, checkpoint)
+    trips = staged(trips, staging)
+
+    span = service_range(scanned, first_day, last_day) if include_visits else None
+    visits = tables.visits if span else tables.visits.filter(F.lit(False))
+    placed = prepare_visits(visits, tables.zones, anchored, service_windows(trips, as_of), span, as_of)
+    nearest = nearest_visits(trips, placed, staging)
     best = one_per_route(on_time_candidates(trips, nearest, cutoffs, gps_label, system_label), prefer_not_early)
 
     # One original vehicle per picked row, the first in text order: the pick has one row per route and day.

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.rules import direction_code
-from kerbside.functions.text import clock_text, number_text, route_number
+from kerbside.functions.text import clock_text, number_text, numeric, route_number
 from kerbside.operators.joins import join_on, with_membership
 from kerbside.operators.stops import Snapshot, enrich_routes, point_texts, stop_changes
 
@@ -200,7 +200,7 @@ def _compare_routes(pending: Snapshot, plan: Snapshot, thresholds: Thresholds, f
         route_number(F.col("visible_route_id")).cast("bigint").alias("__number"),
     )
     old_rule = old_change_rule(old_routes, new_routes, fixes.old_rule_key)
-    number = F.col("route").try_cast("double").try_cast("bigint")
+    number = numeric(F.col("route")).try_cast("bigint")
     return with_membership(diffs, "__number", old_rule.select(number.alias("route")), "route", "in_old_rule").drop(
         "__number"
     )

@@ -6,17 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.operators.history import merge_history
-from kerbside.plans.daily_rates import otp_summary
-from kerbside.session import cut_lineage
+from kerbside.plans.daily_rates import otp_summary, own_names
+from kerbside.session import staged
 
 
-def update_history(history: DataFrame, report: DataFrame, allow_unmatched: bool = False) -> DataFrame:
+def update_history(
+    history: DataFrame, report: DataFrame, allow_unmatched: bool = False, staging: str | None = None
+) -> DataFrame:
     """Summarise a report and overwrite its dates in the history, whose key ``otp_date`` is a date or its US text.
 
-    The summary has one row per date. It is written to the checkpoint folder, so that checking its keys and merging it
-    do not run the report twice.
+    The history may carry its published headings (see ``flat_headings`` for those in two levels); the result has the same.
+    The summary has one row per date. It is read twice, to check its keys and to merge it; ``staging``, a shared folder,
+    saves the second run of the report.
     """
-    summary = cut_lineage(otp_summary(report))
+    headings = history.columns
+    history = own_names(history)
+    summary = staged(otp_summary(report), staging)
     if dict(history.dtypes)["otp_date"] == "date":
         summary = summary.withColumn("otp_date", F.to_date("otp_date", "MM/dd/yyyy"))
-    return merge_history(history, summary, "otp_date", allow_unmatched)
+    return merge_history(history, summary, "otp_date", allow_unmatched).toDF(*headings)

@@ -1,8 +1,8 @@
-"""Session settings and lineage cuts."""
+"""Session settings and staging."""
 
 from __future__ import annotations
 
-import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,17 +23,20 @@ def local_session(cores: str = "*", app_name: str = "kerbside", **settings: str)
     return builder.getOrCreate()
 
 
-def names_checkpoint_folder(spark: SparkSession) -> bool:
-    return bool(spark.conf.get("spark.checkpoint.dir", None))
+def checkpoint_folder(spark: SparkSession) -> str | None:
+    """The shared folder that the session names, for callers that want to stage there."""
+    return spark.conf.get("spark.checkpoint.dir", None) or None
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there; lost executors then cost no recomputation.
+def stage(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` written as Parquet below ``folder`` and read from there; lost executors then cost no recomputation.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``; a temporary one is used only if it names none.
+    All executors must share the folder. Whoever names it removes what is left there once results are read.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="kerbside-checkpoint-"))
-    return df.checkpoint()
+    path = f"{folder.rstrip('/')}/stage-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged(df: DataFrame, folder: str | None) -> DataFrame:
+    return stage(df, folder) if folder else df

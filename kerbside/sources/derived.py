@@ -47,7 +47,8 @@ SELECT DISTINCT CAST(ts AS DATE) AS effective_date, CAST(10000 + event_id % 120
  concat('B', CAST(user_id AS STRING)) AS rp_vehicle, concat('S', CAST(user_id AS STRING)) AS original_rp_vehicle FROM events WHERE event_id % 21 = 0
 """,
     "uncovered": r"""
-SELECT DISTINCT CAST(e.ts AS DATE) AS date, CASE WHEN e.event_id % 2 = 0 THEN 'am' ELSE 'PM' END AS ampm, concat(' ', s.route_set_name) AS route_set, concat('B', CAST(e.user_id AS STRING)) AS bus
+SELECT DISTINCT CAST(e.ts AS DATE) AS date, CASE WHEN e.event_id % 66 = 0 THEN 'AM' WHEN e.event_id % 2 = 0 THEN 'am' ELSE 'PM' END AS ampm,
+ CASE WHEN e.event_id % 66 = 0 THEN replace(s.route_set_name, '  ', ' ') WHEN e.event_id % 99 = 0 THEN concat(chr(160), s.route_set_name) ELSE concat(' ', s.route_set_name) END AS route_set, concat('B', CAST(e.user_id AS STRING)) AS bus
  FROM events e JOIN route_set s ON s.route_set_id = e.event_id % 120 % 40 WHERE e.event_id % 33 = 0
 """,
     "location_schedule": r"""
@@ -61,9 +62,10 @@ SELECT n_nationkey AS id, concat(CASE WHEN n_nationkey % 2 = 0 THEN 'SCHOOL NATI
 """,
     "history": r"""
 SELECT DISTINCT effective_date AS otp_date, CAST(NULL AS DOUBLE) AS otp_am, CAST(NULL AS DOUBLE) AS otp_pm FROM trip
+UNION ALL SELECT DATE '1990-01-01', 0.5, 0.25
 """,
     "route_pend": r"""
-SELECT o_orderkey AS record_id, CAST(o_orderkey AS STRING) AS visible_route_id, o_custkey AS vehicle_id, o_orderkey % 40 AS route_set_id,
+SELECT o_orderkey AS record_id, concat(CAST(o_orderkey AS STRING), CASE WHEN o_orderkey % 50 = 3 THEN 'D' ELSE '' END) AS visible_route_id, o_custkey AS vehicle_id, o_orderkey % 40 AS route_set_id,
  concat('NAME ', CAST(o_orderkey % 50 AS STRING)) AS name, CAST(o_orderkey % 60 AS INT) AS desired_load,
  CAST(o_orderkey % 60 + 0 * (o_orderkey % 15 - 7) AS INT) AS actual_load, CAST(1800 + 0 * (o_orderkey % 600 - 300) AS INT) AS route_time_s,
  CAST(floor(o_totalprice) + 0 * (o_orderkey % 400 - 200) AS INT) AS route_distance, CAST(25200 + 0 * (o_orderkey % 3) * 60 AS INT) AS anchor_time_s,
@@ -71,11 +73,14 @@ SELECT o_orderkey AS record_id, CAST(o_orderkey AS STRING) AS visible_route_id,
  o_orderkey % 2000 AS origin_point_id, (o_orderkey + 0 * (o_orderkey % 2)) % 2000 AS destination_point_id FROM orders WHERE o_orderkey % 20 <> 1
 """,
     "route_plan": r"""
-SELECT o_orderkey AS record_id, CAST(o_orderkey AS STRING) AS visible_route_id, o_custkey AS vehicle_id, o_orderkey % 40 AS route_set_id,
- concat('NAME ', CAST(o_orderkey % 51 AS STRING)) AS name, CAST(o_orderkey % 60 AS INT) AS desired_load,
+SELECT o_orderkey AS record_id, concat(CAST(o_orderkey AS STRING), CASE WHEN o_orderkey % 50 = 3 THEN 'D' ELSE '' END) AS visible_route_id,
+ CASE WHEN o_orderkey % 4 = 3 THEN o_custkey % 100 + 1 ELSE o_custkey END AS vehicle_id,
+ (o_orderkey + CASE WHEN o_orderkey % 9 = 0 THEN 1 ELSE 0 END) % 40 AS route_set_id,
+ concat('NAME ', CAST(o_orderkey % 51 AS STRING)) AS name, CAST(o_orderkey % 60 + (o_orderkey % 5 - 2) AS INT) AS desired_load,
  CAST(o_orderkey % 60 + 1 * (o_orderkey % 15 - 7) AS INT) AS actual_load, CAST(1800 + 1 * (o_orderkey % 600 - 300) AS INT) AS route_time_s,
- CAST(floor(o_totalprice) + 1 * (o_orderkey % 400 - 200) AS INT) AS route_distance, CAST(25200 + 1 * (o_orderkey % 3) * 60 AS INT) AS anchor_time_s,
- o_orderpriority AS days, CASE WHEN o_orderkey % 2 = 0 THEN 'Y' ELSE 'N' END AS anchor_time_at_origin,
+ CAST(floor(o_totalprice) + 1 * (o_orderkey % 400 - 200) AS INT) AS route_distance, CAST(25200 + (o_orderkey % 3 - 1) * 60 AS INT) AS anchor_time_s,
+ CASE WHEN o_orderkey % 6 = 0 THEN 'MTW' ELSE o_orderpriority END AS days,
+ CASE WHEN (o_orderkey + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END) % 2 = 0 THEN 'Y' ELSE 'N' END AS anchor_time_at_origin,
  o_orderkey % 2000 AS origin_point_id, (o_orderkey + 1 * (o_orderkey % 2)) % 2000 AS destination_point_id FROM orders WHERE o_orderkey % 20 <> 0
 """,
     "route_detail_pend": r"""

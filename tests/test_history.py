@@ -72,3 +72,24 @@ def test_fill_down_in_chunks_equals_one_window(spark):
 def test_fill_down_needs_a_partition(spark):
     with pytest.raises(ValueError):
         fill_down(spark.range(3), ["id"], [], ["id"])
+
+
+def test_history_with_published_headings(spark, history):
+    headed = history.toDF("OTP_Date", "AM.by.Time.Tier_7.30", "OTP_PM")
+    updates = spark.createDataFrame([(D[1], 0.9, 0.8)], HISTORY).toDF(*headed.columns)
+    merged = merge_history(headed, updates, key="OTP_Date")
+    assert merged.columns == headed.columns
+    assert sorted(map(tuple, merged.collect())) == [(D[0], 0.1, 0.2), (D[1], 0.9, 0.8), (D[2], None, None)]
+
+
+def test_filling_in_chunks_shuffles_the_rows_once(spark, tmp_path):
+    spark.range(1000).selectExpr(
+        "nullif(id % 7, 3) AS key", "id div 100 AS hour", "id AS i", "nullif(id % 5, 2) AS v"
+    ).write.parquet(f"{tmp_path}/rows")
+    filled = fill_down(spark.read.parquet(f"{tmp_path}/rows"), ["v"], ["key"], ["i"], chunk=F.col("hour"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = filled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 4  # the rows; their ends by chunk, by key and for the join

@@ -2,6 +2,7 @@
 
 import datetime as dt
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,8 +71,9 @@ def test_result_does_not_depend_on_partitions(spark, tables, report):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_checkpointed_run_is_the_same(tables, report):
-    assert rows(otp_report(tables, keep_listed=True, checkpoint=True)) == rows(report)
+def test_staged_run_is_the_same(tables, report, tmp_path):
+    assert rows(otp_report(tables, keep_listed=True, staging=tmp_path.as_uri())) == rows(report)
+    assert list(tmp_path.glob("stage-*/*.parquet"))
 
 
 def test_without_visits(tables):
@@ -165,6 +167,10 @@ def test_flat_layout(report):
     assert daily_rates.prepare_raw(raw) is raw
     old = daily_rates.prepare_raw(report, oldstyle=True)
     assert len(old.columns) == 26 and raw.columns[:26] == old.columns
+    assert daily_rates.prepare_raw(old) is old
+    with pytest.raises(ValueError, match="excluded"):
+        daily_rates.otp_summary(old)
+    assert daily_rates.own_names(daily_rates.published_names(raw)).columns == raw.columns
     assert "Planned.Anchor.Time" in daily_rates.published_names(raw).columns
     with pytest.raises(ValueError):
         daily_rates.prepare_raw(report.select("rp_route"))
@@ -182,3 +188,26 @@ def test_published_names_carry_the_systems(report):
     names = vendor_names(report, gps="Gps", system="Sys").columns
     assert len(names) == 34
     assert {"GpsActualTime", "GpsDelayTime", "InGps", "InSys", "ZoneInGps", "excludedShuttlesEtc"} <= set(names)
+
+
+def test_scans_are_bounded_by_the_asked_days(spark, tables, tmp_path):
+    day = dt.date.fromisoformat(str(tables.trips.agg(F.min("effective_date")).first()[0]))
+    tables.visits.write.parquet(f"{tmp_path}/visits")
+    schedule = tables.location_schedule
+    schedule.write.parquet(f"{tmp_path}/schedule")
+    trips = tables.trips.withColumn("effective_date", F.col("effective_date").cast("timestamp_ntz"))
+    stored = replace(
+        tables,
+        trips=trips,
+        visits=spark.read.parquet(f"{tmp_path}/visits"),
+        location_schedule=spark.read.parquet(f"{tmp_path}/schedule"),
+    )
+    one_day = otp_report(stored, day, day)
+    plan = one_day._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
+    seen = [line for line in pushed if "time_in" in line]
+    assert seen and all("GreaterThanOrEqual(time_in" in x and "LessThanOrEqual(time_in" in x for x in seen)
+    assert any("LessThanOrEqual(effective_date" in x and "GreaterThanOrEqual(effective_date" in x for x in pushed)
+    assert rows(one_day) == rows(otp_report(tables, day, day))

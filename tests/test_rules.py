@@ -116,12 +116,14 @@ def test_texts(spark):
     ).collect()
     assert tuple(got[0]) == ("a b", "GARAGE", "plain", "  a \t b\n")
     assert tuple(got[1]) == (None, None, None, "NA")
-    numbers = spark.createDataFrame([("0420",), ("12.7",), ("x",), ("99999999999",), (None,)], "r string")
-    assert [r[0] for r in numbers.select(text.route_number(F.col("r"))).collect()] == [420, 12, None, None, None]
+    numbers = spark.createDataFrame([("0420",), ("12.7",), ("x",), ("99999999999",), (None,), ("101D",), ("12f",)], "r string")
+    assert [r[0] for r in numbers.select(text.route_number(F.col("r"))).collect()] == [420, 12, None, None, None, None, None]
     seconds = spark.createDataFrame([(25200,), (86399,), (None,)], "s int")
     assert [r[0] for r in seconds.select(F.when(F.col("s").isNotNull(), text.clock_text(F.col("s")))).collect()] == ["07:00:00", "23:59:59", None]
-    lengths = spark.createDataFrame([(120.0,), (120.5,)], "d double")
-    assert [r[0] for r in lengths.select(text.number_text(lengths, "d")).collect()] == ["120", "120.5"]
+    spaces = spark.createDataFrame([("\u00a0a\u2003\u00a0b ",)], "s string")
+    assert spaces.select(text.squish(F.col("s"))).first()[0] == "a b"
+    lengths = spark.createDataFrame([(120.0,), (120.5,), (12345678.0,), (0.0005,), (0.0,), (None,)], "d double")
+    assert [r[0] for r in lengths.select(text.number_text(lengths, "d")).collect()] == ["120", "120.5", "12345678", "0.0005", "0", None]
 
 
 def test_times(spark):
