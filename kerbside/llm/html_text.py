@@ -181,7 +181,7 @@ def _keyed(pages: DataFrame) -> DataFrame:
     address = F.coalesce("url", F.lit(""))
     path = F.regexp_extract(address, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     return pages.select(
-        F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"),
+        F.col("page_id").cast("long").cast("string"), "url", F.coalesce("html", F.lit("")).alias("html"),
         F.xxhash64("page_id", "url", "html").alias("key"),
         F.lower(F.regexp_extract(address, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
         F.regexp_replace(path, r"(\.html?)?/*$", "").alias("path"),
@@ -220,7 +220,8 @@ def neighbours(paths: DataFrame) -> DataFrame:
         if held is not None:
             yield _nearest(held, first, True)
 
-    names = "host string, path string, key long, other long, near int, edge boolean"
+    # Keys that may be null go as text: pandas would make doubles of them.
+    names = "host string, path string, key string, other string, near int, edge boolean"
     ordered = paths.repartitionByRange("host", "path").sortWithinPartitions("host", "path")
     found = settle(ordered.mapInPandas(run, names), "near")
     ends = found.where("edge")
@@ -240,11 +241,11 @@ def neighbours(paths: DataFrame) -> DataFrame:
                     if x is not None and x["host"] == r.host and _common_prefix(x["path"], r.path) > best[0]:
                         best = (_common_prefix(x["path"], r.path), x["key"])
                 out.append((r.host, r.path, best[1]))
-            frame = pd.DataFrame(out, columns=["host", "path", "other"])
-            yield frame.assign(other=frame["other"].astype("Int64"))
+            yield pd.DataFrame(out, columns=["host", "path", "other"])
 
-    closed = both.mapInPandas(ends_of, "host string, path string, other long")
-    return found.where("not edge").select("host", "path", "other").unionByName(closed).where("other is not null")
+    closed = both.mapInPandas(ends_of, "host string, path string, other string")
+    near = found.where("not edge").select("host", "path", "other").unionByName(closed).where("other is not null")
+    return near.withColumn("other", F.col("other").cast("long"))
 
 
 def _nearest(rows: pd.DataFrame, first: bool, last: bool) -> pd.DataFrame:
@@ -259,10 +260,9 @@ def _nearest(rows: pd.DataFrame, first: bool, last: bool) -> pd.DataFrame:
             if 0 <= j < len(rows) and hosts[j] == hosts[i]:
                 near = _common_prefix(paths[i], paths[j])
                 if near > best:
-                    best, other = near, keys[j]
-        out.append((hosts[i], paths[i], keys[i], other, best, (first and i == 0) or (last and i == len(rows) - 1)))
-    frame = pd.DataFrame(out, columns=["host", "path", "key", "other", "near", "edge"])
-    return frame.assign(other=frame["other"].astype("Int64"))
+                    best, other = near, str(keys[j])
+        out.append((hosts[i], paths[i], str(keys[i]), other, best, (first and i == 0) or (last and i == len(rows) - 1)))
+    return pd.DataFrame(out, columns=["host", "path", "key", "other", "near", "edge"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -304,4 +304,5 @@ def extract(pages: DataFrame) -> DataFrame:
 
     joined = rows.select("key", "page_id", "url", "html").join(aligned, "key", "left")
     joined = joined.select("page_id", "url", "html", "shared")
-    return joined.mapInPandas(final, "page_id long, url string, text string")
+    done = joined.mapInPandas(final, "page_id string, url string, text string")
+    return done.withColumn("page_id", F.col("page_id").cast("long"))

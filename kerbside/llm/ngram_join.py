@@ -75,9 +75,10 @@ def shingle_sets(texts: list[str], width: int) -> Iterator[np.ndarray]:
     """Of each text the sorted distinct hashes of its ``width``-word shingles; all words as one if there are fewer."""
     hashes, at, _ = word_hashes(texts)
     factors = mixed(np.arange(width), 2) | np.uint64(1)
-    whole = np.zeros(max(0, len(hashes) - width + 1), np.uint64)
+    n = max(0, len(hashes) - width + 1)
+    whole = np.zeros(n, np.uint64)
     for j in range(width):
-        whole += hashes[j : len(hashes) - width + 1 + j] * factors[j]
+        whole += hashes[j : n + j] * factors[j]
     whole = mixed(whole, width)
     for a, b in zip(at[:-1], at[1:], strict=True):
         if b - a >= width:
@@ -150,7 +151,8 @@ def set_id(features: np.ndarray) -> int:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    """doc_id as text (pandas would make doubles of whole numbers with nulls among them) and text without nulls."""
+    return docs.select(F.col("doc_id").cast("long").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def sign(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -159,7 +161,7 @@ def sign(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bands = Bands(num, den)
         for batch in batches:
-            keys, texts = batch["doc_id"].astype("Int64"), batch["text"].tolist()
+            keys, texts = batch["doc_id"].tolist(), batch["text"].tolist()
             for part in slices(texts, 2_000_000):
                 rows, seen = [], set()
                 for features in shingle_sets(texts[part], width):
@@ -171,11 +173,11 @@ def sign(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
                         signed = bands.signatures(features).view(np.int64)
                         rows.append((len(features), sid, odd_sketch(features), signed))
                 out = pd.DataFrame(rows, columns=["n", "sid", "sketch", "sigs"])
-                out.insert(0, "doc_id", keys.iloc[part].to_numpy())
-                out["doc_id"] = out["doc_id"].astype("Int64")
+                out.insert(0, "doc_id", keys[part])
                 yield out
 
-    return _texts(docs).mapInPandas(run, "doc_id long, n long, sid long, sketch binary, sigs array<long>")
+    rows = _texts(docs).mapInPandas(run, "doc_id string, n long, sid long, sketch binary, sigs array<long>")
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
@@ -335,7 +337,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     groups = settle(shared(signed), "shared")
     own = classes.join(groups.select("sid").distinct(), "sid")
     own = settle(own, "classes")
-    texts = _texts(docs).join(own.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
+    wanted = own.select(F.col("rep").cast("string").alias("rep")).distinct()
+    texts = _texts(docs)
+    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["rep"])).drop("rep")
     sets = settle(feature_sets(texts, width).dropDuplicates(["sid"]), "sets")
     rows = groups.join(own.select("sid", "n", "sketch"), "sid")
     stars = candidates(rows.withColumn("label", F.col("sid")), num, den, rest=False)

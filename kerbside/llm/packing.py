@@ -35,21 +35,21 @@ def encode_pieces(docs: DataFrame, tokenizer: str, end_id: int, window: int = WI
         enc = encoder(tokenizer, spaced)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            keys, texts = batch["doc_id"], batch["text"].tolist()
+            keys, texts = batch["doc_id"].tolist(), batch["text"].tolist()
             for part in slices(texts):
                 rows = []
-                for key, raw in zip(keys.iloc[part], enc.encode(texts[part]), strict=True):
+                for key, raw in zip(keys[part], enc.encode(texts[part]), strict=True):
                     ids = np.frombuffer(raw, enc.dtype).astype("<u4").tobytes() + end
                     n = len(ids) // 4
                     for at in range(0, n, window):
                         piece = ids[4 * at : 4 * (at + window)]
                         rows.append((key, at, len(piece) // 4, zlib.crc32(piece), n))
-                out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+                yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    # As text, since pandas would make doubles of whole numbers with nulls among them.
+    rows = docs.select(F.col("doc_id").cast("long").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
+    pieces = rows.mapInPandas(run, "doc_id string, start long, length long, ids_crc32 long, doc_tokens long")
+    return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def combinations(size: int, depth: int) -> list[tuple[int, ...]]:
@@ -187,8 +187,10 @@ def pack(pieces: DataFrame, window: int = WINDOW, step: int = STEP, depth: int =
                 slots[own] = tables[n][at, 2]
             yield batch.drop(columns=["bin", "rank"]).assign(sequence_id=sequences, slot=slots)
 
-    kept = [f"{c} long" for c in pieces.columns if c not in ("bin", "chunk")]
+    kept = [f"{c} {'string' if c == 'doc_id' else 'long'}" for c in ranked.columns if c not in ("bin", "rank")]
+    ranked = ranked.withColumn("doc_id", F.col("doc_id").cast("string"))
     placed = ranked.mapInPandas(place, ", ".join([*kept, "sequence_id long", "slot long"]))
+    placed = placed.withColumn("doc_id", F.col("doc_id").cast("long"))
     order = Window.partitionBy("sequence_id").orderBy("slot")
     return placed.withColumn("offset", F.sum("length").over(order) - F.col("length")).drop("slot")
 

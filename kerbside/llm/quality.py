@@ -168,8 +168,8 @@ def quality(
     )
     judged = rows.join(means, "lang", "left").select(
         "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.when(F.col("n_chars") >= min_chars, js_distance(F.col("chars"), F.col("ref_chars"))).alias("char_distance"),
-        F.when(F.col("n_words") >= min_words, js_distance(F.col("common"), F.col("ref_common"))).alias("word_distance"),
+        F.when((F.col("n_chars") >= min_chars) & F.col("ref_chars").isNotNull(), js_distance(F.col("chars"), F.col("ref_chars"))).alias("char_distance"),
+        F.when((F.col("n_words") >= min_words) & F.col("ref_chars").isNotNull(), js_distance(F.col("common"), F.col("ref_common"))).alias("word_distance"),
     )
     far = F.coalesce(F.col("char_distance") > max_char_distance, F.lit(False)) | F.coalesce(
         F.col("word_distance") > max_word_distance, F.lit(False)

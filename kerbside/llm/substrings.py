@@ -108,7 +108,7 @@ def _in_parts(text: Bytes, length: int) -> tuple[np.ndarray, ...]:
     if len(text.data) <= limit:
         return runs_of(text, length)
     out = []
-    step = limit - length
+    step = limit - length + 1
     for begin in range(0, len(text.data) - length + 1, step):
         end = min(begin + limit, len(text.data))
         part = Bytes.__new__(Bytes)

@@ -148,7 +148,8 @@ def write_shards(
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     count = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartitionByRange(count, "doc_id").sortWithinPartitions("doc_id", "text")
-    rows = rows.withColumn("shard", F.spark_partition_id())
+    # Keys as text, since pandas would make doubles of whole numbers with nulls among them.
+    rows = rows.select(F.col("doc_id").cast("string"), "text", F.spark_partition_id().alias("shard"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(tokenizer, spaced)
@@ -163,9 +164,9 @@ def write_shards(
                 system, name = _file_system(path)
                 system.create_dir(name.rsplit("/", 1)[0], recursive=True)
                 out = system.open_output_stream(name)
-            texts, ids = batch["text"].tolist(), batch["doc_id"]
-            keys.append(ids.fillna(0).to_numpy(np.int64))
-            valid.append(ids.notna().to_numpy())
+            texts, ids = batch["text"].tolist(), batch["doc_id"].tolist()
+            keys.append(np.array([int(i or 0) for i in ids], np.int64))
+            valid.append(np.array([i is not None for i in ids]))
             for part in slices(texts):
                 for raw in enc.encode(texts[part]):
                     out.write(raw)
@@ -215,7 +216,7 @@ def read_back(manifest: DataFrame) -> DataFrame:
                     low, high = int(offsets[own.start]), int(ends[own.stop - 1])
                     data = shard.ids(low, high).astype("<u4").tobytes()
                     crc = [zlib.crc32(data[4 * (a - low) : 4 * (b - low)]) for a, b in zip(offsets[own], ends[own], strict=False)]
-                    doc_id = pd.Series(keys[own]).astype("Int64").where(pd.Series(valid[own]))
+                    doc_id = pd.arrays.IntegerArray(keys[own].copy(), ~valid[own])
                     yield pd.DataFrame(
                         {"doc_id": doc_id, "start": base + offsets[:-1][own], "n_tokens": ends[own] - offsets[:-1][own], "ids_crc32": crc}
                     )
