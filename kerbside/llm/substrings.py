@@ -155,10 +155,11 @@ def compared(rows: DataFrame) -> DataFrame:
 
 
 def single_strings(texts: DataFrame, length: int) -> DataFrame:
-    """Strings of the runs of kind 1 and 2: hash, tid, at, n (2: it occurs twice in this batch), and kind.
+    """Strings of the runs of kind 1 and 2: hash, tid, at, last, n.
 
-    Texts come with ``runs`` (first, last, kind). What occurs twice in a batch is settled there; one row per string goes
-    on, so that a frequent string has no more rows than there are batches.
+    Texts come with ``runs`` (first, last, kind). What occurs twice in a batch is settled there, as runs of starts from
+    ``at`` to ``last`` (n = 3); one row per string goes on (n = 1: to be compared), so that a frequent string has no more
+    rows than there are batches.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -179,15 +180,22 @@ def single_strings(texts: DataFrame, length: int) -> DataFrame:
             _, lead, inverse, count = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
             twice = count[inverse] > 1
             done = twice & (kind == 1)
-            yield pd.DataFrame({"hash": 0, "tid": tid[done], "at": at[done], "n": 3})
-            n = np.where(count > 1, 2, np.where(kind[lead] == 1, 1, 4))
-            yield pd.DataFrame({"hash": hashes[lead], "tid": tid[lead], "at": at[lead], "n": n})
+            if done.any():
+                t, first, last = merged(*_sorted(tid[done], at[done]))
+                yield pd.DataFrame({"hash": 0, "tid": t, "at": first, "last": last - 1, "n": 3})
+            n = np.where((count > 1) | (kind[lead] != 1), 2, 1)
+            yield pd.DataFrame({"hash": hashes[lead], "tid": tid[lead], "at": at[lead], "last": at[lead], "n": n})
 
-    return texts.mapInPandas(run, "hash long, tid long, at long, n int")
+    return texts.mapInPandas(run, "hash long, tid long, at long, last long, n int")
+
+
+def _sorted(tid: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((at, tid))
+    return tid[order], at[order], at[order] + 1
 
 
 def repeated_strings(strings: DataFrame) -> DataFrame:
-    """Places (tid, at) of strings to be compared that occur elsewhere: found in their batch, or in several batches."""
+    """Runs of starts (tid, at, last) of strings that occur elsewhere: in their batch, or in several batches."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for own in _groups(batches, "hash"):
@@ -195,11 +203,12 @@ def repeated_strings(strings: DataFrame) -> DataFrame:
             same = h[1:] == h[:-1]
             no = np.array([False])
             twice = np.concatenate([no, same]) | np.concatenate([same, no])
-            yield own.loc[twice & (own["n"].to_numpy() == 1), ["tid", "at"]]
+            hit = own.loc[twice & (own["n"].to_numpy() == 1), ["tid", "at"]]
+            yield hit.assign(last=hit["at"])
 
-    rows = strings.where("n <> 3").repartition("hash").sortWithinPartitions("hash")
-    found = rows.mapInPandas(run, "tid long, at long")
-    return found.unionByName(strings.where("n = 3").select("tid", "at"))
+    rows = strings.where("n <> 3").select("hash", "tid", "at", "n").repartition("hash").sortWithinPartitions("hash")
+    found = rows.mapInPandas(run, "tid long, at long, last long")
+    return found.unionByName(strings.where("n = 3").select("tid", "at", "last"))
 
 
 def spans_of(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,7 +243,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     open_runs = runs.where("kind > 0").groupBy("tid").agg(F.collect_list(F.struct("first", "last", "kind")).alias("runs"))
     strings = settle(single_strings(texts.join(open_runs, "tid"), length), "strings")
     begun = runs.where("kind = 0").select("tid", F.col("first").cast("long").alias("b"), (F.col("last") + length).cast("long").alias("e"))
-    found = begun.unionByName(repeated_strings(strings).select("tid", F.col("at").alias("b"), (F.col("at") + length).alias("e")))
+    found = begun.unionByName(repeated_strings(strings).select("tid", F.col("at").alias("b"), (F.col("last") + length).alias("e")))
     ranges = merged_ranges(found)
     once = counts.where("copies = 1").select("tid")
     result = settle(removed(texts.join(once, "tid").join(ranges, "tid")), "removed")
@@ -252,34 +261,28 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def merged_ranges(found: DataFrame) -> DataFrame:
-    """Intervals (tid, b, e) as one row per text: arrays bs and es. Tasks merge what they hold before the shuffle."""
+    """Intervals (tid, b, e) as one row per text: arrays bs and es, merged where they touch within a batch of rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            order = np.lexsort((batch["b"], batch["tid"]))
-            t, b, e = (batch[c].to_numpy()[order] for c in ("tid", "b", "e"))
-            begin = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-            for lo, hi in zip(begin, np.append(begin[1:], len(t)), strict=True):
-                bs, es = spans_of(b[lo:hi], e[lo:hi])
-                yield pd.DataFrame({"tid": [t[lo]], "bs": [bs], "es": [es]})
-
-    def grouped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for whole in run(batches):
-            held.append(whole)
-            if len(held) >= 5000:
-                yield pd.concat(held)
-                held.clear()
-        if held:
-            yield pd.concat(held)
-            held.clear()
-
-    held: list[pd.DataFrame] = []
-    parts = found.mapInPandas(grouped, "tid long, bs array<long>, es array<long>")
-    return parts.groupBy("tid").agg(
-        F.flatten(F.collect_list("bs")).alias("bs"), F.flatten(F.collect_list("es")).alias("es")
-    )
+            if len(batch):
+                tid, b, e = merged(*(batch[c].to_numpy() for c in ("tid", "b", "e")))
+                yield pd.DataFrame({"tid": tid, "b": b, "e": e})
+
+    ordered = found.repartition("tid").sortWithinPartitions("tid", "b")
+    flat = ordered.mapInPandas(run, "tid long, b long, e long")
+    return flat.groupBy("tid").agg(F.collect_list("b").alias("bs"), F.collect_list("e").alias("es"))
+
+
+def merged(tid: np.ndarray, b: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The union of each text's intervals; the input is sorted by text and start."""
+    other = np.concatenate([[True], tid[1:] != tid[:-1]])
+    group = np.cumsum(other) - 1
+    width = int(e.max()) + 1
+    reach = np.maximum.accumulate(group * width + e) - group * width
+    new = other | np.concatenate([[True], b[1:] > reach[:-1]])
+    last = np.concatenate([new[1:], [True]])
+    return tid[new], b[new], reach[last]
 
 
 def removed(rows: DataFrame) -> DataFrame:
