@@ -28,6 +28,8 @@ from kerbside.llm.tokens import slices
 
 SKETCH_WORDS = 4
 BLOCK = 512
+#: Sets of one signature that one task compares; larger groups are dealt out by pairs of blocks of this size.
+GROUP = 1024
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -204,7 +206,7 @@ def _groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]
 
 
 def shared(signed: DataFrame) -> DataFrame:
-    """Signatures that two or more different sets have: (sig, sid)."""
+    """Signatures that two or more different sets have: (sig, sid, members)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _groups(batches, "sig"):
@@ -213,10 +215,26 @@ def shared(signed: DataFrame) -> DataFrame:
             sig, sid = sig[new], sid[new]
             as_before = np.concatenate([[False], sig[1:] == sig[:-1]])
             own = as_before | np.concatenate([as_before[1:], [False]])
-            yield pd.DataFrame({"sig": sig[own], "sid": sid[own]})
+            group = np.cumsum(~as_before) - 1
+            members = np.bincount(group)[group]
+            yield pd.DataFrame({"sig": sig[own], "sid": sid[own], "members": members[own]})
 
     rows = signed.where("sigs is not null").select("sid", F.explode("sigs").alias("sig"))
-    return rows.repartition("sig").sortWithinPartitions("sig", "sid").mapInPandas(run, "sig long, sid long")
+    return rows.repartition("sig").sortWithinPartitions("sig", "sid").mapInPandas(run, "sig long, sid long, members long")
+
+
+def dealt(groups: DataFrame) -> DataFrame:
+    """Groups of more than ``GROUP`` sets as several: sets fall into blocks, and every two blocks form a group.
+
+    So each pair of sets still meets, and a hot signature is spread over tasks. Small groups stay as they are.
+    """
+    blocks = F.ceil(F.col("members") / GROUP).cast("int")
+    own = F.pmod(F.xxhash64("sid"), blocks).cast("int")
+    others = F.explode(F.sequence(F.lit(0), blocks - 1))
+    small = groups.where(F.col("members") <= GROUP).select("sig", "sid")
+    large = groups.where(F.col("members") > GROUP).select("sig", "sid", own.alias("own"), others.alias("other"))
+    pair = F.xxhash64("sig", F.least("own", "other"), F.greatest("own", "other"))
+    return small.unionByName(large.select(pair.alias("sig"), "sid"))
 
 
 def _close(sketches: np.ndarray, sizes: np.ndarray, bands: Bands, block: slice) -> np.ndarray:
@@ -341,7 +359,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     texts = _texts(docs)
     texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["rep"])).drop("rep")
     sets = settle(feature_sets(texts, width).dropDuplicates(["sid"]), "sets")
-    rows = groups.join(own.select("sid", "n", "sketch"), "sid")
+    rows = dealt(groups).join(own.select("sid", "n", "sketch"), "sid")
     stars = candidates(rows.withColumn("label", F.col("sid")), num, den, rest=False)
     links = settle(verified(stars, sets, num, den), "links")
     labels = components(links)

@@ -60,6 +60,13 @@ def test_join_on_near_copies(spark):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(docs, width, num, den)
 
 
+def test_join_with_dealt_groups(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "GROUP", 8)
+    docs = near_copies(random.Random(10), 200)
+    rows = ngram_join.near_duplicates(frame(spark, docs), 3, 90, 100).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(docs, 3, 90, 100)
+
+
 def test_join_query(spark, docs, sf_dir):
     rows = QUERIES["op1_ngram_jaccard_join"](spark, sf_dir).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(docs, 3, 90, 100)
