@@ -5,7 +5,9 @@ pair. Only the closest visits count, and they are found without the pairs:
 
 1. visits are reduced to one row per vehicle, anchor, zone, half-day and minute (a combining aggregate), then to one
    sorted list of minutes per zone; a half-day has a bounded number of minutes, whatever the number of visits;
-2. every distinct planned minute of a vehicle and anchor looks up the few minutes around it in that list;
+   lists are kept by hour, with the two nearest minutes of other hours on either side, so that none is longer than 64
+   entries and a busy vehicle and anchor are spread over the hours;
+2. every distinct planned minute of a vehicle and anchor looks up the few minutes around it in the list of its hour;
 3. every distinct trip takes the smallest gap from the few minutes of its planned minute, and only the best trips of a
    group go on;
 4. the report takes one visit per minute at that gap from the list itself; where all ties are asked for, they are
@@ -16,7 +18,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions.text import squish_strings
@@ -131,6 +133,7 @@ def prepare_visits(
     )
 
 
+PLACE = ["zone", "gps_category"]
 ZONE_KEY = ["rp_vehicle", "anchor_abbrev", "zone", "gps_category"]
 
 
@@ -157,10 +160,9 @@ def visit_minutes(visits: DataFrame) -> DataFrame:
 
 
 def zone_spots(visits: DataFrame, asked: DataFrame, match_key: list[str]) -> DataFrame:
-    """The minutes of ``visit_minutes`` that a planned trip can use, as one sorted list per zone.
+    """The minutes of ``visit_minutes`` that a planned trip can use, as one sorted list per zone and hour.
 
-    Minutes without a trip are left out before the lists are built. If that takes a shuffle by ``match_key``, the lists
-    and the join that follows use the same partitioning.
+    Minutes without a trip are left out before the lists are built.
     """
     spot = F.struct(
         "minute",
@@ -173,10 +175,50 @@ def zone_spots(visits: DataFrame, asked: DataFrame, match_key: list[str]) -> Dat
     )
     minutes = visit_minutes(visits).withColumns(_text_keys("rp_vehicle", "anchor_abbrev"))
     usable = minutes.join(asked.select(*match_key), match_key, "left_semi")
-    zones = usable.groupBy(*match_key, "zone", "gps_category")
+    zones = usable.withColumn("hour", _hour(F.col("minute"))).groupBy(*match_key, *PLACE, "hour")
     return zones.agg(F.array_sort(F.collect_list(spot)).alias("spots"), F.sum("n").alias("n_visits"))
 
 
+def _hour(minute: Column) -> Column:
+    return F.floor(minute / 60)
+
+
+def _first_two(spots: Column) -> Column:
+    return F.slice(spots, 1, 2)
+
+
+def _last_two(spots: Column) -> Column:
+    return F.slice(spots, F.greatest(F.size(spots) - 1, F.lit(1)), 2)
+
+
+def hour_spots(spots: DataFrame, asked: DataFrame, match_key: list[str]) -> DataFrame:
+    """For every zone and asked hour: its minutes with the two before and the two after them, and the zone's visits.
+
+    An hour without visits has only the minutes around it. A zone has at most as many rows as a half-day has hours.
+    """
+    hours = asked.filter(F.col("planned_minute") != NO_TIME)
+    hours = hours.select(*match_key, _hour(F.col("planned_minute")).alias("hour")).distinct()
+    zones = spots.select(*match_key, *PLACE).distinct()
+    empty = F.array().cast(spots.schema["spots"].dataType)
+    unseen = zones.join(hours, match_key).select(
+        *match_key, *PLACE, "hour", empty.alias("spots"), F.lit(0).cast("long").alias("n_visits")
+    )
+    rows = spots.unionByName(unseen).groupBy(*match_key, *PLACE, "hour")
+    rows = rows.agg(F.flatten(F.collect_list("spots")).alias("spots"), F.sum("n_visits").alias("n_visits"))
+    zone = Window.partitionBy(*match_key, *PLACE)
+    earlier = zone.orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
+    later = zone.orderBy("hour").rowsBetween(1, Window.unboundedFollowing)
+    carried = rows.withColumns(
+        {
+            "before": F.flatten(F.collect_list(_last_two(F.col("spots"))).over(earlier)),
+            "after": F.flatten(F.collect_list(_first_two(F.col("spots"))).over(later)),
+            "n_visits": F.sum("n_visits").over(zone),
+        }
+    )
+    around = F.concat(_last_two(F.col("before")), "spots", _first_two(F.col("after")))
+    return carried.withColumn("spots", around).drop("before", "after")
+
+
 def spots_around(
     asked: DataFrame, spots: DataFrame, match_key: list[str], all_without_time: bool = True
 ) -> DataFrame:
@@ -185,15 +227,19 @@ def spots_around(
     These are the minute itself and the two before and after it that have visits: whole-minute gaps that are equal
     come from two neighbouring minutes. Without a planned time all minutes are kept, or the first of them.
     """
-    planned, all_spots = F.col("planned_minute"), F.col("spots")
-    before = F.filter(all_spots, lambda s: s["minute"] < planned)
-    own = F.filter(all_spots, lambda s: s["minute"] == planned)
-    after = F.filter(all_spots, lambda s: s["minute"] > planned)
-    last_two = F.slice(before, F.greatest(F.size(before) - 1, F.lit(1)), 2)
-    around = F.concat(last_two, own, F.slice(after, 1, 2))
-    without_time = all_spots if all_without_time else F.slice(all_spots, 1, 1)
-    near = F.when(planned == NO_TIME, without_time).otherwise(around)
-    return asked.join(spots, match_key).withColumn("near", near).drop("spots")
+    planned, near = F.col("planned_minute"), F.col("spots")
+    before = F.filter(near, lambda s: s["minute"] < planned)
+    own = F.filter(near, lambda s: s["minute"] == planned)
+    after = F.filter(near, lambda s: s["minute"] > planned)
+    timed = asked.filter(planned != NO_TIME).withColumn("hour", _hour(planned))
+    timed = timed.join(hour_spots(spots, asked, match_key), [*match_key, "hour"])
+    timed = timed.withColumn("near", F.concat(_last_two(before), own, _first_two(after)))
+
+    untimed = asked.filter(planned == NO_TIME)
+    lists = spots.join(untimed.select(*match_key), match_key, "left_semi").groupBy(*match_key, *PLACE)
+    whole = F.array_sort(F.flatten(F.collect_list("spots"))) if all_without_time else F.array(F.min(near[0]))
+    lists = lists.agg(whole.alias("near"), F.sum("n_visits").alias("n_visits"))
+    return timed.drop("hour", "spots").unionByName(untimed.join(lists, match_key))
 
 
 def _gap(spot: Column, expected_micros: Column) -> Column:
