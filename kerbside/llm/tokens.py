@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterable
 from itertools import filterfalse
 
 import numpy as np
 
-#: Stretches remembered per Python worker (about 200 bytes each), and the longest one that is remembered.
-REMEMBERED = 400_000
+#: Stretches remembered per Python worker (about 200 bytes each; as many older ones), and the longest that is remembered.
+REMEMBERED = 450_000
 LONGEST = 64
 
-_ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
+_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -35,29 +37,51 @@ class Encoder:
         self.spaced = spaced
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks = dict(zip(",.", self.direct([",", "."]), strict=True))
 
     def direct(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        if self.dtype.itemsize == 2 and sys.byteorder == "little":
+            return [array("H", e.ids).tobytes() for e in encoded]
         return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
 
     def cut(self, text: str) -> list[str]:
-        if self.spaced and _ODD_SPACE.search(text):
-            return _SAFE_CUT.split(text)
+        if self.spaced and len(text.split()) != sum(map(text.count, _SPACES)) + 1:
+            return _SAFE_CUT.split(text)  # white space at an end, or next to white space
         return text.split(" ")
 
+    def learn(self, unknown: Iterable[str]) -> None:
+        """Remember the ids of stretches. A word of ASCII letters and the comma or full stop behind it are separate."""
+        fresh: list[str] = []
+        marked: list[str] = []
+        for u in unknown:
+            if u in self.older:
+                self.known[u] = self.older[u]
+            elif u[-1:] in self.marks and u[:-1].isascii() and u[:-1].isalpha():
+                marked.append(u)
+            else:
+                fresh.append(u)
+        stems = {u[:-1] for u in marked}.difference(fresh)
+        for stem in stems:
+            if stem in self.older:
+                self.known[stem] = self.older[stem]
+        fresh += stems.difference(self.known)
+        self.known.update(zip(fresh, self.direct([" " + u for u in fresh] if self.spaced else fresh), strict=True))
+        for u in marked:
+            self.known[u] = self.known[u[:-1]] + self.marks[u[-1]]
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         cuts = [self.cut(t) for t in texts]
         firsts = self.direct([c[0] for c in cuts]) if self.spaced else None
         if self.spaced:
             cuts = [c[1:] for c in cuts]
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        new: set[str] = set()
+            self.known, self.older = {}, self.known
+        unknown: set[str] = set()
         for c in cuts:
-            new.update(filterfalse(self.known.__contains__, c))
-        unknown = list(new)
-        ids = dict(zip(unknown, self.direct([" " + u for u in unknown] if self.spaced else unknown), strict=True))
-        self.known.update(ids)
+            unknown.update(filterfalse(self.known.__contains__, c))
+        self.learn(unknown)
         joined = [b"".join(map(self.known.__getitem__, c)) for c in cuts]
         for u in unknown:
             if len(u) > LONGEST:
