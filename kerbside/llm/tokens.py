@@ -16,6 +16,8 @@ REMEMBERED = 450_000
 LONGEST = 64
 
 _SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+#: A word of ASCII letters with up to three marks behind it. Both tokenizers cut between letters and marks.
+_MARKED = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]{1,3})")
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -38,7 +40,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.marks = dict(zip(",.", self.direct([",", "."]), strict=True))
+        self.marks: dict[str, bytes] = {}
 
     def direct(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -52,24 +54,29 @@ class Encoder:
         return text.split(" ")
 
     def learn(self, unknown: Iterable[str]) -> None:
-        """Remember the ids of stretches. A word of ASCII letters and the comma or full stop behind it are separate."""
+        """Remember the ids of stretches. A word of ASCII letters and the marks behind it are encoded apart."""
         fresh: list[str] = []
-        marked: list[str] = []
+        marked: list[tuple[str, str, str]] = []
         for u in unknown:
             if u in self.older:
                 self.known[u] = self.older[u]
-            elif u[-1:] in self.marks and u[:-1].isascii() and u[:-1].isalpha():
-                marked.append(u)
+            elif found := _MARKED.fullmatch(u):
+                marked.append((u, *found.groups()))
             else:
                 fresh.append(u)
-        stems = {u[:-1] for u in marked}.difference(fresh)
+        new = list({m for _, _, m in marked}.difference(self.marks))
+        if len(self.marks) > REMEMBERED:
+            self.marks = {}
+            new = list({m for _, _, m in marked})
+        self.marks.update(zip(new, self.direct(new), strict=True))
+        stems = {s for _, s, _ in marked}.difference(fresh)
         for stem in stems:
             if stem in self.older:
                 self.known[stem] = self.older[stem]
         fresh += stems.difference(self.known)
         self.known.update(zip(fresh, self.direct([" " + u for u in fresh] if self.spaced else fresh), strict=True))
-        for u in marked:
-            self.known[u] = self.known[u[:-1]] + self.marks[u[-1]]
+        for u, stem, mark in marked:
+            self.known[u] = self.known[stem] + self.marks[mark]
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         cuts = [self.cut(t) for t in texts]

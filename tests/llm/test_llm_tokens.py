@@ -23,7 +23,7 @@ def ids_of(name: str, texts: list[str]) -> list[list[int]]:
 @pytest.mark.parametrize(("name", "spaced"), [(BYTE, True), (WORD, False)])
 def test_parts_give_the_ids_of_the_text(name, spaced):
     rng = random.Random(3)
-    parts = ["a", "the", " ", "  ", "\n", "\t", "é", "é", "it's", "12", "x1", ",", "...", " ", "\x1c", "😀", "<|endoftext|>", "日本", "\x85", "ÀÈ", "'ll"]
+    parts = ["a", "the", " ", "  ", "\n", "\t", "é", "é", "it's", "12", "x1", ",", "...", " ", "\x1c", "😀", "<|endoftext|>", "日本", "\x85", "ÀÈ", "'ll", "word!!", "end###", "x'.", "a_b", "w$%&*"]
     texts = ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(2000)]
     encoder = Encoder(public_tokenizers.path(name), spaced)
     got = [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.encode(texts)]
