@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from kerbside.llm import ngram_join, passages, substrings
 from kerbside.llm.common import components
@@ -189,6 +190,25 @@ def test_fuzzy_passage(spark):
     assert {row.doc_id, row.other_doc_id} == {1, 2} and row.n_common >= 80
 
 
+def fresh(rng: random.Random, n: int) -> list[str]:
+    return [f"q{rng.randrange(10**9)}" for _ in range(n)]
+
+
+def test_passages_at_the_least_similarity(spark):
+    """Every k-th word of a passage is another: similarity 0.8 to 0.92, at the least length and beyond it."""
+    rng = random.Random(12)
+    docs = {}
+    for k in (5, 6, 8, 12):
+        for words in (41, 60, 120):
+            for _ in range(8):
+                p = fresh(rng, words)
+                q = [w if i % k != k // 2 else f"r{rng.randrange(10**9)}" for i, w in enumerate(p)]
+                for side in (p, q):
+                    docs[len(docs)] = " ".join([*fresh(rng, 50), *side, *fresh(rng, 50)])
+    rows = passages.shared_passages(frame(spark, docs)).collect()
+    assert {(min(r.doc_id, r.other_doc_id), max(r.doc_id, r.other_doc_id)) for r in rows} == {(i, i + 1) for i in range(0, len(docs), 2)}
+
+
 def test_chains():
     x = np.array([0, 5, 10, 40, 45, 300, 305, 310])
     y = np.array([100, 105, 110, 20, 150, 7, 12, 17])
