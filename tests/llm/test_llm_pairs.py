@@ -209,6 +209,21 @@ def test_passages_at_the_least_similarity(spark):
     assert {(min(r.doc_id, r.other_doc_id), max(r.doc_id, r.other_doc_id)) for r in rows} == {(i, i + 1) for i in range(0, len(docs), 2)}
 
 
+def test_passages_whose_parts_other_texts_hold(spark):
+    """Others hold parts of a passage, each too short, under smaller or larger ids; one repeats a phrase of it."""
+    rng = random.Random(13)
+    docs, must = {}, set()
+    for _ in range(12):
+        p = fresh(rng, 76)
+        for part in (p[:38], p[38:], p[20:59], p[30:36] + fresh(rng, 30) + p[:10]):
+            docs[len(docs)] = " ".join([*fresh(rng, 30), *part, *fresh(rng, 30)])
+        must.add((len(docs), len(docs) + 1))
+        for _ in range(2):
+            docs[len(docs)] = " ".join([*fresh(rng, 30), *p, *fresh(rng, 30)])
+    rows = passages.shared_passages(frame(spark, docs)).collect()
+    assert {(min(r.doc_id, r.other_doc_id), max(r.doc_id, r.other_doc_id)) for r in rows} == must
+
+
 def test_chains():
     x = np.array([0, 5, 10, 40, 45, 300, 305, 310])
     y = np.array([100, 105, 110, 20, 150, 7, 12, 17])
