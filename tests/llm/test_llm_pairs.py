@@ -209,6 +209,12 @@ def test_passages_at_the_least_similarity(spark):
     assert {(min(r.doc_id, r.other_doc_id), max(r.doc_id, r.other_doc_id)) for r in rows} == {(i, i + 1) for i in range(0, len(docs), 2)}
 
 
+def test_seeds_of_a_very_long_text(spark):
+    n = (1 << 22) + 50_000
+    texts = spark.range(1).select(F.lit(1).cast("long").alias("tid"), F.array_join(F.sequence(F.lit(1), F.lit(n)), " ").alias("text"))
+    assert passages.seeds(texts).where(F.col("at") >= 1 << 22).count() > 5_000
+
+
 def test_passages_whose_parts_other_texts_hold(spark):
     """Others hold parts of a passage, each too short, under smaller or larger ids; one repeats a phrase of it."""
     rng = random.Random(13)
