@@ -27,12 +27,18 @@ MIN_SHARE = 0.5
 MAX_BROADCAST_WINDOWS = 1_000_000
 
 _FIRST = "\u0001"
+#: A point, a fraction's stroke or a comma before three digits, inside a number.
+_INSIDE = r"(?<=\p{N})(?:[./](?=\p{N})|,(?=\p{N}{3}(?!\p{N})))"
+_JOINED = "\u0003"
 
 
 def raw_tokens(text: Column) -> Column:
-    """Runs of letters and digits; the first word of a sentence carries a mark if it is capitalised."""
+    """Runs of letters and digits, a number with its separators as one; the first word of a sentence carries a mark if it
+    is capitalised.
+    """
     marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"(^\s*|[.!?][\"')\]]*\s+)(?=\p{Lu})", "$1 " + _FIRST)
-    return F.array_remove(F.split(marked, rf"[^\p{{L}}\p{{N}}{_FIRST}]+"), "")
+    marked = F.regexp_replace(marked, _INSIDE, _JOINED)
+    return F.array_remove(F.split(marked, rf"[^\p{{L}}\p{{N}}{_FIRST}{_JOINED}]+"), "")
 
 
 def template(tokens: Column) -> Column:
@@ -128,4 +134,4 @@ def _found(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_share: float = MIN_SHARE) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; all columns stay."""
     leaked = matches(docs, benchmark, window, min_share).select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(leaked, docs["doc_id"] == leaked["leaked_id"], "left_anti")
+    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["leaked_id"]), "left_anti")

@@ -124,6 +124,15 @@ def test_decontamination_finds_changed_slots(spark, odd_docs, no_docs):
     assert decontaminate.matches(df, items.limit(0)).count() == 0
 
 
+def test_decontamination_takes_a_number_as_one_slot(spark):
+    item = "A train travels 60 miles in 2 hours. How far does it travel in 5 hours at the same speed?"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    texts = {1: item.replace(" 2 ", " 2.5 "), 2: item.replace("60", "1,250"), 3: item.replace(" 5 ", " 3/4 "), None: item, 4: "other words"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id for r in decontaminate.matches(df, items).collect()} == {1, 2, 3, None}
+    assert {r.doc_id for r in decontaminate.clean(df, items).collect()} == {4}
+
+
 def test_planted_items_are_found(spark, docs, sf_dir):
     items = {r.item_id: " ".join(r.text.split()).lower() for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
     held = {(d, i) for d, t in docs.items() for i, x in items.items() if x in " ".join(t.split()).lower()}
