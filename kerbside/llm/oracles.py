@@ -86,4 +86,45 @@ SELECT doc_id, {counts}, sha256(coalesce(string_agg({item}, ',' ORDER BY s, o) F
 FROM documents LEFT JOIN f USING (doc_id) GROUP BY doc_id"""
 
 
-ORACLES = {"op3_quality_rules": _quality(), "op6_secret_scan": _secrets()}
+def _collocations() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def grams(n: int) -> str:
+        phrase = " || ' ' || ".join(f"w[i+{j}]" if j else "w[i]" for j in range(n))
+        cells = f"list_transform(range(1, greatest(len(w) - {n - 2}, 1)), lambda i: {phrase})"
+        return f"SELECT lang, {n} AS size, unnest({cells}) AS phrase FROM w"
+
+    return rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{lower}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p
+), f AS (
+  SELECT lang, size, phrase, count(*) AS f, string_split(phrase, ' ') AS w
+  FROM ({grams(1)} UNION ALL {grams(2)} UNION ALL {grams(3)}) GROUP BY ALL
+), n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang
+), c AS (
+  SELECT f.lang, f.size, f.phrase, f.f AS a, k, x.f AS l, y.f AS r,
+         (1000000::HUGEINT * f.f * f.f // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM f, (VALUES (1), (2)) AS cuts(k), f AS x, f AS y
+  WHERE f.f >= 10 AND f.size > k AND x.lang = f.lang AND y.lang = f.lang
+    AND x.phrase = array_to_string(f.w[1:k], ' ') AND y.phrase = array_to_string(f.w[k+1:], ' ')
+), best AS (
+  SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, f, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM f WHERE size = 3 AND f >= 10) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best JOIN n USING (lang) LEFT JOIN longer USING (lang, phrase)
+WHERE best.size = 3 OR longer.f IS NULL OR 100 * longer.f < 50 * a
+QUALIFY rank <= 2000"""
+
+
+ORACLES = {
+    "op3_quality_rules": _quality(),
+    "op6_secret_scan": _secrets(),
+    "op11_collocations": _collocations(),
+}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import decontaminate, html_text, language_model, ngram_join, packing, passages, periodic_runs, quality, secrets, substrings, token_store
+from kerbside.llm import collocations, decontaminate, html_text, language_model, ngram_join, packing, passages, periodic_runs, quality, secrets, simhash, substrings, token_store
 from kerbside.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,3 +109,15 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 64-bit fingerprints of 4-word shingles differ in 4 bits or fewer."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, most=4)
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of two and three words in each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), max_words=3, min_count=10, share=50, top=2000)
