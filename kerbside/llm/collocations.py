@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,12 +25,12 @@ from kerbside.llm.token_store import mixed
 from kerbside.llm.tokens import slices
 
 NO_LANGUAGE = "und"
-#: The longest phrases; three word numbers fill 64 bits.
-MAX_WORDS, WORD_BITS = 3, 21
-#: Words that a task counts together, so that their numbers fit, and words after which it hands on its word counts.
-STRETCH, WORDS_HELD = (1 << WORD_BITS) - MAX_WORDS, 16_000_000
+#: The longest phrases, and the most words that are numbered together: three numbers fit in 63 bits.
+MAX_WORDS, MAX_NUMBERS = 3, 1 << 21
+#: Words that a task counts together.
+STRETCH = 1 << 20
 #: Bytes of text that fall to a part.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 
 _LOWER = np.arange(256, dtype=np.uint64) + np.uint64(1)
 _LOWER[65:91] += np.uint64(32)
@@ -74,13 +75,9 @@ class Words:
         langs_of = np.array([salts[lang] for lang in langs], np.uint64)
         self.ids = mixed(mixed(own + (self.end - self.begin).astype(np.uint64), 41) ^ langs_of[self.text], 42)
 
-    def spelled(self, i: int) -> str:
-        return self.data[self.begin[i] : self.end[i]].lower().decode()
-
-
-def _summed(ids: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    known, where = np.unique(np.concatenate(ids), return_inverse=True)
-    return known, np.bincount(where, np.concatenate(counts), len(known)).astype(np.int64)
+    def spelled(self, at: np.ndarray) -> list[bytes]:
+        spans = zip(self.begin[at].tolist(), self.end[at].tolist(), strict=True)
+        return [self.data[a:b].lower() for a, b in spans]
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -89,36 +86,91 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """Per language and word: id, lang, word and f, its occurrences."""
+WORD_STREAM = "part int, lang string, n int, ids binary, words binary, counts binary"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, counts, spelled, size = [], [], {}, 0
 
-        def rows() -> pd.DataFrame:
-            known, f = _summed(ids, counts)
-            langs, words = zip(*map(spelled.__getitem__, known.tolist()), strict=True)
-            return pd.DataFrame({"id": known.view(np.int64), "lang": langs, "word": words, "f": f})
+def word_streams(docs: DataFrame, parts: int, stretch: int = STRETCH) -> DataFrame:
+    """Counts of all words as streams per part and language, pre-aggregated in each task: ids in order, words, counts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, names, size = [], {}, 0
+
+        def streams() -> Iterator[tuple]:
+            ids, counts, langs = (np.concatenate([h[k] for h in held]) for k in range(3))
+            spelled = [w for h in held for w in h[3]]
+            known, first, where = np.unique(ids, return_index=True, return_inverse=True)
+            f = np.bincount(where, counts, len(known)).astype(np.int64)
+            part, lang = (known % np.uint64(parts)).astype(np.int64), langs[first]
+            order = np.lexsort((part, lang))
+            edges = np.flatnonzero(np.diff(lang[order] * parts + part[order], prepend=-1, append=-1))
+            texts = list(names)
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                own = order[a:b]
+                words = b"\n".join([spelled[i] for i in first[own].tolist()])
+                steps = np.diff(known[own], prepend=np.uint64(0))
+                yield int(part[own[0]]), texts[lang[own[0]]], len(own), _planes(steps), words, _planes(f[own])
 
         for batch in batches:
             texts, langs = batch["text"].tolist(), batch["lang"].tolist()
             for part in slices(texts, 2_000_000):
                 words, own = Words(texts[part], langs[part]), langs[part]
+                if not len(words.ids):
+                    continue
                 known, first, n = np.unique(words.ids, return_index=True, return_counts=True)
-                for word, i in zip(known.tolist(), first.tolist(), strict=True):
-                    if word not in spelled:
-                        spelled[word] = own[words.text[i]], words.spelled(i)
-                ids.append(known)
-                counts.append(n)
+                codes = np.array([names.setdefault(lang, len(names)) for lang in own], np.int64)
+                held.append((known, n, codes[words.text[first]], words.spelled(first)))
                 size += len(words.ids)
-                if size >= WORDS_HELD:
-                    yield rows()
-                    ids, counts, spelled, size = [], [], {}, 0
+                if size >= stretch:
+                    yield from _frames(streams(), WORD_COLUMNS)
+                    held, size = [], 0
         if size:
-            yield rows()
+            yield from _frames(streams(), WORD_COLUMNS)
+
+    return _texts(docs).mapInPandas(run, WORD_STREAM)
+
+
+def frequent_words(streams: DataFrame, parts: int, min_count: int) -> DataFrame:
+    """Per language id, word and f of words with ``min_count`` occurrences or more, and rows without id that add up to the
+    occurrences of all words of the language.
+    """
+
+    def merged(lang: str, held: list[tuple]) -> pd.DataFrame:
+        ids = np.concatenate([np.cumsum(_numbers(steps, n).view(np.uint64), dtype=np.uint64) for n, steps, _, _ in held])
+        counts = np.concatenate([_numbers(c, n) for n, _, _, c in held])
+        known, first, where = np.unique(ids, return_index=True, return_inverse=True)
+        f = np.zeros(len(known), np.int64)
+        np.add.at(f, where, counts)
+        kept = np.flatnonzero(f >= min_count)
+        spelled = [w for _, _, words, _ in held for w in words.split(b"\n")]
+        return pd.DataFrame(
+            {
+                "lang": lang,
+                "id": pd.array([None, *known[kept].view(np.int64).tolist()], "Int64"),
+                "word": [None, *[spelled[i].decode() for i in first[kept].tolist()]],
+                "f": [int(f.sum()), *f[kept].tolist()],
+            }
+        )
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (_, lang), held in _by_key(batches):
+            yield merged(lang, held)
 
-    rows = _texts(docs).mapInPandas(run, "id long, lang string, word string, f long")
-    return rows.groupBy("id", "lang", "word").agg(F.sum("f").alias("f"))
+    ordered = streams.repartition(parts, "part").sortWithinPartitions("part", "lang")
+    return ordered.mapInPandas(run, "lang string, id long, word string, f long")
+
+
+def _by_key(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """The streams of each key: its two columns come first, and the rows are in their order."""
+    held, key = [], None
+    for batch in batches:
+        for a, b, *stream in batch.itertuples(index=False):
+            if held and (a, b) != key:
+                yield key, held
+                held = []
+            key = a, b
+            held.append(tuple(stream))
+    if held:
+        yield key, held
 
 
 def gram_hash(words: list[np.ndarray]) -> np.ndarray:
@@ -130,67 +182,115 @@ def gram_hash(words: list[np.ndarray]) -> np.ndarray:
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Whole numbers as bytes, all lowest ones first: the high planes are mostly zero and compress well."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Whole numbers as bytes, all lowest ones first, with as many planes as the largest needs; high ones compress well."""
+    width = max((int(values.max()).bit_length() + 7) // 8, 1)
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-def _numbers(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+def _numbers(planes: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    given = np.frombuffer(planes, np.uint8).reshape(-1, n)
+    out[:, : len(given)] = given.T
+    return out.view("<i8").ravel()
 
 
-def _places(codes: np.ndarray, size: int) -> list[np.ndarray]:
-    """The word numbers of n-grams in prefix order, first word in the highest bits."""
-    return [(codes >> (WORD_BITS * j)) & ((1 << WORD_BITS) - 1) for j in range(size - 1, -1, -1)]
+def _places(codes: np.ndarray, size: int, base: int) -> list[np.ndarray]:
+    """The word numbers of n-grams; ``codes`` are in prefix order, the first word in the highest place."""
+    places = []
+    for _ in range(size - 1):
+        codes, last = np.divmod(codes, base)
+        places.append(last)
+    return [codes, *places[::-1]]
 
 
-def _codes(places: list[np.ndarray]) -> np.ndarray:
-    code = places[0]
+def _codes(places: list[np.ndarray], base: int) -> np.ndarray:
+    code = places[0].astype(np.int64)
     for p in places[1:]:
-        code = code << WORD_BITS | p
+        code = code * base + p
     return code
 
 
-def pack(codes: np.ndarray, counts: np.ndarray, known: np.ndarray, size: int) -> tuple[bytes, bytes, bytes]:
-    """A stream of n-grams in prefix order: the ids of the words in it, steps from n-gram to n-gram, counts."""
-    used, numbers = np.unique(np.concatenate(_places(codes, size)), return_inverse=True)
-    steps = np.diff(_codes(list(numbers.reshape(size, -1))), prepend=0)
-    return known[used].astype("<u8").tobytes(), _planes(steps), _planes(counts)
+def pack(codes: np.ndarray, counts: np.ndarray, known: np.ndarray, size: int, listed: bool) -> tuple[int, bytes, bytes, bytes]:
+    """A stream of n-grams in prefix order: their number, word ids, steps from n-gram to n-gram, counts.
+
+    Unless all tasks know the words, they are ``listed``: those in the stream, and n-grams are numbered by these.
+    """
+    ids = b""
+    if listed:
+        used, numbers = np.unique(np.concatenate(_places(codes, size, len(known))), return_inverse=True)
+        ids, codes = known[used].astype("<u8").tobytes(), _codes(list(numbers.reshape(size, -1)), len(used))
+    return len(codes), ids, _planes(np.diff(codes, prepend=0)), _planes(counts)
+
 
+def unpack(
+    n: int, ids: bytes, steps: bytes, counts: bytes, size: int, known: np.ndarray | None
+) -> tuple[list[np.ndarray], np.ndarray]:
+    words = np.frombuffer(ids, "<u8") if known is None else known
+    return [words[p] for p in _places(np.cumsum(_numbers(steps, n)), size, len(words))], _numbers(counts, n)
 
-def unpack(known: bytes, steps: bytes, counts: bytes, size: int) -> tuple[list[np.ndarray], np.ndarray]:
-    words, codes = np.frombuffer(known, "<u8"), np.cumsum(_numbers(steps).view(np.int64))
-    return [words[p] for p in _places(codes, size)], _numbers(counts).view(np.int64)
 
+def counted(
+    ids: np.ndarray, piece: np.ndarray, parts: int, max_words: int, stretch: int, known: np.ndarray | None
+) -> Iterator[tuple]:
+    """Streams (part, size, n, ids, steps, counts) of the n-grams of a task's words, counted by stretches.
 
-def counted(ids: np.ndarray, piece: np.ndarray, parts: int, max_words: int, stretch: int) -> Iterator[tuple]:
-    """Streams (part, size, ids, steps, counts) of the n-grams of a task's words, counted by stretches."""
+    With ``known``, the sorted ids of all frequent words, n-grams with another word are left out.
+    """
     for lo in range(0, len(ids), stretch):
         own, pieces = ids[lo : lo + stretch + max_words - 1], piece[lo : lo + stretch + max_words - 1]
-        known, numbers = np.unique(own, return_inverse=True)
+        if known is None:
+            words, numbers = np.unique(own, return_inverse=True)
+            found = np.ones(len(own), bool)
+        else:
+            words = known
+            numbers = np.minimum(np.searchsorted(words, own), len(words) - 1)
+            found = words[numbers] == own
         for size in range(2, max_words + 1):
             n = min(stretch, len(own) - size + 1)
-            begin = np.flatnonzero(pieces[:n] == pieces[size - 1 : size - 1 + n]) if n > 0 else np.zeros(0, np.int64)
-            codes, counts = np.unique(_codes([numbers[begin + j] for j in range(size)]), return_counts=True)
-            part = (gram_hash([known[p] for p in _places(codes, size)]) % np.uint64(parts)).astype(np.int64)
+            if n <= 0:
+                continue
+            whole = pieces[:n] == pieces[size - 1 : size - 1 + n]
+            for j in range(size):
+                whole &= found[j : j + n]
+            begin = np.flatnonzero(whole)
+            codes, counts = np.unique(_codes([numbers[begin + j] for j in range(size)], len(words)), return_counts=True)
+            part = (gram_hash([words[p] for p in _places(codes, size, len(words))]) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
             edges = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 mine = order[a:b]
-                yield int(part[mine[0]]), size, *pack(codes[mine], counts[mine], known, size)
+                yield int(part[mine[0]]), size, *pack(codes[mine], counts[mine], words, size, known is None)
+
+
+STREAM = "part int, size int, n int, ids binary, steps binary, counts binary"
+COLUMNS, WORD_COLUMNS = (["part", "size", "n", "ids", "steps", "counts"], ["part", "lang", "n", "ids", "words", "counts"])
+#: Bytes of streams that a task hands on at once.
+FRAME = 8 << 20
 
 
-STREAM = "part int, size int, ids binary, steps binary, counts binary"
+def _frames(streams: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    rows, size = [], 0
+    for stream in streams:
+        rows.append(stream)
+        size += sum(map(len, stream[3:]))
+        if size >= FRAME:
+            yield pd.DataFrame(rows, columns=columns)
+            rows, size = [], 0
+    if rows:
+        yield pd.DataFrame(rows, columns=columns)
 
 
-def gram_streams(docs: DataFrame, parts: int, max_words: int, stretch: int = STRETCH) -> DataFrame:
+def gram_streams(
+    docs: DataFrame, parts: int, max_words: int, known: Broadcast | None, stretch: int = STRETCH
+) -> DataFrame:
     """Counts of the n-grams within pieces, as packed streams per part, pre-aggregated in each task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, pieces, size, last = [], [], 0, 0
 
-        def rows() -> pd.DataFrame:
-            streams = counted(np.concatenate(ids), np.concatenate(pieces), parts, max_words, stretch)
-            return pd.DataFrame(streams, columns=["part", "size", "ids", "steps", "counts"])
+        def frames() -> Iterator[pd.DataFrame]:
+            words = known.value if known else None
+            return _frames(counted(np.concatenate(ids), np.concatenate(pieces), parts, max_words, stretch, words), COLUMNS)
 
         for batch in batches:
             texts, langs = batch["text"].tolist(), batch["lang"].tolist()
@@ -203,22 +303,26 @@ def gram_streams(docs: DataFrame, parts: int, max_words: int, stretch: int = STR
                 last += int(words.piece[-1]) + 1
                 size += len(words.ids)
                 if size >= stretch:
-                    yield rows()
+                    yield from frames()
                     ids, pieces, size, last = [], [], 0, 0
         if size:
-            yield rows()
+            yield from frames()
 
     return _texts(docs).mapInPandas(run, STREAM)
 
 
-def frequent(streams: DataFrame, max_words: int, min_count: int) -> DataFrame:
-    """N-grams with ``min_count`` occurrences or more: size, word ids w1, w2 ... (null beyond its size), f."""
+def frequent(streams: DataFrame, parts: int, max_words: int, min_count: int, known: Broadcast | None) -> DataFrame:
+    """N-grams with ``min_count`` occurrences or more: size, word ids w1, w2 ... (null beyond its size), f.
+
+    The parts are dealt to as many tasks, a number that small streams do not lower: a part is large once it is unpacked.
+    """
     names = [f"w{j + 1}" for j in range(max_words)]
 
     def merged(size: int, held: list[tuple]) -> pd.DataFrame:
-        parts = [unpack(*h, size) for h in held]
-        words = [np.concatenate([p[0][j] for p in parts]) for j in range(size)]
-        counts, hashes = np.concatenate([p[1] for p in parts]), gram_hash(words)
+        streams = [unpack(*held.pop(), size, known.value if known else None) for _ in range(len(held))]
+        words = [np.concatenate([s[0][j] for s in streams]) for j in range(size)]
+        counts, hashes = np.concatenate([s[1] for s in streams]), gram_hash(words)
+        del streams
         order = np.argsort(hashes, kind="stable")
         begin = np.flatnonzero(np.diff(hashes[order], prepend=~hashes[order[:1]]))
         f = np.add.reduceat(counts[order], begin)
@@ -228,18 +332,10 @@ def frequent(streams: DataFrame, max_words: int, min_count: int) -> DataFrame:
         return pd.DataFrame({"size": size, **columns, "f": f[f >= min_count]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, key = [], None
-        for batch in batches:
-            for part, size, *stream in batch.itertuples(index=False):
-                if held and (part, size) != key:
-                    yield merged(key[1], held)
-                    held = []
-                key = part, size
-                held.append(tuple(stream))
-        if held:
-            yield merged(key[1], held)
-
-    ordered = streams.repartition("part").sortWithinPartitions("part", "size")
+        for (_, size), held in _by_key(batches):
+            yield merged(size, held)
+
+    ordered = streams.repartition(parts, "part").sortWithinPartitions("part", "size")
     return ordered.mapInPandas(run, f"size int, {', '.join(f'{n} long' for n in names)}, f long")
 
 
@@ -298,8 +394,22 @@ def without_parts(rows: DataFrame, grams: DataFrame, max_words: int, share: int)
     return rows
 
 
+def numbered(words: DataFrame, most: int) -> Broadcast | None:
+    """The sorted ids of ``words`` for all tasks, if there are ``most`` or fewer: 16 MB at 8 bytes for two million."""
+    if words.limit(most + 1).count() > most:
+        return None
+    ids = words.select("id").toPandas()["id"].to_numpy(np.int64).view(np.uint64)
+    return words.sparkSession.sparkContext.broadcast(np.sort(ids))
+
+
 def collocations(
-    docs: DataFrame, max_words: int = 3, min_count: int = 10, share: int = 50, top: int | None = 2000, parts: int | None = None
+    docs: DataFrame,
+    max_words: int = 3,
+    min_count: int = 10,
+    share: int = 50,
+    top: int | None = 2000,
+    parts: int | None = None,
+    most_numbered: int = MAX_NUMBERS,
 ) -> DataFrame:
     """Phrases of 2 to ``max_words`` (2 or 3) words by how much more often than apart their words stand together.
 
@@ -307,16 +417,22 @@ def collocations(
     rank, phrase, its count a, the counts l and r of the two sides of its lowest-scoring cut, n words of the language, and
     score, floor(1000000 a a / (l r)). Null languages count as ``und``; null and empty texts have no words; repeated
     rows count as often as they occur; an empty table gives no phrases. Texts of any length are counted in stretches.
-    ``parts`` is by default derived from the bytes of text, of which only the sum reaches the driver.
+    ``parts`` is by default derived from the bytes of text, of which only the sum reaches the driver. If there are at most
+    ``most_numbered`` frequent words (``MAX_NUMBERS`` at most), all tasks get their ids, and streams hold no others and no
+    ids; if there are more, every stream lists its words, and is about three times as long. The rows are the same.
     """
-    if not 2 <= max_words <= MAX_WORDS:
-        raise ValueError(f"max_words is 2 to {MAX_WORDS}")
+    if not 2 <= max_words <= MAX_WORDS or most_numbered > MAX_NUMBERS:
+        raise ValueError(f"max_words is 2 to {MAX_WORDS}, most_numbered {MAX_NUMBERS} at most")
     if parts is None:
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         parts = 1 + total // PART_BYTES
-    grams = settle(frequent(gram_streams(docs, parts, max_words), max_words, min_count), "grams")
-    words = settle(word_counts(docs), "words")
-    known = words.where(F.col("f") >= min_count)
+    words = settle(frequent_words(word_streams(docs, parts), parts, min_count), "words")
+    known = words.where("id IS NOT NULL")
+    numbers = numbered(known, most_numbered)
+    if numbers is not None and not len(numbers.value):
+        docs = docs.limit(0)  # no frequent word, so no phrase
+    streams = gram_streams(docs, parts, max_words, numbers)
+    grams = settle(frequent(streams, parts, max_words, min_count, numbers), "grams")
     rows = without_parts(scored(grams, known, max_words), grams, max_words, share)
     for j in range(max_words):
         side = known.select(F.col("id").alias(f"w{j + 1}"), F.col("word").alias(f"word{j + 1}"), *(["lang"] if j == 0 else []))
@@ -327,5 +443,5 @@ def collocations(
     rows = rows.withColumn("rank", F.row_number().over(order).cast("long"))
     if top is not None:
         rows = rows.where(F.col("rank") <= top)
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
+    totals = words.where("id IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
     return rows.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

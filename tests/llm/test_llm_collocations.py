@@ -62,27 +62,34 @@ def odd_texts(r, n):
     ]
 
 
-@pytest.mark.parametrize("max_words,min_count,share,top,parts", [(3, 10, 50, 2000, 5), (2, 3, 50, 7, 1), (3, 1, 90, 40, 300)])
-def test_equals_brute_force(spark, max_words, min_count, share, top, parts):
+@pytest.mark.parametrize(
+    "max_words,min_count,share,top,parts,numbered",
+    [(3, 10, 50, 2000, 5, 0), (3, 10, 50, 2000, 5, 1000), (2, 3, 50, 7, 1, 1000), (3, 1, 90, 40, 300, 0), (3, 1, 90, 40, 300, 1000)],
+)
+def test_equals_brute_force(spark, max_words, min_count, share, top, parts, numbered):
     rows = odd_texts(random.Random(top), 300) + [("en", "new york city " * 50), (None, None), ("en", "")]
     df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
     expected = plain_rows(rows, max_words, min_count, share, top)
-    assert result(co.collocations(df, max_words, min_count, share, top, parts)) == sorted(expected)
+    assert result(co.collocations(df, max_words, min_count, share, top, parts, numbered)) == sorted(expected)
     assert len(expected) > 20
 
 
 def test_streams_keep_counts_and_stretches_lose_nothing():
     r = np.random.default_rng(1)
     ids, piece = r.integers(0, 9, 1000).astype(np.uint64) * np.uint64(2**61 + 7), np.cumsum(r.random(1000) < 0.1)
-    for stretch in (3, 64, 5000):
+    some = np.unique(ids)[1:]
+    for stretch, known in ((3, None), (64, None), (5000, None), (64, some)):
         f = Counter()
-        for part, size, *stream in co.counted(ids, piece, 7, 3, stretch):
-            words, counts = co.unpack(*stream, size)
+        for part, size, *stream in co.counted(ids, piece, 7, 3, stretch, known):
+            words, counts = co.unpack(*stream, size, known)
             assert (co.gram_hash(words) % np.uint64(7) == part).all()
             for *w, c in zip(*words, counts, strict=True):
                 f[tuple(int(x) for x in w)] += int(c)
         expected = Counter(
-            tuple(int(x) for x in ids[i : i + n]) for n in (2, 3) for i in range(1000 - n + 1) if piece[i] == piece[i + n - 1]
+            tuple(int(x) for x in ids[i : i + n])
+            for n in (2, 3)
+            for i in range(1000 - n + 1)
+            if piece[i] == piece[i + n - 1] and (known is None or np.isin(ids[i : i + n], known).all())
         )
         assert f == expected
 
@@ -110,5 +117,6 @@ def test_odd_rows(spark, odd_docs, no_docs):
     rows = [(r.lang, r.text) for r in odd_docs.collect()]
     assert result(co.collocations(odd_docs)) == sorted(plain_rows(rows))
     assert co.collocations(no_docs).collect() == []
+    assert co.collocations(odd_docs.where("doc_id = 3")).collect() == []
     with pytest.raises(ValueError):
         co.collocations(no_docs, max_words=4)
