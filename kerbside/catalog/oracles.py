@@ -125,8 +125,8 @@ _RATES = {
 def _enriched(side: str) -> str:
     return f"""
 SELECT r.*, v.vehicle, v.overnight_garage AS yard, s.route_set_name AS route_set FROM route_{side} r
-LEFT JOIN vehicle v ON r.vehicle_id IS NOT DISTINCT FROM v.record_id
-LEFT JOIN route_set s ON r.route_set_id IS NOT DISTINCT FROM s.route_set_id"""
+LEFT JOIN vehicle_{side} v ON r.vehicle_id IS NOT DISTINCT FROM v.record_id
+LEFT JOIN route_set_{side} s ON r.route_set_id IS NOT DISTINCT FROM s.route_set_id"""
 
 
 def _stops(side: str) -> str:
@@ -147,7 +147,7 @@ def _anchored_route(side: str, fixed: bool = False) -> str:
     anchor = f"CASE WHEN r.anchor_time_at_origin = 'Y' THEN r.origin_point_id{other} END"
     return f"""
 SELECT r.*, {anchor} AS anchor_point_id, p.stop_description AS anchor_location FROM enriched_{side} r
-LEFT JOIN point_text p ON {anchor} IS NOT DISTINCT FROM p.record_id"""
+LEFT JOIN point_text_{side} p ON {anchor} IS NOT DISTINCT FROM p.record_id"""
 
 
 def _hms(column: str) -> str:
@@ -288,13 +288,16 @@ _STEPS: dict[str, str] = {
     + ", ".join(f"avg(CASE WHEN NOT excluded AND {c} THEN {f} END) AS {n}" for n, (c, f) in _RATES.items())
     + " FROM raw GROUP BY date",
     "covered": "SELECT * FROM report WHERE listed_uncovered AND (in_system OR in_gps)",
-    "point_text": "SELECT record_id, coalesce(nullif(custom_description, ''), description) AS stop_description FROM point",
+    **{
+        f"point_text{side}": f"SELECT record_id, coalesce(nullif(custom_description, ''), description) AS stop_description FROM point{side}"
+        for side in ("", "_pend", "_plan")
+    },
     "enriched_pend": _enriched("pend"),
     "enriched_plan": _enriched("plan"),
     "stops_pend": _stops("pend"),
     "stops_plan": _stops("plan"),
-    "described_pend": "SELECT s.*, p.stop_description FROM stops_pend s LEFT JOIN point_text p ON s.non_anchor_point IS NOT DISTINCT FROM p.record_id",
-    "described_plan": "SELECT s.*, p.stop_description FROM stops_plan s LEFT JOIN point_text p ON s.non_anchor_point IS NOT DISTINCT FROM p.record_id",
+    "described_pend": "SELECT s.*, p.stop_description FROM stops_pend s LEFT JOIN point_text_pend p ON s.non_anchor_point IS NOT DISTINCT FROM p.record_id",
+    "described_plan": "SELECT s.*, p.stop_description FROM stops_plan s LEFT JOIN point_text_plan p ON s.non_anchor_point IS NOT DISTINCT FROM p.record_id",
     "stops_all": f"""SELECT coalesce(o.visible_route_id, n.visible_route_id) AS visible_route_id, o.stop_description AS old_text,
  n.stop_description AS new_text, coalesce(o.there, false) AS in_pending, coalesce(n.there, false) AS in_planning
  FROM (SELECT *, true AS there FROM described_pend) o FULL JOIN (SELECT *, true AS there FROM described_plan) n
@@ -341,6 +344,7 @@ _FINAL: dict[str, str] = {
     "uncovered_norm": "SELECT * FROM uncovered_clean",
     "zone_categories": "SELECT * FROM categories",
     "zone_visits_window": "SELECT * FROM visits_kept",
+    "zone_visits_dated": "SELECT * FROM visits_kept",
     "service_window": "SELECT * FROM windows",
     "squish": f"SELECT {_squish('name')} AS name, {_squish('anchor_abbrev')} AS anchor_abbrev FROM building",
     "building_anchor": "SELECT * FROM anchored",
@@ -379,6 +383,7 @@ _FINAL: dict[str, str] = {
     "otp_summary": "SELECT otp_date, " + ", ".join(f"round({n}, 6) AS {n}" for n in _RATES) + " FROM summary",
     "history_merge": _updated_history({n: n for n in RATE_HEADINGS}),
     "history_headings": _updated_history(RATE_HEADINGS),
+    "history_published": _updated_history({n: n for n in RATE_HEADINGS}),
     "fill_down": """SELECT event_id, user_id, ts, last_value(mark IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id
  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mark
  FROM (SELECT event_id, user_id, ts, CASE WHEN event_type IN ('purchase', 'signup') THEN event_type END AS mark FROM events)""",
@@ -391,6 +396,7 @@ _FINAL: dict[str, str] = {
  SELECT visible_route_id, non_anchor_point, 1 AS o, 0 AS n FROM stops_pend UNION ALL SELECT visible_route_id, non_anchor_point, 0, 1 FROM stops_plan)
  GROUP BY visible_route_id, non_anchor_point""",
     "stop_changes": "SELECT * FROM stop_change",
+    "stop_changes_stored": "SELECT * FROM stop_change",
     "old_change_rule": "SELECT * FROM old_rule",
     "in_old_rule": "SELECT visible_route_id, coalesce(TRY_CAST(visible_route_id AS BIGINT) IN (SELECT route FROM old_rule), false) AS in_old_rule FROM route_plan",
     "route_diff": "SELECT * FROM diffs",

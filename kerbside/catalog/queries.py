@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,12 @@ from kerbside.functions.text import ampm_of, garage_short, squish_strings
 from kerbside.operators import buildings, history, reshape, stops, trips, uncovered, visits
 from kerbside.operators.joins import join_on, with_membership
 from kerbside.plans import daily_rates, on_time, trip_changes
-from kerbside.plans.update import update_history
+from kerbside.plans.update import publish_update, update_history
 from kerbside.schemas import ZONE_VISIT
 from kerbside.session import checkpoint_folder, staged
 from kerbside.sources.derived import derived
+from kerbside.sources.published import publish, read_published
+from kerbside.sources.tables import VISIT_DATE, write_visits
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,12 +53,12 @@ class Inputs:
     def snapshot(self, side: str) -> stops.Snapshot:
         return stops.Snapshot(
             routes=getattr(self, f"route_{side}"),
-            route_sets=self.route_set,
-            vehicles=self.vehicle,
+            route_sets=getattr(self, f"route_set_{side}"),
+            vehicles=getattr(self, f"vehicle_{side}"),
             details=getattr(self, f"route_detail_{side}"),
             requests=getattr(self, f"request_{side}"),
             satisfactions=getattr(self, f"satisfaction_{side}"),
-            points=self.point,
+            points=getattr(self, f"point_{side}"),
         )
 
     def anchored(self) -> DataFrame:
@@ -85,6 +88,12 @@ class Inputs:
         windows = visits.service_windows(clean)
         return visits.prepare_visits(self.zone_visit, self.zone, self.anchored(), windows, span)
 
+    @property
+    def tables_folder(self) -> str:
+        """A new folder for tables that a query writes: where the session stages, or in the warehouse."""
+        base = self.staging or self._spark.conf.get("spark.sql.warehouse.dir")
+        return f"{base.rstrip('/')}/kerbside-{uuid4().hex}"
+
     def report(self, **options) -> DataFrame:
         return on_time.otp_report(self.on_time(), staging=self.staging, **options)
 
@@ -208,6 +217,20 @@ def zone_visits_window(t: Inputs) -> DataFrame:
     return visits.visits_in_windows(kept, visits.service_windows(t.clean_trips()), (span[1] - span[0]).days + 1)
 
 
+@query
+def zone_visits_dated(t: Inputs) -> DataFrame:
+    """The visits stored by date, and those of them that start in a service window."""
+    folder = t.tables_folder
+    write_visits(t.zone_visit, folder)
+    span = trips.service_range(trips.scan_trips(t.trip))
+    typed = visits.typed_visits(t._spark.read.parquet(folder), VISIT_DATE)
+    if span is not None:
+        typed = visits.visits_near_days(typed, span, dated_by=VISIT_DATE)
+    days = (span[1] - span[0]).days + 1 if span else None
+    kept = visits.drop_other_categories(typed, t.zone)
+    return visits.visits_in_windows(kept, visits.service_windows(t.clean_trips()), days, VISIT_DATE)
+
+
 @query
 def visit_anchor(t: Inputs) -> DataFrame:
     return visits.visit_anchors(ZONE_VISIT.select_from(t.zone_visit).distinct(), t.anchored())
@@ -229,13 +252,13 @@ def visit_match(t: Inputs) -> DataFrame:
 @query
 def closest_visit(t: Inputs) -> DataFrame:
     clean = t.settled_trips()
-    return visits.closest_visits(clean, t.placed_visits(clean), t.staging)
+    return visits.closest_visits(clean, t.placed_visits(clean))
 
 
 @query
 def arrival_choice(t: Inputs) -> DataFrame:
     clean = t.settled_trips()
-    closest = visits.closest_visits(clean, t.placed_visits(clean), t.staging)
+    closest = visits.closest_visits(clean, t.placed_visits(clean))
     return on_time.on_time_candidates(clean, closest, Cutoffs(), "GPS", "Schedule").select(
         "rp_route", "rp_vehicle", "anchor_abbrev", "effective_date", "direction", "expected_time", "zone", "gps_time",
         "gps_delay", "actual_time", "delay_time", "arrival", "arrival_source", "delay_combined", "arrival_in_window",
@@ -319,11 +342,23 @@ def otp_summary(t: Inputs) -> DataFrame:
     return _rounded(daily_rates.otp_summary(t.report()))
 
 
+def _held_history(t: Inputs) -> DataFrame:
+    measures = [c for c in daily_rates.RATE_HEADINGS if c != "otp_date"]
+    return t.history.select("otp_date", *measures[:2], *[F.lit(None).cast("double").alias(c) for c in measures[2:]])
+
+
 @query
 def history_merge(t: Inputs) -> DataFrame:
-    measures = [c for c in daily_rates.RATE_HEADINGS if c != "otp_date"]
-    held = t.history.select("otp_date", *measures[:2], *[F.lit(None).cast("double").alias(c) for c in measures[2:]])
-    return _rounded(update_history(held, t.report(), staging=t.staging))
+    return _rounded(update_history(_held_history(t), t.report(), staging=t.staging))
+
+
+@query
+def history_published(t: Inputs) -> DataFrame:
+    """The history published in a folder, updated there, and read as its readers find it."""
+    folder = t.tables_folder
+    publish(_held_history(t), folder)
+    publish_update(folder, t.report())
+    return _rounded(read_published(t._spark, folder))
 
 
 def _two_level_history(t: Inputs) -> DataFrame:
@@ -376,7 +411,7 @@ def route_enriched(t: Inputs) -> DataFrame:
 @query
 def route_anchor(t: Inputs) -> DataFrame:
     enriched = stops.enrich_routes(t.snapshot("pend"))
-    return trip_changes.route_anchors(enriched, t.point).select(
+    return trip_changes.route_anchors(enriched, t.point_pend).select(
         "record_id", "visible_route_id", "anchor_time_at_origin", "anchor_point_id", "anchor_location"
     )
 
@@ -396,6 +431,16 @@ def stop_changes(t: Inputs) -> DataFrame:
     return stops.stop_changes(*t.both_plans())
 
 
+@query
+def stop_changes_stored(t: Inputs) -> DataFrame:
+    """Both snapshots stored in buckets by request, then compared."""
+    stored = []
+    for snapshot in t.both_plans():
+        folder = t.tables_folder
+        stored.append(stops.store_stops(snapshot, folder.rsplit("/", 1)[1].replace("-", "_"), 8, folder))
+    return stops.stop_changes(*stored)
+
+
 def _old_rule(t: Inputs) -> DataFrame:
     return trip_changes.old_change_rule(*[stops.enrich_routes(s) for s in t.both_plans()])
 

@@ -12,14 +12,14 @@ def squish(col: Column) -> Column:
     return F.trim(F.regexp_replace(col, r"[\s\p{Z}]+", " "))
 
 
-def squish_strings(df: DataFrame) -> DataFrame:
-    """``squish`` on every string column, in one projection."""
-    return df.select(
-        *[
-            squish(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+def squish_strings(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``squish`` on every string column but those to ``keep``, in one projection."""
+
+    def clean(f: T.StructField) -> Column:
+        value = F.col(f"`{f.name}`")
+        return squish(value).alias(f.name) if isinstance(f.dataType, T.StringType) and f.name not in keep else value
+
+    return df.select(*[clean(f) for f in df.schema.fields])
 
 
 def text_or_na(col: Column) -> Column:

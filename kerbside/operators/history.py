@@ -38,20 +38,47 @@ def check_keys(history: DataFrame, updates: DataFrame, key: str) -> None:
         raise ValueError(f"{found['unclear']} values of {key} do not name exactly one row of the history")
 
 
+def _guarded(history: DataFrame, renamed: DataFrame, key: str) -> DataFrame:
+    """The left join of ``merge_history`` with the checks of ``check_keys`` inside: a bad key fails the job that reads it.
+
+    Both sides are counted by key where the join needs them, so neither is read twice.
+    """
+    counted = Window.partitionBy("__key")
+    wanted = renamed.withColumn("__updates", F.count(F.lit(1)).over(counted))
+    held = history.withColumn("__held_key", quoted(key))
+    held = held.withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy("__held_key")))
+    joined = held.join(wanted, F.col("__held_key") == F.col("__key"), "full")
+    text = F.coalesce(F.col("__key").cast("string"), F.lit("null"))
+
+    def fail(message: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"{key} "), text, F.lit(f" {message}")))
+
+    sound = (
+        F.when(F.col("__updates") > 1, fail("occurs more than once in the updates"))
+        .when(F.col("__updates").isNotNull() & (F.coalesce("__rows", F.lit(0)) != 1), fail("does not name exactly one row of the history"))
+        .otherwise(F.lit(True))
+    )
+    return joined.filter(sound).drop("__updates", "__rows", "__held_key")
+
+
 def merge_history(
     history: DataFrame,
     updates: DataFrame,
     key: str = "otp_date",
     allow_unmatched: bool = False,
-    validate: bool = True,
+    validate: bool | str = True,
 ) -> DataFrame:
     """The history with the rows of the updates' keys replaced whole; nothing is inserted.
 
-    Columns that the updates lack become null in the replaced rows. Write the result to a new location, since the plan
-    reads the history.
+    Columns that the updates lack become null in the replaced rows. Every key of the updates must be unique there and name
+    one row of the history: by default this is counted at once, by a job that reads both, and is a ValueError. With
+    ``validate="plan"`` the check is part of the plan: nothing runs now, the updates are read once, and the job that
+    computes the result fails. Write the result to a new location, since the plan reads the history.
     """
     check_columns(history, updates, allow_unmatched)
-    if validate:
+    if validate not in (True, False, "plan"):
+        raise ValueError("validate is True, False or 'plan'")
+    if validate is True:
         check_keys(history, updates, key)
     values = [c for c in history.columns if c != key]
     shared = [c for c in values if c in updates.columns]
@@ -59,7 +86,10 @@ def merge_history(
     renamed = updates.select(
         quoted(key).alias("__key"), *[quoted(c).alias(n) for c, n in new.items()], F.lit(True).alias("__hit")
     )
-    joined = history.join(renamed, quoted(key) == F.col("__key"), "left")
+    if validate == "plan":
+        joined = _guarded(history, renamed, key)
+    else:
+        joined = history.join(renamed, quoted(key) == F.col("__key"), "left")
 
     def merged(name: str) -> Column:
         value = F.col(new[name]) if name in new else F.lit(None)

@@ -46,6 +46,16 @@ def join_on(
     return joined.drop(*[f"__right_{r}" for _, r in [*safe, *strict]])
 
 
+def never_null(column: str, name: str) -> dict[str, Column]:
+    """Two never-null columns, ``name`` and ``name``_none, that are equal for equal numbers and for missing ones.
+
+    A null-safe comparison hashes expressions of its own, so its shuffle serves that one join. Joins and distincts on these
+    columns share a shuffle, or the buckets of a stored table.
+    """
+    value = F.col(column).cast("bigint")
+    return {name: F.coalesce(value, F.lit(0)), f"{name}_none": value.isNull()}
+
+
 def with_membership(left: DataFrame, key: str, members: DataFrame, member_key: str, flag: str) -> DataFrame:
     """Add the boolean ``flag``, never null: does ``key`` occur among the members (null does if a member is null)."""
     distinct = members.select(F.col(member_key).alias("__member")).distinct().withColumn("__hit", F.lit(True))

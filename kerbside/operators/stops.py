@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.text import stop_text, text_or_na
-from kerbside.operators.joins import join_on
+from kerbside.operators.joins import join_on, never_null
 from kerbside.schemas import PLAN_ROUTE, POINT, REQUEST, ROUTE_DETAIL, ROUTE_SET, SATISFACTION, VEHICLE
 
 
@@ -23,6 +23,15 @@ class Snapshot:
     requests: DataFrame
     satisfactions: DataFrame
     points: DataFrame
+    stored: StoredStops | None = None
+
+
+@dataclass
+class StoredStops:
+    """What ``store_stops`` has kept of a snapshot: requests, and the stops that serve them, in buckets by request."""
+
+    requests: DataFrame
+    served: DataFrame
 
 
 def enrich_routes(snapshot: Snapshot) -> DataFrame:
@@ -46,8 +55,8 @@ def _when_type(inbound: Column, outbound: Column, other: Column | None = None) -
     return chosen if other is None else chosen.otherwise(other)
 
 
-def request_points(requests: DataFrame) -> DataFrame:
-    """Distinct requests with the end of their route put in, and their anchor and other point.
+def _with_ends(requests: DataFrame) -> DataFrame:
+    """Requests with the end of their route put in.
 
     The input has the request's own points and those of its route (``route_origin``, ``route_destination``). Inbound
     requests end where the route ends, outbound ones start where it starts.
@@ -59,7 +68,11 @@ def request_points(requests: DataFrame) -> DataFrame:
             "destination_point_id": _when_type(F.col("route_destination"), own_destination, own_destination),
         }
     )
-    return ends.drop("route_origin", "route_destination").distinct().withColumns(
+    return ends.drop("route_origin", "route_destination")
+
+
+def _with_anchors(requests: DataFrame) -> DataFrame:
+    return requests.withColumns(
         {
             "anchor_point": _when_type(F.col("destination_point_id"), F.col("origin_point_id")),
             "non_anchor_point": _when_type(F.col("origin_point_id"), F.col("destination_point_id")),
@@ -67,30 +80,74 @@ def request_points(requests: DataFrame) -> DataFrame:
     )
 
 
-def snapshot_stops(snapshot: Snapshot) -> DataFrame:
-    """Distinct (route, request type, points) of the requests that a pick-up stop satisfies.
+def request_points(requests: DataFrame) -> DataFrame:
+    """Distinct requests with the end of their route put in, and their anchor and other point."""
+    return _with_anchors(_with_ends(requests).distinct())
+
+
+ROUTE_KEY, STOP_KEY, REQUEST_KEY = ([name, f"{name}_none"] for name in ("route_key", "stop_key", "request_key"))
 
-    Stops are joined to routes and reduced to distinct rows before the requests come in: many stops of a route that
-    serve one request then count once, and copies cannot multiply.
+
+def served_requests(snapshot: Snapshot) -> DataFrame:
+    """Distinct (request key, route and its ends) of the requests that a pick-up stop of a route satisfies.
+
+    Routes and stops are dealt by the key of their join and reduced to distinct rows there, so that copies do not multiply
+    and no shuffle is made for that alone. What serves a request is reduced by all its columns, on the map side too: many
+    stops of a route that serve one request are moved once.
     """
     routes = PLAN_ROUTE.select_from(snapshot.routes).select(
-        F.col("record_id").alias("route_id"),
+        *_keys("record_id", "route_key"),
         "visible_route_id",
         F.col("origin_point_id").alias("route_origin"),
         F.col("destination_point_id").alias("route_destination"),
     )
     details = ROUTE_DETAIL.select_from(snapshot.details)
-    stops = join_on(details, routes.distinct(), null_safe=["route_id"]).drop("route_id").distinct()
-    served = join_on(
-        SATISFACTION.select_from(snapshot.satisfactions),
-        stops,
-        null_safe=[("pickup_route_detail_id", "record_id")],
-        how="inner",
+    details = details.select(*_keys("record_id", "stop_key"), *_keys("route_id", "route_key"))
+    stops = join_on(details, routes.repartition(*ROUTE_KEY).distinct(), plain=ROUTE_KEY).drop(*ROUTE_KEY)
+    satisfactions = SATISFACTION.select_from(snapshot.satisfactions)
+    satisfactions = satisfactions.select(
+        *_keys("trex_id", "request_key"), *_keys("pickup_route_detail_id", "stop_key")
     )
-    served = served.drop("pickup_route_detail_id").distinct()
+    stops = stops.repartition(*STOP_KEY).distinct()
+    return join_on(satisfactions, stops, plain=STOP_KEY, how="inner").drop(*STOP_KEY).distinct()
+
+
+def _keys(column: str, name: str) -> list[Column]:
+    return [c.alias(n) for n, c in never_null(column, name).items()]
+
+
+def _keyed_requests(snapshot: Snapshot) -> DataFrame:
     requests = REQUEST.select_from(snapshot.requests)
-    joined = join_on(requests, served, null_safe=[("record_id", "trex_id")], how="inner").drop("record_id")
-    return request_points(joined)
+    return requests.withColumns(never_null("record_id", "request_key")).drop("record_id")
+
+
+def store_stops(snapshot: Snapshot, name: str, buckets: int, folder: str | None = None) -> Snapshot:
+    """The snapshot with its requests and what serves them stored in ``buckets`` by request, as the tables
+    ``name``_requests and ``name``_served, in ``folder`` or the warehouse.
+
+    A plan is compared with several others; each comparison then joins bucket by bucket, without a shuffle. Every bucket
+    is written by one task, so choose as many that one fits in a task.
+    """
+    spark = snapshot.requests.sparkSession
+    tables = {"requests": _keyed_requests(snapshot), "served": served_requests(snapshot)}
+    for part, rows in tables.items():
+        writer = rows.repartition(buckets, *REQUEST_KEY).write.bucketBy(buckets, *REQUEST_KEY).sortBy(*REQUEST_KEY)
+        if folder:
+            writer = writer.option("path", f"{folder.rstrip('/')}/{name}_{part}")
+        writer.mode("errorifexists").saveAsTable(f"{name}_{part}")
+    return replace(snapshot, stored=StoredStops(*[spark.table(f"{name}_{part}") for part in tables]))
+
+
+def _stop_rows(snapshot: Snapshot) -> DataFrame:
+    """(route, request type, points) of the requests that a pick-up stop satisfies; rows may repeat."""
+    stored = snapshot.stored or StoredStops(_keyed_requests(snapshot), served_requests(snapshot))
+    joined = join_on(stored.requests, stored.served, plain=REQUEST_KEY, how="inner").drop(*REQUEST_KEY)
+    return _with_ends(joined)
+
+
+def snapshot_stops(snapshot: Snapshot) -> DataFrame:
+    """Distinct (route, request type, points) of the requests that a pick-up stop satisfies."""
+    return _with_anchors(_stop_rows(snapshot).distinct())
 
 
 def stop_requests(snapshot: Snapshot) -> DataFrame:
@@ -105,30 +162,30 @@ def stop_presence(pending: Snapshot, plan: Snapshot) -> DataFrame:
 
     The snapshots are counted side by side rather than joined, so routes with many rows at a point give no pairs.
     """
-    sides = []
-    for snapshot, name in ((pending, "n_pending"), (plan, "n_planning")):
-        counts = {n: F.lit(1 if n == name else 0) for n in ("n_pending", "n_planning")}
-        sides.append(snapshot_stops(snapshot).select("visible_route_id", "non_anchor_point").withColumns(counts))
+    both = both_sides(_stop_rows(pending), _stop_rows(plan)).distinct()
     return (
-        sides[0]
-        .unionByName(sides[1])
+        _with_anchors(both)
         .groupBy("visible_route_id", "non_anchor_point")
-        .agg(F.sum("n_pending").alias("n_pending"), F.sum("n_planning").alias("n_planning"))
+        .agg(F.count_if(~F.col("in_plan")).alias("n_pending"), F.count_if("in_plan").alias("n_planning"))
     )
 
 
+def both_sides(pending: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows of both snapshots with the flag ``in_plan``."""
+    return pending.withColumn("in_plan", F.lit(False)).unionByName(plan.withColumn("in_plan", F.lit(True)))
+
+
 def stop_changes(pending: Snapshot, plan: Snapshot) -> DataFrame:
     """Per route with changes: texts and numbers of the stops that are in one snapshot only.
 
-    Equal texts of a route are counted before they are listed, so the list holds each text once.
+    Removed stops have the text of the pending snapshot, added ones that of the plan. Equal texts of a route are counted
+    before they are listed, so the list holds each text once.
     """
     changed = stop_presence(pending, plan).filter((F.col("n_pending") == 0) | (F.col("n_planning") == 0))
-    point = [("non_anchor_point", "record_id")]
-    removed = join_on(changed.filter(F.col("n_planning") == 0), point_texts(pending.points), null_safe=point)
-    added = join_on(changed.filter(F.col("n_pending") == 0), point_texts(plan.points), null_safe=point)
-    described = removed.unionByName(added).groupBy(
-        "visible_route_id", text_or_na(F.col("stop_description")).alias("text")
-    )
+    changed = changed.withColumn("in_plan", F.col("n_pending") == 0)
+    texts = both_sides(point_texts(pending.points), point_texts(plan.points))
+    described = join_on(changed, texts, null_safe=[("non_anchor_point", "record_id")], plain=["in_plan"])
+    described = described.groupBy("visible_route_id", text_or_na(F.col("stop_description")).alias("text"))
     counted = described.agg(F.sum("n_pending").alias("n_removed"), F.sum("n_planning").alias("n_added"))
 
     def listed(count: str) -> Column:

@@ -116,10 +116,22 @@ def clean_trips(
     inbound = trips.filter(F.col("direction") == "I")
     outbound = trips.filter(F.col("direction") == "O")
     outbound = apply_location_schedule(outbound, location_schedule, first_day, last_day)
-    both = squish_strings(inbound.unionByName(outbound))
+    # Scanned directions are codes. Left alone they stay known as not null, and joins on them add no filter.
+    both = squish_strings(inbound.unionByName(outbound), keep=("direction",))
     dated = both.withColumn("expected_time", rebase_date(F.col("expected_time"), F.col("effective_date")))
     resolved = resolve_anchor(dated, anchored)
     named = join_on(resolved, building_names(anchored), null_safe=["anchor_abbrev"])
     routed = join_on(named, named_routes, null_safe=["rp_route"])
     # The flag is never null, also where a trip has no route row.
     return routed.withColumn("excluded", F.coalesce("excluded", F.lit(False)))
+
+
+def one_of_each(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` without copies, in a form that all branches of a plan share.
+
+    The filter on the number of copies keeps the aggregate from being merged with one above it or pruned, so that every
+    branch over it has the same shuffle below, which Spark then runs once. Filters on single columns must not be put on
+    it where that matters: they would move below the shuffle.
+    """
+    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    return copies.filter(F.col("__copies") > 0).drop("__copies")

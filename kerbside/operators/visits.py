@@ -1,17 +1,14 @@
 """GPS zone visits and their match with planned trips.
 
 A vehicle can be in a zone many times and serve many trips there, so the plain join of trips and visits would emit every
-pair. Only the closest visits count, and they are found without the pairs:
-
-1. visits are reduced to one row per vehicle, anchor, zone, half-day and minute (a combining aggregate), then to one
-   sorted list of minutes per zone; a half-day has a bounded number of minutes, whatever the number of visits;
-   lists are kept by hour, with the two nearest minutes of other hours on either side, so that none is longer than 64
-   entries and a busy vehicle and anchor are spread over the hours;
-2. every distinct planned minute of a vehicle and anchor looks up the few minutes around it in the list of its hour;
-3. every distinct trip takes the smallest gap from the few minutes of its planned minute, and only the best trips of a
-   group go on;
-4. the report takes one visit per minute at that gap from the list itself; where all ties are asked for, they are
-   fetched by an equi-join that includes the minute.
+pair. Only the closest visits count, and one pass over the visits finds them without the pairs:
+
+1. visits are reduced to one row per vehicle, anchor, zone, half-day and minute (a combining aggregate); a half-day has a
+   bounded number of minutes, whatever the number of visits;
+2. the minutes of a zone are swept in order, once for every hour with a planned time: its own minutes with the two before
+   and the two after it, so that no row holds more than 64 and a busy vehicle and anchor are spread over the hours;
+3. every distinct trip meets the row of its hour and takes the smallest gap; only the best trips of a group go on;
+4. the visits at that gap come from the row itself, all of them or one per minute, never from the visits again.
 """
 
 from __future__ import annotations
@@ -24,15 +21,17 @@ from pyspark.sql import functions as F
 from kerbside.functions.text import squish_strings
 from kerbside.functions.times import MICROS_PER_MINUTE, delay_minutes, micros_between, micros_of_day
 from kerbside.operators.joins import join_on
-from kerbside.schemas import ZONE, ZONE_VISIT
-from kerbside.session import staged
+from kerbside.schemas import ZONE, ZONE_VISIT, TableSpec
 
 HALF_DAY = ["effective_date", "direction"]
 TRIP_KEY = ["rp_vehicle", "anchor_abbrev", "rp_route", "expected_time"]
 WINDOW_MARGIN = "INTERVAL '30' MINUTE"
 
-# Stands for the minute of a missing planned time; minutes of a half-day are a few thousand at most.
-NO_TIME = -1_000_000
+# Stands for the hour of a missing planned time.
+NO_HOUR = -1_000_000
+
+# Copies of a visit that are given back at once.
+COPIES = 4096
 
 # A service date has two windows that touch at most three calendar dates each; a row takes about 40 bytes.
 WINDOW_ROWS_PER_DAY = 6
@@ -54,8 +53,12 @@ def service_windows(trips: DataFrame, as_of: dt.datetime | None = None) -> DataF
 
     ``as_of`` caps the end, so that a report of a running day asks for no later visits.
     """
-    counted = trips.filter(~F.col("excluded")).groupBy(*HALF_DAY)
-    bounds = counted.agg(F.min("expected_time").alias("first_time"), F.max("expected_time").alias("last_time"))
+    # Aggregated under a condition instead of filtered, so that the trips' plan stays that of other branches.
+    time = F.when(~F.col("excluded"), F.col("expected_time"))
+    bounds = trips.groupBy(*HALF_DAY).agg(
+        F.min(time).alias("first_time"), F.max(time).alias("last_time"), F.count_if(~F.col("excluded")).alias("n")
+    )
+    bounds = bounds.filter(F.col("n") > 0)
     start = F.expr(f"first_time - {WINDOW_MARGIN}")
     end = F.expr(f"last_time + {WINDOW_MARGIN}")
     if as_of is not None:
@@ -64,17 +67,24 @@ def service_windows(trips: DataFrame, as_of: dt.datetime | None = None) -> DataF
 
 
 def visits_near_days(
-    visits: DataFrame, span: tuple[dt.date, dt.date], as_of: dt.datetime | None = None
+    visits: DataFrame,
+    span: tuple[dt.date, dt.date],
+    as_of: dt.datetime | None = None,
+    dated_by: str | None = None,
 ) -> DataFrame:
     """Visits that a window of these service dates can hold. A range of literals, so that it reaches the scan.
 
-    Planned times lie on their service date, and windows reach 30 minutes beyond them.
+    Planned times lie on their service date, and windows reach 30 minutes beyond them. ``dated_by`` names a column with
+    the date of ``time_in`` by which the visits are stored; folders of other dates are then not listed.
     """
     margin = dt.timedelta(minutes=30)
     start = dt.datetime.combine(span[0], dt.time()) - margin
     end = dt.datetime.combine(span[1], dt.time()) + dt.timedelta(days=1) + margin
     if as_of is not None:
         end = min(end, as_of.replace(tzinfo=None))
+    if dated_by is not None:
+        dates = [F.lit(str(t.date())).cast("date") for t in (start, end)]
+        visits = visits.filter(F.col(dated_by).between(*dates))
     time_in = F.col("time_in")
     return visits.filter((time_in >= _moment(start)) & (time_in <= _moment(end)))
 
@@ -83,21 +93,35 @@ def _moment(at: dt.datetime) -> Column:
     return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def visits_in_windows(visits: DataFrame, windows: DataFrame, service_days: int | None = None) -> DataFrame:
+def visits_in_windows(
+    visits: DataFrame, windows: DataFrame, service_days: int | None = None, dated_by: str | None = None
+) -> DataFrame:
     """Visits with the date and direction of every service window they start in, both ends included.
 
     The windows are spread over the one to three calendar dates they touch and joined on that date. ``service_days``, an
     upper bound on their number of dates, bounds their rows; they are broadcast if that is small enough. Otherwise
-    Spark chooses the join by size, and AQE splits dates with very many visits.
+    Spark chooses the join by size, and AQE splits dates with very many visits. ``dated_by`` names a column with the date
+    of ``time_in``; if the visits are stored by it, only the dates of the broadcast windows are read.
     """
     dates = F.sequence(F.to_date("start_time"), F.to_date("end_time"))
     usable = windows.filter(F.col("start_time") <= F.col("end_time"))
     dated = usable.withColumn("visit_date", F.explode(dates))
     if service_days is not None and service_days * WINDOW_ROWS_PER_DAY <= MAX_BROADCAST_ROWS:
         dated = F.broadcast(dated)
-    found = visits.withColumn("visit_date", F.to_date("time_in")).join(dated, "visit_date")
+    if dated_by is None:
+        visits, dated_by = visits.withColumn("visit_date", F.to_date("time_in")), "visit_date"
+    found = join_on(visits, dated, plain=[(dated_by, "visit_date")], how="inner")
     inside = F.col("time_in").between(F.col("start_time"), F.col("end_time"))
-    return found.filter(inside).drop("visit_date", "start_time", "end_time")
+    return found.filter(inside).drop(dated_by, "start_time", "end_time")
+
+
+def typed_visits(visits: DataFrame, dated_by: str | None = None) -> DataFrame:
+    """The needed columns of the visits, with the column that dates them, if any, at the end."""
+    typed = ZONE_VISIT.select_from(visits)
+    if dated_by is None:
+        return typed
+    spec = TableSpec(ZONE_VISIT.name, (*ZONE_VISIT.columns, (dated_by, dated_by, "date")))
+    return spec.select_from(visits)
 
 
 def visit_anchors(visits: DataFrame, anchored: DataFrame) -> DataFrame:
@@ -112,16 +136,18 @@ def prepare_visits(
     windows: DataFrame,
     span: tuple[dt.date, dt.date] | None = None,
     as_of: dt.datetime | None = None,
+    dated_by: str | None = None,
 ) -> DataFrame:
     """Visits that can be matched: category, window and anchor applied.
 
-    ``span``, the first and the last service date, bounds the scan of the visits and the number of windows.
+    ``span``, the first and the last service date, bounds the scan of the visits and the number of windows. ``dated_by``
+    names a column with the date of ``time_in`` by which the visits are stored.
     """
-    typed, service_days = ZONE_VISIT.select_from(visits), None
+    typed, service_days = typed_visits(visits, dated_by), None
     if span is not None:
-        typed, service_days = visits_near_days(typed, span, as_of), (span[1] - span[0]).days + 1
+        typed, service_days = visits_near_days(typed, span, as_of, dated_by), (span[1] - span[0]).days + 1
     kept = drop_other_categories(typed, zones)
-    placed = visit_anchors(visits_in_windows(kept, windows, service_days), anchored)
+    placed = visit_anchors(visits_in_windows(kept, windows, service_days, dated_by), anchored)
     return placed.select(
         F.col("asset").alias("rp_vehicle"),
         "anchor_abbrev",
@@ -134,49 +160,56 @@ def prepare_visits(
 
 
 PLACE = ["zone", "gps_category"]
-ZONE_KEY = ["rp_vehicle", "anchor_abbrev", "zone", "gps_category"]
+MATCH_KEY = ["rp_vehicle_key", "anchor_abbrev_key", *HALF_DAY]
 
 
 def _minute(ts: str) -> Column:
     return F.floor(micros_of_day(F.col(ts), F.col("effective_date")) / MICROS_PER_MINUTE)
 
 
-def _text_keys(*names: str) -> dict[str, Column]:
-    """Never-null texts, equal for equal values and for missing ones."""
-    return {f"{name}_key": F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit("")) for name in names}
+def _with_keys(df: DataFrame) -> DataFrame:
+    """Vehicle and anchor as never-null texts, equal for equal values and for missing ones."""
+    names = ["rp_vehicle", "anchor_abbrev"]
+    return df.withColumns({f"{n}_key": F.coalesce(F.concat(F.lit("="), F.col(n)), F.lit("")) for n in names})
+
+
+def _spot(**more: Column) -> Column:
+    """A minute with visits: its number, the moments of its first and last visit, and ``more``."""
+    micros = [micros_of_day(F.col(c), F.col("effective_date")).alias(f"{c}_micros") for c in ("first", "last")]
+    return F.struct("minute", *micros, *[c.alias(n) for n, c in more.items()])
 
 
-def visit_minutes(visits: DataFrame) -> DataFrame:
-    """Per vehicle, anchor, zone, category and half-day one row for each minute with a visit.
+def minutes_with_visits(visits: DataFrame) -> DataFrame:
+    """Per vehicle, anchor, half-day, zone and category one row for each minute with visits: minute, spot and n.
 
-    A row has the first and the last visit of its minute. Of visits at the same moment the one with the smallest
-    duration counts, a missing one last.
+    The spot has the first and the last visit. Of visits at the same moment the one with the smallest duration counts,
+    a missing one last.
     """
     duration = F.col("gps_duration")
     first = F.min(F.struct("gps_time", duration.isNull().alias("unknown"), duration.alias("duration")))
     last = F.max(F.struct("gps_time", duration.isNotNull().alias("known"), (-duration).alias("minus_duration")))
-    by_minute = visits.withColumn("minute", _minute("gps_time")).groupBy(*ZONE_KEY, *HALF_DAY, "minute")
-    return by_minute.agg(first.alias("first"), last.alias("last"), F.count(F.lit(1)).alias("n"))
+    minutes = _with_keys(visits).withColumn("minute", _minute("gps_time")).groupBy(*MATCH_KEY, *PLACE, "minute")
+    ends = minutes.agg(first.alias("f"), last.alias("l"), F.count(F.lit(1)).alias("n"))
+    ends = ends.withColumns({"first": F.col("f.gps_time"), "last": F.col("l.gps_time")})
+    own = {"first": F.col("first"), "first_duration": F.col("f.duration"), "last": F.col("last"),
+           "last_duration": -F.col("l.minus_duration")}
+    return ends.select(*MATCH_KEY, *PLACE, "minute", _spot(**own).alias("spot"), "n")
 
 
-def zone_spots(visits: DataFrame, asked: DataFrame, match_key: list[str]) -> DataFrame:
-    """The minutes of ``visit_minutes`` that a planned trip can use, as one sorted list per zone and hour.
+def minutes_with_every_visit(visits: DataFrame) -> DataFrame:
+    """``minutes_with_visits`` with a spot that lists all visits of its minute, equal ones once with their number.
 
-    Minutes without a trip are left out before the lists are built.
+    Copies are counted before the shuffle; a list is as long as its minute has different moments and durations.
     """
-    spot = F.struct(
-        "minute",
-        F.col("first.gps_time").alias("first"),
-        F.col("first.duration").alias("first_duration"),
-        micros_of_day(F.col("first.gps_time"), F.col("effective_date")).alias("first_micros"),
-        F.col("last.gps_time").alias("last"),
-        (-F.col("last.minus_duration")).alias("last_duration"),
-        micros_of_day(F.col("last.gps_time"), F.col("effective_date")).alias("last_micros"),
-    )
-    minutes = visit_minutes(visits).withColumns(_text_keys("rp_vehicle", "anchor_abbrev"))
-    usable = minutes.join(asked.select(*match_key), match_key, "left_semi")
-    zones = usable.withColumn("hour", _hour(F.col("minute"))).groupBy(*match_key, *PLACE, "hour")
-    return zones.agg(F.array_sort(F.collect_list(spot)).alias("spots"), F.sum("n").alias("n_visits"))
+    copies = _with_keys(visits).withColumn("minute", _minute("gps_time"))
+    copies = copies.groupBy(*MATCH_KEY, *PLACE, "minute", "gps_time", "gps_duration").agg(F.count(F.lit(1)).alias("n"))
+    # Dealt by the key that the match needs, so that minutes, lists and match share this shuffle.
+    minutes = copies.repartition(*MATCH_KEY).groupBy(*MATCH_KEY, *PLACE, "minute")
+    listed = minutes.agg(
+        F.min("gps_time").alias("first"), F.max("gps_time").alias("last"),
+        F.collect_list(F.struct("gps_time", "gps_duration", "n")).alias("visits"), F.sum("n").alias("n"),
+    )
+    return listed.select(*MATCH_KEY, *PLACE, "minute", _spot(visits=F.col("visits")).alias("spot"), "n")
 
 
 def _hour(minute: Column) -> Column:
@@ -191,55 +224,32 @@ def _last_two(spots: Column) -> Column:
     return F.slice(spots, F.greatest(F.size(spots) - 1, F.lit(1)), 2)
 
 
-def hour_spots(spots: DataFrame, asked: DataFrame, match_key: list[str]) -> DataFrame:
-    """For every zone and asked hour: its minutes with the two before and the two after them, and the zone's visits.
-
-    An hour without visits has only the minutes around it. A zone has at most as many rows as a half-day has hours.
-    """
-    hours = asked.filter(F.col("planned_minute") != NO_TIME)
-    hours = hours.select(*match_key, _hour(F.col("planned_minute")).alias("hour")).distinct()
-    zones = spots.select(*match_key, *PLACE).distinct()
-    empty = F.array().cast(spots.schema["spots"].dataType)
-    unseen = zones.join(hours, match_key).select(
-        *match_key, *PLACE, "hour", empty.alias("spots"), F.lit(0).cast("long").alias("n_visits")
-    )
-    rows = spots.unionByName(unseen).groupBy(*match_key, *PLACE, "hour")
-    rows = rows.agg(F.flatten(F.collect_list("spots")).alias("spots"), F.sum("n_visits").alias("n_visits"))
-    zone = Window.partitionBy(*match_key, *PLACE)
-    earlier = zone.orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
-    later = zone.orderBy("hour").rowsBetween(1, Window.unboundedFollowing)
-    carried = rows.withColumns(
-        {
-            "before": F.flatten(F.collect_list(_last_two(F.col("spots"))).over(earlier)),
-            "after": F.flatten(F.collect_list(_first_two(F.col("spots"))).over(later)),
-            "n_visits": F.sum("n_visits").over(zone),
-        }
-    )
-    around = F.concat(_last_two(F.col("before")), "spots", _first_two(F.col("after")))
-    return carried.withColumn("spots", around).drop("before", "after")
+def _around(spots: Column, first: Column, after: Column) -> Column:
+    """Of sorted spots those from minute ``first`` to before ``after``, and the two on either side."""
+    before = F.filter(spots, lambda s: s["minute"] < first)
+    own = F.filter(spots, lambda s: (s["minute"] >= first) & (s["minute"] < after))
+    later = F.filter(spots, lambda s: s["minute"] >= after)
+    return F.concat(_last_two(before), own, _first_two(later))
 
 
-def spots_around(
-    asked: DataFrame, spots: DataFrame, match_key: list[str], all_without_time: bool = True
-) -> DataFrame:
-    """For every planned minute and zone the list of visit minutes that can be nearest to a time in that minute.
+def spots_by_hour(minutes: DataFrame, asked: DataFrame, all_without_time: bool = True) -> DataFrame:
+    """For every zone of a vehicle and anchor and every hour of ``asked`` the spots that can be nearest in that hour.
 
-    These are the minute itself and the two before and after it that have visits: whole-minute gaps that are equal
-    come from two neighbouring minutes. Without a planned time all minutes are kept, or the first of them.
+    ``asked`` has the list of hours of each key that has trips; visits of other keys are left out. A half-day has a bounded
+    number of minutes, whatever the number of visits, so a zone is one sorted list that is swept once per hour: the spots of
+    the hour, and the two before and after it, carried from other hours where it has none. No list of an hour is longer
+    than 64. Without a planned time all spots are kept, or the first.
     """
-    planned, near = F.col("planned_minute"), F.col("spots")
-    before = F.filter(near, lambda s: s["minute"] < planned)
-    own = F.filter(near, lambda s: s["minute"] == planned)
-    after = F.filter(near, lambda s: s["minute"] > planned)
-    timed = asked.filter(planned != NO_TIME).withColumn("hour", _hour(planned))
-    timed = timed.join(hour_spots(spots, asked, match_key), [*match_key, "hour"])
-    timed = timed.withColumn("near", F.concat(_last_two(before), own, _first_two(after)))
-
-    untimed = asked.filter(planned == NO_TIME)
-    lists = spots.join(untimed.select(*match_key), match_key, "left_semi").groupBy(*match_key, *PLACE)
-    whole = F.array_sort(F.flatten(F.collect_list("spots"))) if all_without_time else F.array(F.min(near[0]))
-    lists = lists.agg(whole.alias("near"), F.sum("n_visits").alias("n_visits"))
-    return timed.drop("hour", "spots").unionByName(untimed.join(lists, match_key))
+    zones = minutes.join(asked, MATCH_KEY).groupBy(*MATCH_KEY, *PLACE)
+    swept = zones.agg(
+        F.array_sort(F.collect_list("spot")).alias("spots"), F.sum("n").alias("n_visits"), F.first("hours").alias("hours")
+    )
+    hour, spots = F.col("hour"), F.col("spots")
+    near = F.when(hour != NO_HOUR, _around(spots, hour * 60, hour * 60 + 60)).otherwise(
+        spots if all_without_time else F.slice(spots, 1, 1)
+    )
+    by_hour = swept.withColumn("hour", F.explode("hours"))
+    return by_hour.select(*MATCH_KEY, *PLACE, "hour", near.alias("spots"), "n_visits")
 
 
 def _gap(spot: Column, expected_micros: Column) -> Column:
@@ -248,41 +258,45 @@ def _gap(spot: Column, expected_micros: Column) -> Column:
     return F.floor(F.greatest(after, before, F.lit(0)) / MICROS_PER_MINUTE).cast("int")
 
 
-def match_visits(trips: DataFrame, visits: DataFrame, all_without_time: bool = True) -> DataFrame:
+def match_visits(
+    trips: DataFrame, visits: DataFrame, all_without_time: bool = True, every_visit: bool = True
+) -> DataFrame:
     """One row per distinct trip and zone (and category) visited by its vehicle at its anchor.
 
     ``gap`` is the number of whole minutes to the nearest visit, null without a planned time. ``near`` lists the minutes
-    with visits at that gap; without a planned time all of them, or the first.
+    with visits at that gap; without a planned time all of them, or the first. Each has all its visits, or without
+    ``every_visit`` the first and the last one.
+
+    The visits are read and shuffled once. Trips meet the spots by vehicle, anchor, half-day and hour, so a key with very
+    many trips is spread over the hours, and AQE can split what is left of it. Of a planned minute only the spots in it and
+    the two minutes before and after it count: whole-minute gaps that are equal come from two neighbouring minutes.
     """
-    keys = _text_keys("rp_vehicle", "anchor_abbrev")
-    match_key = [*keys, *HALF_DAY]
-    keyed = trips.select(*TRIP_KEY, *HALF_DAY).withColumns(
+    planned, micros = F.col("planned_minute"), F.col("planned_micros")
+    keyed = _with_keys(trips.select(*TRIP_KEY, *HALF_DAY).distinct()).withColumns(
         {
-            **keys,
-            "planned_minute": F.coalesce(_minute("expected_time"), F.lit(NO_TIME)),
+            "planned_minute": _minute("expected_time"),
             "planned_micros": micros_of_day(F.col("expected_time"), F.col("effective_date")),
+            "hour": F.coalesce(_hour(_minute("expected_time")), F.lit(NO_HOUR)),
         }
     )
-    asked = keyed.select(*match_key, "planned_minute").distinct()
-    around = spots_around(asked, zone_spots(visits, asked, match_key), match_key, all_without_time)
-    paired = keyed.distinct().join(around, [*match_key, "planned_minute"]).drop(*keys, "planned_minute")
-    micros = F.col("planned_micros")
-    gap = F.when(micros.isNotNull(), F.array_min(F.transform("near", lambda s: _gap(s, micros))))
-    at_gap = F.filter("near", lambda s: _gap(s, micros) == F.col("gap"))
-    near = F.when(micros.isNull(), F.col("near")).otherwise(at_gap)
-    return paired.withColumn("gap", gap).withColumn("near", near).drop("planned_micros")
+    asked = keyed.groupBy(*MATCH_KEY).agg(F.collect_set("hour").alias("hours"))
+    minutes = minutes_with_every_visit(visits) if every_visit else minutes_with_visits(visits)
+    paired = keyed.join(spots_by_hour(minutes, asked, all_without_time), [*MATCH_KEY, "hour"])
+    paired = paired.withColumn("spots", F.when(planned.isNull(), F.col("spots")).otherwise(_around(F.col("spots"), planned, planned + 1)))
+    gap = F.when(micros.isNotNull(), F.array_min(F.transform("spots", lambda s: _gap(s, micros))))
+    near = F.filter("spots", lambda s: micros.isNull() | (_gap(s, micros) == F.col("gap")))
+    matches = paired.withColumn("gap", gap).withColumn("near", near)
+    return matches.select(*TRIP_KEY, *HALF_DAY, *PLACE, "near", "n_visits", "gap")
 
 
 def _best_of_group(matches: DataFrame) -> DataFrame:
     """Matches with the least gap of their zone, vehicle, route and half-day; those without a gap come last.
 
-    The least gap is a combining aggregate that is joined back, so that a route with very many equal gaps is never
-    ranked in one task.
+    The rank limit is applied before the shuffle, so of a route with very many matches only those that tie in a map
+    task are moved.
     """
-    texts = ["zone", "rp_vehicle", "rp_route"]
-    least = matches.groupBy(*texts, *HALF_DAY).agg(F.min("gap").alias("least_gap"))
-    equal = F.col("gap").eqNullSafe(F.col("least_gap"))
-    return join_on(matches, least, null_safe=texts, plain=HALF_DAY, how="inner", where=equal).drop("least_gap")
+    group = Window.partitionBy("zone", "rp_vehicle", "rp_route", *HALF_DAY).orderBy(F.col("gap").asc_nulls_last())
+    return matches.withColumn("__rank", F.rank().over(group)).filter(F.col("__rank") == 1).drop("__rank")
 
 
 def _result(found: DataFrame) -> DataFrame:
@@ -292,33 +306,36 @@ def _result(found: DataFrame) -> DataFrame:
     )
 
 
-def closest_visits(trips: DataFrame, visits: DataFrame, staging: str | None = None) -> DataFrame:
+def _times(n: Column) -> Column:
+    """An array of ``n`` entries for ``explode``, in blocks so that a very large n needs no array of that size."""
+    return F.transform(F.sequence(F.lit(0), F.floor((n - 1) / COPIES)), lambda b: F.least(n - b * COPIES, F.lit(COPIES)))
+
+
+def closest_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
     """Per zone, vehicle, route and half-day the visits with the least absolute delay, ties included.
 
-    Trips without a planned time count only where their group has no other; then every visit ties. The
-    matches are read twice; ``staging``, a shared folder, has them written there first.
+    Trips without a planned time count only where their group has no other; then every visit ties. The ties come from the
+    match itself, so visits are not read again.
     """
-    keys = _text_keys(*ZONE_KEY)
-    matches = match_visits(trips, visits).drop("n_visits")
-    best = _best_of_group(staged(matches, staging))
-    asked = best.select(*TRIP_KEY, *HALF_DAY, "zone", "gps_category", "gap", F.explode("near.minute").alias("minute"))
-    offered = visits.withColumns(keys).withColumn("minute", _minute("gps_time")).drop(*ZONE_KEY)
-    found = asked.withColumns(keys).join(offered, [*keys, *HALF_DAY, "minute"])
+    best = _best_of_group(match_visits(trips, visits).drop("n_visits"))
+    minutes = best.withColumn("spot", F.explode("near")).drop("near")
+    found = minutes.withColumn("visit", F.explode("spot.visits")).drop("spot")
+    found = found.withColumns({"gps_time": F.col("visit.gps_time"), "gps_duration": F.col("visit.gps_duration")})
     delay = delay_minutes(F.col("expected_time"), F.col("gps_time"))
-    return _result(found.filter(F.col("gap").isNull() | (F.abs(delay) == F.col("gap"))))
+    tied = found.filter(F.col("gap").isNull() | (F.abs(delay) == F.col("gap")))
+    block = tied.withColumn("block", F.explode(_times(F.col("visit.n"))))
+    return _result(block.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("block")))))
 
 
-def nearest_visits(trips: DataFrame, visits: DataFrame, staging: str | None = None) -> DataFrame:
-    """Those of the closest visits that a report can pick, without going back to the visits.
+def nearest_visits(trips: DataFrame, visits: DataFrame) -> DataFrame:
+    """Those of the closest visits that a report can pick.
 
     Per trip, zone and minute only one is left: the first in minutes after the planned one and in the planned minute
     itself, the last in minutes before it; without a planned time the first of all. ``one_per_route`` prefers exactly
-    these, so the pick is the same as from all ties. The matches are read twice; ``staging``, a shared folder,
-    has them written there first.
+    these, so the pick is the same as from all ties.
     """
-    matches = match_visits(trips, visits, all_without_time=False).drop("n_visits")
-    best = _best_of_group(staged(matches, staging))
-    spots = best.select(*TRIP_KEY, *HALF_DAY, "zone", "gps_category", F.explode("near").alias("spot"))
+    matches = match_visits(trips, visits, all_without_time=False, every_visit=False).drop("n_visits")
+    spots = _best_of_group(matches).withColumn("spot", F.explode("near"))
     earlier = F.col("spot.minute") < _minute("expected_time")
     return _result(
         spots.withColumns(

@@ -14,7 +14,7 @@ from kerbside.functions.text import garage_short, squish_strings
 from kerbside.functions.times import delay_minutes
 from kerbside.operators.buildings import anchored_buildings, zone_anchors
 from kerbside.operators.joins import join_on, with_membership
-from kerbside.operators.trips import Day, clean_trips, in_days, name_routes, scan_trips, service_range
+from kerbside.operators.trips import Day, clean_trips, in_days, name_routes, one_of_each, scan_trips, service_range
 from kerbside.operators.uncovered import attach_uncovered
 from kerbside.operators.visits import (
     HALF_DAY,
@@ -38,7 +38,11 @@ REPORT_COLUMNS = [
 
 @dataclass
 class OnTimeTables:
-    """Inputs of the report; see ``kerbside.schemas`` for their columns."""
+    """Inputs of the report; see ``kerbside.schemas`` for their columns.
+
+    ``visits_dated_by`` names a column of the visits with the date of ``time_in``, if they are stored by one
+    (``write_visits``): only the dates of the report are then read.
+    """
 
     trips: DataFrame
     routes: DataFrame
@@ -49,6 +53,7 @@ class OnTimeTables:
     overrides: DataFrame
     uncovered: DataFrame
     location_schedule: DataFrame
+    visits_dated_by: str | None = None
 
 
 def original_vehicles(
@@ -155,9 +160,10 @@ def otp_report(
 
     Many days and both half-days are one plan; date and direction are part of every key, so the result is that of one
     run per day and half-day. ``include_visits=False`` rests on the schedule system alone. ``keep_listed`` adds the
-    column ``listed_uncovered`` for ``covered_trips``. The cleaned trips and their visit matches are read more than
-    once; ``staging``, a shared folder, has them written there while the plan is built. A range of days bounds the scans
-    of trips, schedule and visits; for an open end the first or last date is read from the trips.
+    column ``listed_uncovered`` for ``covered_trips``. Visits are read once; the cleaned trips are used four times, from
+    one shuffle that the branches share, or from ``staging``, a shared folder where they are written while the plan is
+    built. A range of days bounds the scans of trips, schedule and visits; for an open end the first or last date is read
+    from the trips.
     """
     anchored = anchored_buildings(tables.buildings)
     scanned = scan_trips(tables.trips, half_days, first_day, last_day)
@@ -169,12 +175,13 @@ def otp_report(
         first_day,
         last_day,
     )
-    trips = staged(trips, staging)
+    trips = staged(trips, staging) if staging else one_of_each(trips)
 
     span = service_range(scanned, first_day, last_day) if include_visits else None
     visits = tables.visits if span else tables.visits.filter(F.lit(False))
-    placed = prepare_visits(visits, tables.zones, anchored, service_windows(trips, as_of), span, as_of)
-    nearest = nearest_visits(trips, placed, staging)
+    windows = service_windows(trips, as_of)
+    placed = prepare_visits(visits, tables.zones, anchored, windows, span, as_of, tables.visits_dated_by)
+    nearest = nearest_visits(trips, placed)
     best = one_per_route(on_time_candidates(trips, nearest, cutoffs, gps_label, system_label), prefer_not_early)
 
     # One original vehicle per picked row, the first in text order: the pick has one row per route and day.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import add, or_
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from kerbside.functions.rules import direction_code
 from kerbside.functions.text import clock_text, number_text, numeric, route_number
 from kerbside.operators.joins import join_on, with_membership
-from kerbside.operators.stops import Snapshot, enrich_routes, point_texts, stop_changes
+from kerbside.operators.stops import Snapshot, both_sides, enrich_routes, point_texts, stop_changes
+from kerbside.schemas import PLAN_ROUTE, VEHICLE
 
 # The compared attributes in the order of the report, with their published names.
 VARIABLES = {
@@ -61,28 +63,65 @@ class Fixes:
     old_rule_key: str = "record_id"
 
 
-def old_change_rule(pending: DataFrame, plan: DataFrame, key: str = "record_id") -> DataFrame:
-    """Routes (enriched) of the new plan whose bus, load or whole minutes changed by the old, inclusive rule.
+def _changed_by_old_rule(new: Callable[[str], Column], old: Callable[[str], Column]) -> Column:
+    """Bus, load or whole minutes changed by the old, inclusive rule; never null.
 
-    A missing key never matches, an old load that is missing counts as 0 and an old time as unchanged.
+    An old load that is missing counts as 0 and an old time as unchanged; a new bus must be known.
     """
-    values = {"vehicle": "old_vehicle", "actual_load": "old_load", "route_time_s": "old_time_s"}
-    old = pending.select(F.col(key), *[F.col(c).alias(a) for c, a in values.items()])
-    both = join_on(plan.select(key, *values), old, plain=[key])
 
-    def differs(new: Column, before: Column, step: int) -> Column:
-        return F.coalesce(F.abs(new - before) >= step, F.lit(False))
+    def differs(after: Column, before: Column, step: int) -> Column:
+        return F.coalesce(F.abs(after - before) >= step, F.lit(False))
 
-    def minutes(seconds: str) -> Column:
-        return (F.col(seconds) / 60).cast("int")
+    def minutes(seconds: Column) -> Column:
+        return (seconds / 60).cast("int")
 
-    bus = F.coalesce("vehicle", F.lit(""))
+    bus = F.coalesce(new("vehicle"), F.lit(""))
     changed = (
-        (bus != F.coalesce("old_vehicle", F.lit("")))
-        | differs(F.col("actual_load"), F.coalesce("old_load", F.lit(0)), OLD_LOAD_STEP)
-        | differs(minutes("route_time_s"), minutes("old_time_s"), OLD_MINUTES_STEP)
+        (bus != F.coalesce(old("vehicle"), F.lit("")))
+        | differs(new("actual_load"), F.coalesce(old("actual_load"), F.lit(0)), OLD_LOAD_STEP)
+        | differs(minutes(new("route_time_s")), minutes(old("route_time_s")), OLD_MINUTES_STEP)
+    )
+    return changed & (bus != "")
+
+
+_OLD_RULE_VALUES = ("vehicle", "actual_load", "route_time_s")
+
+
+def old_change_rule(pending: DataFrame, plan: DataFrame, key: str = "record_id") -> DataFrame:
+    """Routes (enriched) of the new plan whose bus, load or whole minutes changed by the old rule.
+
+    A missing key never matches.
+    """
+    old = pending.select(F.col(key), *[F.col(c).alias(f"old_{c}") for c in _OLD_RULE_VALUES])
+    both = join_on(plan.select(key, *_OLD_RULE_VALUES), old, plain=[key])
+    changed = _changed_by_old_rule(F.col, lambda name: F.col(f"old_{name}"))
+    return both.filter(changed).select(F.col(key).alias("route"), F.col("vehicle").alias("bus"))
+
+
+def _routes_by_old_rule(pending: Snapshot, plan: Snapshot, key: str) -> DataFrame:
+    """The keys (``route``) that ``old_change_rule`` gives, found side by side.
+
+    Routes of both snapshots meet their vehicles in one join and are dealt once, by key. A key collects its different
+    values, which are one per snapshot unless it repeats; missing keys match nothing and are spread.
+    """
+    names = [key, "vehicle_id", "actual_load", "route_time_s"]
+    routes = both_sides(*[PLAN_ROUTE.select_from(s.routes).select(*names) for s in (pending, plan)])
+    vehicles = both_sides(*[VEHICLE.select_from(s.vehicles).select("record_id", "vehicle") for s in (pending, plan)])
+    vehicles = vehicles.withColumnRenamed("record_id", "vehicle_record")
+    known = join_on(routes, vehicles, null_safe=[("vehicle_id", "vehicle_record")], plain=["in_plan"])
+    values = F.struct(*_OLD_RULE_VALUES)
+    spread = F.when(F.col(key).isNull(), F.xxhash64("in_plan", *_OLD_RULE_VALUES))
+    sides = known.groupBy(key, spread.alias("spread")).agg(
+        F.collect_set(F.when(~F.col("in_plan"), values)).alias("old"),
+        F.collect_set(F.when(F.col("in_plan"), values)).alias("new"),
+    )
+    absent = F.array(F.lit(None).cast(sides.schema["old"].dataType.elementType))
+    # Copies and pairs count once: only whether any pair changed is asked.
+    old = F.when((F.size("old") > 0) & F.col(key).isNotNull(), F.col("old")).otherwise(absent)
+    changed = F.exists(
+        "new", lambda n: F.exists(old, lambda o: _changed_by_old_rule(lambda c: n[c], lambda c: o[c]))
     )
-    return both.filter(changed & (bus != "")).select(F.col(key).alias("route"), F.col("vehicle").alias("bus"))
+    return sides.filter(changed).select(F.col(key).alias("route"))
 
 
 def route_anchors(enriched: DataFrame, points: DataFrame, fix_anchor: bool = False) -> DataFrame:
@@ -97,17 +136,16 @@ def route_anchors(enriched: DataFrame, points: DataFrame, fix_anchor: bool = Fal
     )
 
 
-def _paired_routes(pending: Snapshot, plan: Snapshot, fixes: Fixes) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Enriched routes of both snapshots, and their full join with every column marked by its side."""
-    enriched = [enrich_routes(s) for s in (pending, plan)]
+def _paired_routes(pending: Snapshot, plan: Snapshot, fixes: Fixes) -> DataFrame:
+    """Full join of the enriched routes of both snapshots, with every column marked by its side."""
     sides = []
-    for routes, snapshot, side in zip(enriched, (pending, plan), ("pend", "plan"), strict=True):
-        anchored = route_anchors(routes, snapshot.points, fixes.anchor)
+    for snapshot, side in ((pending, "pend"), (plan, "plan")):
+        anchored = route_anchors(enrich_routes(snapshot), snapshot.points, fixes.anchor)
         sides.append(anchored.select(*[F.col(c).alias(f"{c}_{side}") for c in anchored.columns]))
     same = F.col("visible_route_id_pend").eqNullSafe(F.col("visible_route_id_plan"))
     paired = sides[0].join(sides[1], same, "full")
     key = F.coalesce("visible_route_id_pend", "visible_route_id_plan").alias("visible_route_id")
-    return enriched[0], enriched[1], paired.select(key, "*")
+    return paired.select(key, "*")
 
 
 class _Comparison:
@@ -151,7 +189,7 @@ class _Comparison:
 
 def _compare_routes(pending: Snapshot, plan: Snapshot, thresholds: Thresholds, fixes: Fixes) -> DataFrame:
     """``route_diff`` with the extra flag ``noted``: is there a text to show."""
-    old_routes, new_routes, paired = _paired_routes(pending, plan, fixes)
+    paired = _paired_routes(pending, plan, fixes)
     routes = join_on(paired, stop_changes(pending, plan), null_safe=["visible_route_id"])
     seen = _Comparison(lambda name: number_text(routes, name), fixes.any_change)
 
@@ -199,7 +237,7 @@ def _compare_routes(pending: Snapshot, plan: Snapshot, thresholds: Thresholds, f
         F.coalesce(reduce(or_, seen.noted), F.lit(False)).alias("noted"),
         route_number(F.col("visible_route_id")).cast("bigint").alias("__number"),
     )
-    old_rule = old_change_rule(old_routes, new_routes, fixes.old_rule_key)
+    old_rule = _routes_by_old_rule(pending, plan, fixes.old_rule_key)
     number = numeric(F.col("route")).try_cast("bigint")
     return with_membership(diffs, "__number", old_rule.select(number.alias("route")), "route", "in_old_rule").drop(
         "__number"

@@ -77,8 +77,8 @@ SELECT o_orderkey AS record_id, concat(CAST(o_orderkey AS STRING), CASE WHEN o_o
  CASE WHEN o_orderkey % 4 = 3 THEN o_custkey % 100 + 1 ELSE o_custkey END AS vehicle_id,
  (o_orderkey + CASE WHEN o_orderkey % 9 = 0 THEN 1 ELSE 0 END) % 40 AS route_set_id,
  concat('NAME ', CAST(o_orderkey % 51 AS STRING)) AS name, CAST(o_orderkey % 60 + (o_orderkey % 5 - 2) AS INT) AS desired_load,
- CAST(o_orderkey % 60 + 1 * (o_orderkey % 15 - 7) AS INT) AS actual_load, CAST(1800 + 1 * (o_orderkey % 600 - 300) AS INT) AS route_time_s,
- CAST(floor(o_totalprice) + 1 * (o_orderkey % 400 - 200) AS INT) AS route_distance, CAST(25200 + (o_orderkey % 3 - 1) * 60 AS INT) AS anchor_time_s,
+ CAST(o_orderkey % 60 + 1 * (o_orderkey % 15 - 7) AS INT) AS actual_load, CAST(1800 + CASE WHEN o_orderkey % 4 = 1 THEN 0 ELSE o_orderkey % 600 - 300 END AS INT) AS route_time_s,
+ CAST(floor(o_totalprice) + CASE WHEN o_orderkey % 4 = 2 THEN 0 ELSE o_orderkey % 400 - 200 END AS INT) AS route_distance, CAST(25200 + (o_orderkey % 3 - 1) * 60 AS INT) AS anchor_time_s,
  CASE WHEN o_orderkey % 6 = 0 THEN 'MTW' ELSE o_orderpriority END AS days,
  CASE WHEN (o_orderkey + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END) % 2 = 0 THEN 'Y' ELSE 'N' END AS anchor_time_at_origin,
  o_orderkey % 2000 AS origin_point_id, (o_orderkey + 1 * (o_orderkey % 2)) % 2000 AS destination_point_id FROM orders WHERE o_orderkey % 20 <> 0
@@ -108,6 +108,20 @@ SELECT p_partkey AS record_id, p_name AS description, CASE WHEN p_partkey % 3 =
 """,
     "vehicle": r"""
 SELECT c_custkey AS record_id, concat('V', CAST(c_custkey AS STRING)) AS vehicle, CASE c_nationkey % 3 WHEN 0 THEN 'FREEPORT' WHEN 1 THEN 'READVILLE' ELSE 'WASHINGTON' END AS overnight_garage FROM customer
+""",
+    "point_pend": "SELECT record_id, description, custom_description FROM point",
+    "point_plan": r"""
+SELECT record_id, CASE WHEN record_id % 7 = 0 THEN concat(description, ' moved') ELSE description END AS description,
+ CASE WHEN record_id % 5 = 0 THEN concat('NEW STOP ', CAST(record_id AS STRING)) ELSE custom_description END AS custom_description FROM point WHERE record_id % 97 <> 0
+""",
+    "vehicle_pend": "SELECT record_id, vehicle, overnight_garage FROM vehicle",
+    "vehicle_plan": r"""
+SELECT record_id, CASE WHEN record_id % 11 = 0 THEN concat('W', CAST(record_id AS STRING)) ELSE vehicle END AS vehicle,
+ CASE WHEN record_id % 13 = 0 THEN 'OTHER YARD' ELSE overnight_garage END AS overnight_garage FROM vehicle WHERE record_id % 101 <> 0
+""",
+    "route_set_pend": "SELECT route_set_id, route_set_name FROM route_set",
+    "route_set_plan": r"""
+SELECT route_set_id, CASE WHEN route_set_id % 8 = 5 THEN concat(route_set_name, ' (new)') ELSE route_set_name END AS route_set_name FROM route_set WHERE route_set_id <> 17
 """,
     "monitor": r"""
 SELECT c_custkey AS record_id, c_mktsegment AS program_description, d.day, s.shift,

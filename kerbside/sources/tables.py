@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kerbside.schemas import SPECS
 
@@ -34,3 +35,16 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     """Write a result to a new location; an existing one is an error, since a plan may still read from it."""
     writer = df.write.format(fmt).mode("errorifexists")
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+
+
+VISIT_DATE = "visit_date"
+
+
+def write_visits(visits: DataFrame, path: str) -> None:
+    """Visits by the date of ``time_in``, in the partition column ``visit_date``; name it in ``visits_dated_by`` to use it.
+
+    Rows of a date are brought together first, so that a date has a few files and not one of every task; a date of very
+    many rows is split.
+    """
+    dated = visits.withColumn(VISIT_DATE, F.to_date(F.col("time_in").cast("timestamp_ntz")))
+    write_table(dated.hint("rebalance", VISIT_DATE), path, [VISIT_DATE])
