@@ -6,9 +6,10 @@ part holds at most k2 of the differences, and so some n2 - k2 of its second-leve
 of parts is a signature, so that all pairs above the threshold share one. A set signs for its own band and the next.
 
 Copies (equal sets) form one class first. Classes that share a signature are compared by odd sketches, whose distance
-never exceeds the Hamming distance, and what passes is verified on the whole sets. First every class is verified against
-the best connected member of its signature group; then all remaining pairs that pass and lie in different components are.
-So no link is lost, and a group of n near copies costs about n verifications instead of all pairs.
+never exceeds the Hamming distance: by short ones within the group, then pair by pair by ones that grow with the largest
+distance of a link, and what passes is verified on the whole sets. First every class is verified against the best connected
+member of its signature group; then all remaining pairs that pass and lie in different components are. So no link is lost,
+and a group of n near copies costs about n verifications instead of all pairs.
 """
 
 from __future__ import annotations
@@ -141,12 +142,26 @@ class Bands:
         return np.concatenate(out)
 
 
-def odd_sketch(features: np.ndarray) -> bytes:
-    bits = 64 * SKETCH_WORDS
+def odd_sketch(features: np.ndarray, bits: int = 64 * SKETCH_WORDS) -> bytes:
     odd = np.bincount((mixed(features, 8) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def long_sketch(features: np.ndarray, bands: Bands) -> bytes:
+    """An odd sketch of a power of two of bits, four times the largest distance of a link or more.
+
+    With fewer bits than that, most pairs look close enough: the distance of two sketches stays below half their bits.
+    """
+    least = max(4 * int(bands.distance(2 * len(features))), 64)
+    return odd_sketch(features, 1 << (least - 1).bit_length())
+
+
+def sketch_distance(x: bytes, y: bytes) -> int:
+    """Of sketches of different lengths the longer one is folded: a place there is the place here, modulo the bits."""
+    a, b = sorted((np.frombuffer(s, "<u8") for s in (x, y)), key=len)
+    return int(np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)))).sum())
+
+
 def set_id(features: np.ndarray) -> int:
     total = mixed(features, 9).sum(dtype=np.uint64)
     return int(mixed(np.array([total], np.uint64) + np.uint64(len(features)), 10).view(np.int64)[0])
@@ -158,7 +173,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def sign(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Per document: doc_id, n, sid (hash of its set), sketch and signatures; these two once per set and batch."""
+    """Per document: doc_id, n, sid (hash of its set), short and long sketch, signatures; these once per set and batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bands = Bands(num, den)
@@ -169,16 +184,16 @@ def sign(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
                 for features in shingle_sets(texts[part], width):
                     sid = set_id(features)
                     if sid in seen or not len(features):
-                        rows.append((len(features), sid, None, None))
+                        rows.append((len(features), sid, None, None, None))
                     else:
                         seen.add(sid)
                         signed = bands.signatures(features).view(np.int64)
-                        rows.append((len(features), sid, odd_sketch(features), signed))
-                out = pd.DataFrame(rows, columns=["n", "sid", "sketch", "sigs"])
+                        rows.append((len(features), sid, odd_sketch(features), long_sketch(features, bands), signed))
+                out = pd.DataFrame(rows, columns=["n", "sid", "sketch", "long_sketch", "sigs"])
                 out.insert(0, "doc_id", keys[part])
                 yield out
 
-    rows = _texts(docs).mapInPandas(run, "doc_id string, n long, sid long, sketch binary, sigs array<long>")
+    rows = _texts(docs).mapInPandas(run, "doc_id string, n long, sid long, sketch binary, long_sketch binary, sigs array<long>")
     return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -311,6 +326,21 @@ def _crossing(sids, sizes, sketches, labels, bands) -> list[np.ndarray]:
     return out
 
 
+def plausible(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose long sketches allow a link; only these need their whole sets."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bands = Bands(num, den)
+        for batch in batches:
+            most = bands.distance((batch["m"] + batch["n"]).to_numpy())
+            apart = [sketch_distance(x, y) for x, y in zip(batch["x"], batch["y"], strict=True)]
+            yield batch.loc[np.array(apart, np.int64) <= most, ["a", "b"]]
+
+    left = classes.select(F.col("sid").alias("a"), F.col("n").alias("m"), F.col("long_sketch").alias("x"))
+    right = classes.select(F.col("sid").alias("b"), "n", F.col("long_sketch").alias("y"))
+    return pairs.join(left, "a").join(right, "b").mapInPandas(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose whole sets reach the similarity. Both joins can be split where one set is in many pairs."""
 
@@ -341,6 +371,17 @@ def feature_sets(docs: DataFrame, width: int) -> DataFrame:
     return _texts(docs).select("text").mapInPandas(run, "sid long, features binary")
 
 
+def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The links among candidate pairs. Long sketches decide most; only texts of what is left are read and compared whole."""
+    likely = settle(plausible(pairs, classes, num, den), "pairs")
+    sids = likely.select(F.col("a").alias("sid")).unionByName(likely.select(F.col("b").alias("sid"))).distinct()
+    wanted = classes.join(sids, "sid").select(F.col("rep").cast("string").alias("rep")).distinct()
+    texts = _texts(docs)
+    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["rep"])).drop("rep")
+    sets = feature_sets(texts, width).join(sids, "sid", "left_semi").dropDuplicates(["sid"])
+    return settle(verified(likely, settle(sets, "sets"), num, den), "links")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """Components of documents whose shingle sets have ``den * intersection >= num * union``.
 
@@ -349,23 +390,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     Rows with a null doc_id are compared like others; a component without any doc_id has a null component_id.
     """
     signed = settle(sign(docs, width, num, den), "signed")
-    classes = signed.where("n > 0").groupBy("sid").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch", ignorenulls=True).alias("sketch")
-    )
+    once = [F.first(c, ignorenulls=True).alias(c) for c in ("n", "sketch", "long_sketch")]
+    classes = signed.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), *once)
     groups = settle(shared(signed), "shared")
-    own = classes.join(groups.select("sid").distinct(), "sid")
-    own = settle(own, "classes")
-    wanted = own.select(F.col("rep").cast("string").alias("rep")).distinct()
-    texts = _texts(docs)
-    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["rep"])).drop("rep")
-    sets = settle(feature_sets(texts, width).dropDuplicates(["sid"]), "sets")
+    own = settle(classes.join(groups.select("sid").distinct(), "sid"), "classes")
     rows = dealt(groups).join(own.select("sid", "n", "sketch"), "sid")
-    stars = candidates(rows.withColumn("label", F.col("sid")), num, den, rest=False)
-    links = settle(verified(stars, sets, num, den), "links")
+    links = linked(candidates(rows.withColumn("label", F.col("sid")), num, den, rest=False), own, docs, width, num, den)
     labels = components(links)
     labelled = rows.join(labels.withColumnRenamed("id", "sid"), "sid", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "sid"))
-    more = settle(verified(candidates(labelled, num, den, rest=True), sets, num, den), "links")
+    more = linked(candidates(labelled, num, den, rest=True), own, docs, width, num, den)
     labels = components(links.unionByName(more)) if more.limit(1).count() else labels
     merged = labels.join(own.select(F.col("sid").alias("id"), "rep"), "id")
     lowest = merged.groupBy("label").agg(F.min("rep").alias("component_id"))

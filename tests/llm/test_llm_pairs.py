@@ -94,6 +94,23 @@ def test_signatures_are_shared_above_the_threshold():
         assert set(bands.signatures(base).tolist()) & set(bands.signatures(other).tolist())
 
 
+def test_long_sketches_keep_links_and_part_other_sets():
+    rng = np.random.default_rng(11)
+    for num, width in ((90, 3), (80, 5)):
+        bands = ngram_join.Bands(num, 100)
+        for n in (1, 7, 60, 500, 601, 3000, 20_000):
+            base = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            for grown in (0, n // 20):
+                k = int(bands.distance(2 * n + grown))
+                linked, apart = base.copy(), base.copy()
+                linked[: (k - grown) // 2] = rng.integers(0, 1 << 63, (k - grown) // 2).astype(np.uint64)
+                apart[: n // 2] = rng.integers(0, 1 << 63, n // 2).astype(np.uint64)
+                more = rng.integers(0, 1 << 63, grown).astype(np.uint64)
+                x, y, z = (ngram_join.long_sketch(np.unique(np.concatenate([s, m])), bands) for s, m in ((base, more[:0]), (linked, more), (apart, more)))
+                assert ngram_join.sketch_distance(x, y) <= k and ngram_join.sketch_distance(y, x) <= k
+                assert n < 500 or ngram_join.sketch_distance(x, z) > k
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)]
