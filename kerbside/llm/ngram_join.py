@@ -29,6 +29,8 @@ from kerbside.llm.tokens import slices
 
 SKETCH_WORDS = 4
 BLOCK = 512
+#: Documents to read again up to which their ids are sent to all tasks (about 64 bytes each); beyond it texts are shuffled.
+SENT_IDS = 1_000_000
 #: Sets of one signature that one task compares; larger groups are dealt out by pairs of blocks of this size.
 GROUP = 1024
 
@@ -375,9 +377,11 @@ def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, nu
     """The links among candidate pairs. Long sketches decide most; only texts of what is left are read and compared whole."""
     likely = settle(plausible(pairs, classes, num, den), "pairs")
     sids = likely.select(F.col("a").alias("sid")).unionByName(likely.select(F.col("b").alias("sid"))).distinct()
-    wanted = classes.join(sids, "sid").select(F.col("rep").cast("string").alias("rep")).distinct()
+    wanted = settle(classes.join(sids, "sid").select(F.col("rep").cast("string").alias("rep")).distinct(), "wanted")
+    few = wanted.limit(SENT_IDS + 1).count() <= SENT_IDS
     texts = _texts(docs)
-    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["rep"])).drop("rep")
+    ids = F.broadcast(wanted) if few else wanted
+    texts = texts.join(ids, texts["doc_id"].eqNullSafe(ids["rep"])).drop("rep")
     sets = feature_sets(texts, width).join(sids, "sid", "left_semi").dropDuplicates(["sid"])
     return settle(verified(likely, settle(sets, "sets"), num, den), "links")
 

@@ -63,6 +63,7 @@ def test_join_on_near_copies(spark):
 
 def test_join_with_dealt_groups(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "GROUP", 8)
+    monkeypatch.setattr(ngram_join, "SENT_IDS", 3)
     docs = near_copies(random.Random(10), 200)
     rows = ngram_join.near_duplicates(frame(spark, docs), 3, 90, 100).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(docs, 3, 90, 100)
