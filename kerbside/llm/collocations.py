@@ -27,8 +27,8 @@ from kerbside.llm.tokens import slices
 NO_LANGUAGE = "und"
 #: The longest phrases, and the most words that are numbered together: three numbers fit in 63 bits.
 MAX_WORDS, MAX_NUMBERS = 3, 1 << 21
-#: Words that a task counts together.
-STRETCH = 1 << 20
+#: Words that a task counts together, and characters that it splits into words at once.
+STRETCH, SLICE = 1 << 20, 1_000_000
 #: Bytes of text that fall to a part.
 PART_BYTES = 8 << 20
 
@@ -44,7 +44,7 @@ _POWERS: dict[int, np.ndarray] = {}
 
 def _powers(base: int, n: int) -> np.ndarray:
     if base not in _POWERS or len(_POWERS[base]) < n:
-        factors = np.full(max(n, 1 << 20), base, np.uint64)
+        factors = np.full(n + (n >> 3), base, np.uint64)
         factors[0] = 1
         _POWERS[base] = np.cumprod(factors, dtype=np.uint64)
     return _POWERS[base][:n]
@@ -112,7 +112,7 @@ def word_streams(docs: DataFrame, parts: int, stretch: int = STRETCH) -> DataFra
 
         for batch in batches:
             texts, langs = batch["text"].tolist(), batch["lang"].tolist()
-            for part in slices(texts, 2_000_000):
+            for part in slices(texts, SLICE):
                 words, own = Words(texts[part], langs[part]), langs[part]
                 if not len(words.ids):
                     continue
@@ -265,7 +265,7 @@ def counted(
 STREAM = "part int, size int, n int, ids binary, steps binary, counts binary"
 COLUMNS, WORD_COLUMNS = (["part", "size", "n", "ids", "steps", "counts"], ["part", "lang", "n", "ids", "words", "counts"])
 #: Bytes of streams that a task hands on at once.
-FRAME = 8 << 20
+FRAME = 4 << 20
 
 
 def _frames(streams: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
@@ -294,7 +294,7 @@ def gram_streams(
 
         for batch in batches:
             texts, langs = batch["text"].tolist(), batch["lang"].tolist()
-            for part in slices(texts, 2_000_000):
+            for part in slices(texts, SLICE):
                 words = Words(texts[part], langs[part])
                 if not len(words.ids):
                     continue
@@ -440,8 +440,9 @@ def collocations(
     phrase = F.concat_ws(" ", *[f"word{j + 1}" for j in range(max_words)])
     rows = rows.select("lang", phrase.alias("phrase"), F.col("f").alias("a"), "cut.l", "cut.r", "cut.score")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    rows = rows.withColumn("rank", F.row_number().over(order).cast("long"))
+    rows = rows.withColumn("rank", F.row_number().over(order))
     if top is not None:
-        rows = rows.where(F.col("rank") <= top)
+        rows = rows.where(F.col("rank") <= top)  # on the rank itself, so that map tasks send no more either
+    rows = rows.withColumn("rank", F.col("rank").cast("long"))
     totals = words.where("id IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
     return rows.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
