@@ -14,7 +14,8 @@ VALUES = ("route", "bus")
 def monitor_wide(long: DataFrame, keys: tuple[str, ...] = ("record_id", "program_description")) -> DataFrame:
     """One row per student with ``<day>_<shift>_route`` and ``<day>_<shift>_bus`` columns.
 
-    The list of columns is fixed, so no pass over the data is needed to find it.
+    The list of columns is fixed, so no pass over the data is needed to find it. The largest text of a slot is found by a
+    sorting aggregate; rows are dealt by their keys first, so that a large file's one task does not sort all of its rows.
     """
     slots = {
         f"{day}_{shift}_{value}".lower(): F.max(F.when((F.col("day") == day) & (F.col("shift") == shift), F.col(value)))
@@ -22,7 +23,7 @@ def monitor_wide(long: DataFrame, keys: tuple[str, ...] = ("record_id", "program
         for shift in SHIFTS
         for value in VALUES
     }
-    return long.groupBy(*keys).agg(*[c.alias(n) for n, c in slots.items()])
+    return long.repartition(*keys).groupBy(*keys).agg(*[c.alias(n) for n, c in slots.items()])
 
 
 def monitor_long(wide: DataFrame, keys: tuple[str, ...] = ("record_id", "program_description")) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kerbside.catalog.queries import Inputs
 from kerbside.operators import visits
 from kerbside.operators.buildings import anchored_buildings
+from kerbside.operators.reshape import monitor_long, monitor_wide
 from kerbside.operators.stops import Snapshot, snapshot_stops, stop_changes, store_stops
 from kerbside.operators.trips import clean_trips, name_routes, scan_trips
 from kerbside.plans.on_time import OnTimeTables, otp_report
@@ -210,3 +211,13 @@ def test_missing_and_repeated_ids_in_stops(spark, shuffled, tmp_path):
     assert sorted(tuple(r) for r in stop_changes(pending, plan).fillna("-", ["visible_route_id"]).collect()) == [
         ("-", "p", "q", 1, 1, 2), ("1", "p", "q", 1, 1, 2),
     ]
+
+
+def test_monitor_rows_are_dealt_before_they_are_sorted(spark, shuffled):
+    long = spark.createDataFrame(
+        [(i, "P", "M", "Pickup", f"R{i}", None) for i in range(3)],
+        "record_id long, program_description string, day string, shift string, route string, bus string",
+    )
+    for wide in (monitor_wide(long), monitor_long(monitor_wide(long))):
+        plan = planned(wide)
+        assert hash_shuffles(plan) == 1 and "SortAggregate" not in plan.split("Exchange hashpartitioning", 1)[1]
