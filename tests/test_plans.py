@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kerbside.catalog.queries import Inputs
 from kerbside.operators import visits
 from kerbside.operators.buildings import anchored_buildings
+from kerbside.operators.joins import distinct_by
 from kerbside.operators.reshape import monitor_long, monitor_wide
 from kerbside.operators.stops import Snapshot, snapshot_stops, stop_changes, store_stops
 from kerbside.operators.trips import clean_trips, name_routes, scan_trips
@@ -221,3 +222,21 @@ def test_monitor_rows_are_dealt_before_they_are_sorted(spark, shuffled):
     for wide in (monitor_wide(long), monitor_long(monitor_wide(long))):
         plan = planned(wide)
         assert hash_shuffles(plan) == 1 and "SortAggregate" not in plan.split("Exchange hashpartitioning", 1)[1]
+
+
+def test_compared_routes_are_moved_by_id_once(snapshots, shuffled):
+    """The rows of a side are wide, so neither their pairs nor the differences are dealt again."""
+    plan = planned(route_diff(*snapshots))
+    assert hash_shuffles(plan) <= 39
+    # The last three joins, by id, follow each other without a shuffle between them.
+    top = [line for line in plan.splitlines() if "SortMergeJoin" in line or "Exchange" in line][:3]
+    assert all("SortMergeJoin [id_key" in line for line in top)
+
+
+def test_stops_are_counted_in_few_shuffles(snapshots, shuffled):
+    assert hash_shuffles(planned(stop_changes(*snapshots))) <= 17
+
+
+def test_distinct_rows_by_keys(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (None, "a"), (None, "a"), (None, None), (1, "b")], "k long, v string")
+    assert rows(distinct_by(df, ["k"])) == rows(df.distinct())
