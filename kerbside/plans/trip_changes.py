@@ -136,16 +136,45 @@ def route_anchors(enriched: DataFrame, points: DataFrame, fix_anchor: bool = Fal
     )
 
 
+ID_KEY = ["id_key", "id_none"]
+
+
+def _id_keys(column: str) -> list[Column]:
+    """A visible route id as two never-null columns that are equal for equal ids and for missing ones."""
+    return [F.coalesce(column, F.lit("")).alias("id_key"), F.col(column).isNull().alias("id_none")]
+
+
+def _route_ids(pending: Snapshot, plan: Snapshot, fixes: Fixes) -> DataFrame:
+    """Every visible route id of either snapshot once, by its key, with the flag ``in_old_rule``.
+
+    The flag is found here, on narrow rows, so that the compared rows need not be dealt by the number of their route.
+    """
+    ids = [PLAN_ROUTE.select_from(s.routes).select("visible_route_id") for s in (pending, plan)]
+    numbered = ids[0].unionByName(ids[1]).select(
+        *_id_keys("visible_route_id"), route_number(F.col("visible_route_id")).cast("bigint").alias("number")
+    )
+    old_rule = _routes_by_old_rule(pending, plan, fixes.old_rule_key)
+    members = old_rule.select(numeric(F.col("route")).try_cast("bigint").alias("route"))
+    flagged = with_membership(numbered, "number", members, "route", "in_old_rule")
+    return flagged.groupBy(*ID_KEY).agg(F.bool_or("in_old_rule").alias("in_old_rule"))
+
+
 def _paired_routes(pending: Snapshot, plan: Snapshot, fixes: Fixes) -> DataFrame:
-    """Full join of the enriched routes of both snapshots, with every column marked by its side."""
-    sides = []
+    """Full join of the enriched routes of both snapshots, with every column marked by its side, their stop changes and
+    the flag ``in_old_rule``.
+
+    Everything is joined to the ids of both snapshots, which a full join's rows would be dealt by once more: the wide rows
+    of a side are moved by id only once.
+    """
+    paired = _route_ids(pending, plan, fixes)
+    changes = stop_changes(pending, plan)
+    changes = changes.select(*_id_keys("visible_route_id"), *changes.columns[1:])
+    paired = join_on(paired, changes, plain=ID_KEY)
     for snapshot, side in ((pending, "pend"), (plan, "plan")):
         anchored = route_anchors(enrich_routes(snapshot), snapshot.points, fixes.anchor)
-        sides.append(anchored.select(*[F.col(c).alias(f"{c}_{side}") for c in anchored.columns]))
-    same = F.col("visible_route_id_pend").eqNullSafe(F.col("visible_route_id_plan"))
-    paired = sides[0].join(sides[1], same, "full")
-    key = F.coalesce("visible_route_id_pend", "visible_route_id_plan").alias("visible_route_id")
-    return paired.select(key, "*")
+        marked = anchored.select(*_id_keys("visible_route_id"), *[F.col(c).alias(f"{c}_{side}") for c in anchored.columns])
+        paired = join_on(paired, marked, plain=ID_KEY)
+    return paired.withColumn("visible_route_id", F.when(~F.col("id_none"), F.col("id_key"))).drop(*ID_KEY)
 
 
 class _Comparison:
@@ -189,8 +218,7 @@ class _Comparison:
 
 def _compare_routes(pending: Snapshot, plan: Snapshot, thresholds: Thresholds, fixes: Fixes) -> DataFrame:
     """``route_diff`` with the extra flag ``noted``: is there a text to show."""
-    paired = _paired_routes(pending, plan, fixes)
-    routes = join_on(paired, stop_changes(pending, plan), null_safe=["visible_route_id"])
+    routes = _paired_routes(pending, plan, fixes)
     seen = _Comparison(lambda name: number_text(routes, name), fixes.any_change)
 
     def old(name: str) -> Column:
@@ -230,17 +258,12 @@ def _compare_routes(pending: Snapshot, plan: Snapshot, thresholds: Thresholds, f
     seen.put_number("route_distance", "route_distance", thresholds.distance)
     seen.put_number("route_time", "route_time_s", thresholds.minutes * 60)
 
-    diffs = routes.select(
+    return routes.select(
         "visible_route_id",
         *[c.alias(n) for n, c in seen.columns.items()],
         seen.any_change.alias("any_change"),
         F.coalesce(reduce(or_, seen.noted), F.lit(False)).alias("noted"),
-        route_number(F.col("visible_route_id")).cast("bigint").alias("__number"),
-    )
-    old_rule = _routes_by_old_rule(pending, plan, fixes.old_rule_key)
-    number = numeric(F.col("route")).try_cast("bigint")
-    return with_membership(diffs, "__number", old_rule.select(number.alias("route")), "route", "in_old_rule").drop(
-        "__number"
+        "in_old_rule",
     )
 
 
