@@ -260,3 +260,24 @@ def test_passages_on_odd_rows(odd_docs, no_docs):
     rows = passages.shared_passages(odd_docs).collect()
     assert {(r.doc_id, r.other_doc_id) for r in rows} & {(5, 5), (6, 5), (5, 6)}
     assert passages.shared_passages(no_docs).count() == 0
+
+
+def test_all_occurrences_of_frequent_seeds_are_matched(spark, monkeypatch):
+    """Also of seeds with more occurrences than one task matches, in several blocks."""
+    monkeypatch.setattr(passages, "BLOCK", 50)
+    rows = [(s, t, at) for s, n in ((1, 130), (2, 64), (3, 65), (4, 1)) for t in range(n) for at in ((0, 7) if t % 9 == 0 else (3,))]
+    got = passages.matches(spark.createDataFrame(rows + rows[:20], "seed long, tid long, at int")).collect()
+    want = sorted((t, x, u, y) for s, t, x in rows for r, u, y in rows if s == r and t < u)
+    assert sorted(tuple(r) for r in got) == want
+
+
+def test_passages_of_frequent_seeds_alone(spark):
+    """A passage that two texts share without their first, while every seed is in more than a group of texts."""
+    words = [f"w{i}" for i in range(60)]
+    docs = {0: " ".join(words[:30])}
+    docs |= {i: " ".join([f"a{i}", *words[max(0, i % 15 - 1) : i % 15 + 14], f"b{i}"]) for i in range(1, 500)}
+    docs |= {i: " ".join([f"a{i}", *words[10 + i % 30 : 28 + i % 30], f"b{i}"]) for i in range(900, 1400)}
+    docs |= {5000: " ".join(["x", *words, "y"]), 5001: " ".join(["p", "q", *words, "r"])}
+    rows = passages.shared_passages(frame(spark, docs)).collect()
+    pairs = {frozenset((r.doc_id, r.other_doc_id)): r.n_common for r in rows}
+    assert pairs[frozenset((5000, 5001))] == 60
