@@ -1,21 +1,22 @@
 """A hierarchical Pitman-Yor language model, trained by Gibbs sampling and scored on Spark.
 
-The context of a token is the class of the word before it (a hash of its last two bytes, or the start of the text). Every
-class has a restaurant whose customers are the tokens seen in that context; its tables are customers of the one parent
-restaurant over all words, and the parent's tables draw from a uniform base over the known words and one unknown. A sweep
-reseats all customers of a word in a restaurant by the Chinese restaurant rule, given the other words' tables; then the
-parent's. Predictive probabilities are averaged over the sweeps after burn-in.
-
-All seating of a word lies in one row (its restaurants are at most ``CONTEXTS``), so that sweeps need no shuffle and share
-only the table totals of the restaurants. Tokens meet the model in buckets of words; words too frequent for a bucket (at
-most as many as there are buckets) are scored where the text is read.
+The context of a token is the word before it, or the start of the text. Every context has a restaurant whose customers are
+the tokens seen there; its tables are customers of the one parent restaurant over all words, and the parent's tables draw
+from a uniform base over the known words and one unknown. A sweep reseats all customers of a word in a restaurant by the
+Chinese restaurant rule, given the other words' tables; then the parent's. Predictive probabilities are averaged over the
+sweeps after burn-in.
+
+Restaurants lie in buckets by context, words in homes; the customers of very frequent contexts are spread over the buckets,
+and their totals are shared with all tasks. In a sweep, buckets reseat the pairs seen at least twice (a pair seen once always
+has one table) and tell the words' homes their tables; the homes reseat the parent's customers and answer with the words'
+totals. To be scored, tokens are dealt to the buckets of their contexts.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -27,14 +28,25 @@ from kerbside.llm.ngram_join import word_hashes
 from kerbside.llm.token_store import mixed
 from kerbside.llm.tokens import slices
 
+#: The most frequent contexts, at most, whose customers are spread over the buckets.
 CONTEXTS = 64
 START = 0
 END = 0x454E44
 SWEEPS, BURN_IN = 3, 1
 STRENGTH, PARENT_STRENGTH = 5.0, 5.0
-#: Tokens that a task gathers before it hands them on, and tokens of a bucket of words.
+#: Tokens that a task gathers before it hands them on, and bytes of text of a bucket.
 GATHERED = 3_000_000
-BUCKET_TOKENS = 4_000_000
+BUCKET_BYTES = 12_000_000
+#: One document of so many tells which contexts are spread; this moves rows and leaves nothing out.
+LOOKED_AT = 64
+
+ROW = "key long, kind int, source long, n long, m long, payload binary"
+#: Kinds of rows for a bucket: seating, words of its pairs, a home's answer, words of a home, tokens.
+SEATING, NAMES, ANSWER, VOCABULARY, TOKENS = range(5)
+#: For a home: words; places of the words of a bucket, all and those of reseated pairs; the same told by hash; their tables.
+WORDS, REQUEST, ASKED, TOLD_WORDS, TOLD_NAMES, TOLD_TABLES = range(5, 11)
+#: Of what is added up for the driver: pairs and words seen once and twice, words and tokens, tables, spread contexts.
+ONCE_PAIRS, ONCE_WORDS, SIZES, PARENT, SPREAD = range(11, 16)
 
 
 def held_out(doc_id: str | None) -> bool:
@@ -43,8 +55,8 @@ def held_out(doc_id: str | None) -> bool:
 
 
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all texts the token hashes (words, then an end), their contexts, and the text that each belongs to."""
-    hashes, at, tails = word_hashes(texts)
+    """Of all texts the token hashes (words, then an end), those of the words before them, and the text of each."""
+    hashes, at, _ = word_hashes(texts)
     counts = np.diff(at)
     text = np.repeat(np.arange(len(texts)), counts + 1)
     ends = np.cumsum(counts + 1) - 1
@@ -52,58 +64,261 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner = np.ones(len(text), bool)
     inner[ends] = False
     word[inner] = hashes
-    context = np.full(len(text), START, np.int64)
-    classes = 1 + (mixed(tails, 11) % np.uint64(CONTEXTS - 1)).astype(np.int64)
-    context[np.flatnonzero(inner) + 1] = classes
+    context = np.full(len(text), START, np.uint64)
+    context[np.flatnonzero(inner) + 1] = hashes
     return word, context, text
 
 
-def _grouped(word: np.ndarray, context: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((context, word))
-    word, context, count = word[order], context[order], count[order]
-    new = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (context[1:] != context[:-1])]))
-    return word[new], context[new], np.add.reduceat(count, new)
+def _dense(dtype: np.dtype) -> bool:
+    """Whether values are hashes or scores, which nothing makes smaller."""
+    return dtype.kind == "f" or dtype == np.uint64
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays in a row, integers compressed byte plane by byte plane."""
+    out = []
+    for a in arrays:
+        data = a.tobytes()
+        if not _dense(a.dtype):
+            data = zlib.compress(np.frombuffer(data, "u1").reshape(len(a), -1).T.tobytes() if len(a) else b"", 1)
+        out += [np.int64(len(data)).tobytes(), data]
+    return b"".join(out)
+
+
+def _unpack(data: bytes, *dtypes: str) -> list[np.ndarray]:
+    out, at = [], 0
+    for dtype in map(np.dtype, dtypes):
+        n = int(np.frombuffer(data, "<i8", 1, at)[0])
+        values = data[at + 8 : at + 8 + n]
+        if not _dense(dtype):
+            values = np.frombuffer(zlib.decompress(values), "u1").reshape(dtype.itemsize, -1).T.tobytes()
+        out.append(np.frombuffer(values, dtype))
+        at += 8 + n
+    return out
+
+
+def _pairs(context: np.ndarray, word: np.ndarray) -> list[np.ndarray]:
+    """Pairs to be packed: contexts and how many follow each, words and the place of each."""
+    words, at = np.unique(word, return_inverse=True)
+    return [*_runs(context), words, at.astype("<u4")]
+
+
+#: What ``_pairs`` gives.
+PAIRS = ("<u8", "<i8", "<u8", "<u4")
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    """Rows (key, kind, source, n, m, payload)."""
+    return pd.DataFrame(rows, columns=["key", "kind", "source", "n", "m", "payload"])
+
+
+def _dealt(rows: DataFrame, partitions: int) -> DataFrame:
+    """Rows by key, sorted. A partition holds one bucket or home, and its share of the keys below 0."""
+    rows = rows.repartitionById(partitions, F.pmod("key", F.lit(partitions)).cast("int"))
+    return rows.sortWithinPartitions("key", "kind", "source")
+
+
+def _by_key(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, list]]:
+    key, rows = None, []
+    for batch in batches:
+        for r in batch.itertuples(index=False):
+            if rows and r.key != key:
+                yield key, rows
+                rows = []
+            key = r.key
+            rows.append(r)
+    if rows:
+        yield key, rows
+
+
+def _joined(parts: list[list[np.ndarray]], *dtypes: str) -> list[np.ndarray]:
+    return [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, d) for k, d in enumerate(dtypes)]
+
+
+def _find(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of ``wanted`` in sorted ``values``, and which of them are there."""
+    if not len(values):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
+    return at, values[at] == wanted
+
+
+def _order(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order with equal pairs side by side, contexts together, and where new pairs begin in it."""
+    order = np.argsort((context & np.uint64(0xFFFFFFFF00000000)) | (word >> np.uint64(32)))
+    context, word = context[order], word[order]
+    return order, np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (context[1:] != context[:-1])]))
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of runs of equal ones and their lengths."""
+    begin = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    return values[begin], np.diff(np.append(begin, len(values)))
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How contexts and words are dealt."""
+
+    buckets: int
+    spread: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+
+    def bucket(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        both = np.where(_find(self.spread, context)[1], context ^ mixed(word, 14), context)
+        return (mixed(both, 12) % np.uint64(self.buckets)).astype(np.int64)
+
+    def home(self, word: np.ndarray) -> np.ndarray:
+        return (mixed(word, 13) % np.uint64(self.buckets)).astype(np.int64)
+
+    def split(self, bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
+        """The stretches of a sorted ``bucket``."""
+        edges = np.searchsorted(bucket, np.arange(self.buckets + 1))
+        return ((b, slice(lo, hi)) for b, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if hi > lo)
+
+
+def layout(docs: DataFrame) -> Layout:
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(12, -(-size // BUCKET_BYTES))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = batch["text"].tolist()
+            for part in slices(texts):
+                contexts, n = np.unique(tokens(texts[part])[1], return_counts=True)
+                yield pd.DataFrame({"u": contexts.view(np.int64), "n": n})
+
+    some = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(LOOKED_AT)) == 0).mapInPandas(run, "u long, n long")
+    some = some.groupBy("u").agg(F.sum("n").alias("n"))
+    top = some.orderBy(F.desc("n"), "u").limit(CONTEXTS).collect()
+    total = some.agg(F.sum("n")).first()[0] or 0
+    spread = np.array([r["u"] for r in top if r["n"] * buckets > total], np.int64).view(np.uint64)
+    return Layout(buckets, np.sort(spread))
 
 
-def count_tokens(docs: DataFrame) -> DataFrame:
-    """Training counts, one row per word: w, zs (contexts), cs (counts). Tasks add up what they can before the shuffle."""
+def _gathered_pairs(docs: DataFrame, at: Layout) -> DataFrame:
+    """The pairs of all documents with their training counts. Tasks add up what they can before the shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
         size = 0
 
-        def merged() -> tuple:
-            return _grouped(*(np.concatenate(x) for x in zip(*held, strict=True)))
-
-        def frame(w, z, c) -> pd.DataFrame:
-            return pd.DataFrame({"w": w.view(np.int64), "z": z.astype(np.int16), "c": c})
+        def merged(context, word, count) -> tuple:
+            order, new = _order(context, word)
+            return context[order][new], word[order][new], np.add.reduceat(count[order], new)
+
+        def rows() -> pd.DataFrame:
+            joined = [np.concatenate(x) for x in zip(*held, strict=True)]
+            held.clear()
+            u, w, c = merged(*joined)
+            del joined
+            bucket = at.bucket(u, w)
+            order = np.argsort(bucket, kind="stable")
+            u, w, c, bucket = u[order], w[order], c[order], bucket[order]
+            return _frame(
+                [(b, 0, 0, 0, 0, _pack(*_pairs(u[s], w[s]), c[s].astype("<u4"))) for b, s in at.split(bucket)]
+            )
 
         for batch in batches:
-            own = batch[[not held_out(k) for k in batch["doc_id"]]]
-            texts = own["text"].tolist()
+            texts = batch["text"].tolist()
+            kept = np.array([not held_out(k) for k in batch["doc_id"]], np.int32)
             for part in slices(texts):
-                word, context, _ = tokens(texts[part])
-                held.append(_grouped(word, context, np.ones(len(word), np.int64)))
+                word, context, text = tokens(texts[part])
+                held.append(merged(context, word, kept[part][text]))
                 size += len(held[-1][0])
                 if size > GATHERED:
-                    held = [merged()]
-                    size = len(held[0][0])
-                    if size > GATHERED // 2:
-                        yield frame(*held[0])
-                        held, size = [], 0
+                    yield rows()
+                    held, size = [], 0
         if held:
-            yield frame(*merged())
+            yield rows()
+
+    return docs.mapInPandas(run, ROW)
+
 
-    rows = docs.mapInPandas(run, "w long, z short, c long").repartition("w")
-    rows = rows.groupBy("w", "z").agg(F.sum("c").alias("c"))
-    pairs = F.sort_array(F.collect_list(F.struct("z", "c")))  # at most CONTEXTS entries
-    return rows.groupBy("w").agg(pairs.alias("p")).select("w", F.col("p.z").alias("zs"), F.col("p.c").alias("cs"))
+class Seating:
+    """A bucket's restaurants: contexts with a pair seen twice (and spread ones), and those pairs."""
+
+    NAMES = ("u", "n", "once", "pairs", "homes", "wi", "c", "t", "seen", "tables")
+    TYPES = ("<u8", "<i8", "<i8", "<i8", "<i8", "<u4", "<u4", "<u4", "<u4", "<i8")
+
+    def __init__(self, *arrays: np.ndarray):
+        #: contexts, customers, pairs seen once, other pairs; words of each home; of the pairs the word's place, customers,
+        #: tables now and added up over samples; tables of the contexts, sample by sample
+        for name, values in zip(self.NAMES, arrays, strict=True):
+            setattr(self, name, values)
+        self.ui = np.repeat(np.arange(len(self.u)), self.pairs)
+
+    @classmethod
+    def read(cls, payload: bytes) -> Seating:
+        return cls(*_unpack(payload, "<i8", *cls.TYPES)[1:])
+
+    def now(self) -> np.ndarray:
+        """Tables of the contexts."""
+        return self.once + np.bincount(self.ui, self.t, len(self.u)).astype(np.int64)
+
+    def rows(self, bucket: int, at: Layout) -> list[tuple]:
+        """The row of the bucket, the tables of its words for their homes, and the totals of spread contexts."""
+        data = (getattr(self, k).astype(d) for k, d in zip(self.NAMES, self.TYPES, strict=True))
+        out = [(bucket, SEATING, 0, 0, 0, _pack(np.array([SEATING, bucket]), *data))]
+        tables = np.bincount(self.wi, self.t, int(self.homes.sum())).astype("<u4")
+        told = np.split(tables, np.cumsum(self.homes)[:-1])
+        out += [(h, TOLD_TABLES, bucket, 0, 0, _pack(t)) for h, t in enumerate(told) if len(t)]
+        now = self.now()
+        out += [
+            (int(self.u[i].view(np.int64)), SPREAD, 0, int(self.n[i]), int(now[i]), b"")
+            for i in np.flatnonzero(_find(at.spread, self.u)[1])
+        ]
+        return out
+
+
+def count_tokens(docs: DataFrame, at: Layout) -> DataFrame:
+    """The first seating, one table a pair, and what the homes are told of words."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for bucket, rows in _by_key(batches):
+            parts = [_unpack(r.payload, *PAIRS, "<u4") for r in rows]
+            u = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
+            w, c = np.concatenate([p[2][p[3]] for p in parts]), np.concatenate([p[4] for p in parts])
+            order, new = _order(u, w)
+            u, w, c = u[order][new], w[order][new], np.add.reduceat(c[order].astype(np.int64), new)
+            words, place = np.unique(w, return_inverse=True)
+            home = at.home(words)
+            order = np.argsort(home, kind="stable")
+            told = [x[order] for x in (words, np.bincount(place, c), np.bincount(place, c == 1))]
+            out = [
+                (h, TOLD_WORDS, bucket, 0, 0, _pack(told[0][s], *(x[s].astype("<i8") for x in told[1:])))
+                for h, s in at.split(home[order])
+            ]
+            out.append((0, ONCE_PAIRS, 0, int((c == 1).sum()), int((c == 2).sum()), b""))
+            contexts, place = np.unique(u, return_inverse=True)
+            again = c > 1
+            n, pairs = np.bincount(place, c), np.bincount(place, again).astype(np.int64)
+            own = (pairs > 0) | _find(at.spread, contexts)[1]
+            again = np.flatnonzero(again)
+            again = again[np.argsort(place[again], kind="stable")]
+            words, wi = np.unique(w[again], return_inverse=True)
+            home = at.home(words)
+            order = np.argsort(home, kind="stable")
+            words, home = words[order], home[order]
+            back = np.empty(len(order), np.int64)
+            back[order] = np.arange(len(order))
+            ones = np.ones(len(again), np.int64)
+            once = np.bincount(place, c == 1).astype(np.int64)
+            first = Seating(
+                contexts[own], n[own], once[own], pairs[own], np.bincount(home, minlength=at.buckets), back[wi],
+                c[again], ones, 0 * ones, np.zeros(0, np.int64),
+            )
+            out.append((bucket, NAMES, 0, 0, 0, _pack(np.array([NAMES, bucket]), words)))
+            out += [(h, TOLD_NAMES, bucket, 0, 0, _pack(words[s])) for h, s in at.split(home)]
+            yield _frame(out + first.rows(int(bucket), at))
+
+    return _dealt(_gathered_pairs(docs, at), at.buckets).mapInPandas(run, ROW)
 
 
 @dataclass(frozen=True)
 class Totals:
-    """What all words share: per context customers and tables, and the parent's."""
+    """What all tasks share: customers and tables of the spread contexts (and of all others together), and the parent's."""
 
+    layout: Layout
     customers: np.ndarray
     tables: np.ndarray
     parent_customers: int
@@ -112,17 +327,21 @@ class Totals:
     discount: float
     parent_discount: float
 
+    def base(self) -> float:
+        return (PARENT_STRENGTH + self.parent_discount * self.parent_tables) / (self.words + 1)
+
     def parent(self, customers, tables):
         """The parent's probability of words with these customers and tables there."""
-        base = (PARENT_STRENGTH + self.parent_discount * self.parent_tables) / (self.words + 1)
-        return (customers - self.parent_discount * tables + base) / (PARENT_STRENGTH + self.parent_customers)
+        return (customers - self.parent_discount * tables + self.base()) / (PARENT_STRENGTH + self.parent_customers)
 
-    def mass(self, z):
+    def mass(self, tables):
         """What a restaurant hands to the parent, times its size."""
-        return STRENGTH + self.discount * self.tables[z]
+        return STRENGTH + self.discount * tables
 
-    def predictive(self, c, t, z, parent):
-        return (c - self.discount * t + self.mass(z) * parent) / (STRENGTH + self.customers[z])
+    def shared(self, context: np.ndarray, own: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """``own`` values of contexts, with those of ``values`` (customers or tables) for spread ones."""
+        at, there = _find(self.layout.spread, context)
+        return np.where(there, values[at], own)
 
 
 def seat(customers: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -144,101 +363,114 @@ def seat(customers: np.ndarray, weight: np.ndarray, discount: float, rng: np.ran
     return tables
 
 
-class Seating:
-    """The seating of a batch of words, flat: one entry per (word, context)."""
-
-    def __init__(self, batch: pd.DataFrame):
-        self.w = batch["w"].to_numpy()
-        lengths = batch["zs"].map(len).to_numpy()
-        self.begin = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
-        self.word = np.repeat(np.arange(len(batch)), lengths)
-        self.z, self.c = (np.concatenate(batch[k].tolist()).astype(np.int64) for k in ("zs", "cs"))
-        self.t = np.concatenate(batch["ts"].tolist()).astype(np.int64)
-        self.s = batch["s"].to_numpy()
+def sweep(rows: DataFrame, totals: Totals, keep: bool, seed: int) -> DataFrame:
+    """Reseats the customers of every pair by the homes' answers; ``keep`` makes the new seating a sample."""
 
-    def by_word(self, values: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(values, self.begin)
-
-    def split(self, values: np.ndarray) -> list[np.ndarray]:
-        return np.split(values, self.begin[1:])
-
-
-def sweep(state: DataFrame, totals: Totals, samples: list[Totals], seed: int) -> DataFrame:
-    """Reseats every word's customers. With ``samples``, first records what the present seating predicts."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for bucket, rows in _by_key(batches):
+            own = Seating.read(rows[0].payload)
+            answers = [_unpack(r.payload, "<u4", "<u4") for r in rows[1:]]  # in the order of homes, as the words are
+            customers, tables = (x.astype(np.int64) for x in _joined(answers, "<u4", "<u4"))
+            mass = totals.mass(totals.shared(own.u, own.now(), totals.tables))
+            weight = mass[own.ui] * totals.parent(customers, tables)[own.wi]
+            rng = np.random.default_rng([seed, int(bucket)])
+            own.t = seat(own.c.astype(np.int64), weight, totals.discount, rng)
+            if keep:
+                own.seen = own.seen + own.t
+                own.tables = np.concatenate([own.tables, own.now()])
+            yield _frame(own.rows(int(bucket), totals.layout))
+
+    return _dealt(rows.where(F.col("kind").isin(SEATING, ANSWER)), totals.layout.buckets).mapInPandas(run, ROW)
+
+
+def tell_homes(rows: DataFrame, at: Layout, totals: Totals | None, keep: bool, seed: int) -> DataFrame:
+    """The words' homes add up the tables they are told of, reseat the parent's customers and answer.
+
+    Without ``totals`` the words are new: each takes one table of the parent. Requests name the words of every bucket.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            own = Seating(batch)
-            rng = np.random.default_rng([seed, int(own.w[0]) & 0x7FFFFFFF, len(own.w)])
-            parent = totals.parent(own.by_word(own.t), own.s)
-            batch = _recorded(batch, own, samples)
-            tables = seat(own.c, totals.mass(own.z) * parent[own.word], totals.discount, rng)
-            base = (PARENT_STRENGTH + totals.parent_discount * totals.parent_tables) / (totals.words + 1)
-            weight = np.full(len(batch), base)
-            above = seat(own.by_word(tables), weight, totals.parent_discount, rng)
-            yield batch.assign(ts=own.split(tables), s=above)
-
-    return state.mapInPandas(run, state.schema)
-
-
-def _recorded(batch: pd.DataFrame, own: Seating, samples: list[Totals]) -> pd.DataFrame:
-    for totals in samples:
-        parent = totals.parent(own.by_word(own.t), own.s)
-        more = totals.predictive(own.c, own.t, own.z, parent[own.word])
-        sums = np.concatenate(batch["pp"].tolist()) + more
-        batch = batch.assign(
-            pw=[np.append(a, b) for a, b in zip(batch["pw"], parent, strict=True)], pp=own.split(sums)
-        )
-    return batch
-
-
-def _totals(state: DataFrame, before: Totals | None = None) -> Totals:
-    pairs = state.select(F.inline(F.arrays_zip("zs", "cs", "ts")))
-    by_context = pairs.groupBy("zs").agg(
-        F.sum("cs").alias("c"), F.sum("ts").alias("t"), F.count_if(F.col("cs") == 1).alias("n1"), F.count_if(F.col("cs") == 2).alias("n2")
-    ).collect()  # at most CONTEXTS rows
-    size = F.aggregate("cs", F.lit(0).cast("long"), lambda a, x: a + x)
-    words = state.agg(
-        F.count("*"), F.sum("s"), F.count_if(size == 1), F.count_if(size == 2)
-    ).first()
-    customers, tables = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
-    for r in by_context:
-        customers[r["zs"]], tables[r["zs"]] = r["c"], r["t"]
-
-    def discount(n1: int, n2: int) -> float:
+        for home, rows in _by_key(batches):
+            home, out, asked = int(home), [], {}
+            if rows[0].kind == WORDS:
+                w, c, once, samples = _unpack(rows[0].payload, "<u8", "<i8", "<i8", "<i8")
+                asked = {r.source: _unpack(r.payload, "<u4")[0] for r in rows if r.kind == ASKED}
+            else:
+                told = {r.source: _unpack(r.payload, "<u8", "<i8", "<i8") for r in rows if r.kind == TOLD_WORDS}
+                w, place = np.unique(np.concatenate([p[0] for p in told.values()]), return_inverse=True)
+                c, once = (
+                    np.bincount(place, np.concatenate([p[k] for p in told.values()])).astype(np.int64) for k in (1, 2)
+                )
+                samples = np.zeros(0, np.int64)
+                requests = [(home, REQUEST, b, 0, 0, _pack(np.searchsorted(w, p[0]).astype("<u4"))) for b, p in told.items()]
+                for r in rows:
+                    if r.kind == TOLD_NAMES:
+                        asked[r.source] = np.searchsorted(w, _unpack(r.payload, "<u8")[0]).astype("<u4")
+                        requests.append((home, ASKED, r.source, 0, 0, _pack(asked[r.source])))
+                known = c[c > 0]
+                out = [*requests, (0, SIZES, 0, len(known), int(known.sum()), b"")]
+                out.append((0, ONCE_WORDS, 0, int((c == 1).sum()), int((c == 2).sum()), b""))
+            customers = once.copy()
+            for r in rows:
+                if r.kind == TOLD_TABLES:
+                    customers[asked[r.source]] += _unpack(r.payload, "<u4")[0]
+            tables = (customers > 0).astype(np.int64)
+            if totals:
+                rng = np.random.default_rng([seed, home, 1])
+                tables *= seat(customers, np.full(len(w), totals.base()), totals.parent_discount, rng)
+            if keep:
+                samples = np.concatenate([samples, customers, tables])
+            out.append((home, WORDS, 0, 0, 0, _pack(w, c, once, samples)))
+            out += [(b, ANSWER, home, 0, 0, _pack(customers[i].astype("<u4"), tables[i].astype("<u4"))) for b, i in asked.items()]
+            out.append((0, PARENT, 0, int(customers.sum()), int(tables.sum()), b""))
+            yield _frame(out)
+
+    kinds = [WORDS, ASKED, TOLD_WORDS, TOLD_NAMES, TOLD_TABLES]
+    return _dealt(rows.where(F.col("kind").isin(kinds)), at.buckets).mapInPandas(run, ROW)
+
+
+def _totals(rows: DataFrame, at: Layout, before: Totals | None = None) -> Totals:
+    sums = rows.where(F.col("kind") >= ONCE_PAIRS)
+    # At most CONTEXTS + 4 rows.
+    sums = {(r["kind"], r["key"]): (r["n"], r["m"]) for r in sums.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).collect()}
+    shared = np.array([sums.get((SPREAD, int(u)), (0, 0)) for u in at.spread.view(np.int64)], np.int64).reshape(-1, 2)
+    customers, tables = sums.get((PARENT, 0), (0, 0))
+
+    def discount(kind: int) -> float:
+        n1, n2 = sums.get((kind, 0), (0, 0))
         return min(0.95, max(0.05, n1 / max(1, n1 + 2 * n2)))
 
-    n1, n2 = sum(r["n1"] for r in by_context), sum(r["n2"] for r in by_context)
+    words, total = (before.words, int(before.customers.sum())) if before else sums.get((SIZES, 0), (0, 0))
     return Totals(
-        customers, tables, int(tables.sum()), int(words[1] or 0), int(words[0]),
-        before.discount if before else discount(n1, n2), before.parent_discount if before else discount(words[2], words[3]),
+        at, np.append(shared[:, 0], total - shared[:, 0].sum()), np.append(shared[:, 1], customers - shared[:, 1].sum()),
+        customers, tables, words,
+        before.discount if before else discount(ONCE_PAIRS), before.parent_discount if before else discount(ONCE_WORDS),
     )
 
 
 def train(docs: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: int = 1) -> tuple[DataFrame, list[Totals]]:
-    """The seating after the last sweep with what the sweeps after ``burn_in`` predict, and their totals.
+    """The seating of buckets and words with what the sweeps from ``burn_in`` on sampled, and their totals.
 
-    ``docs`` needs doc_id and text; those that ``held_out`` names are left out.
+    ``docs`` needs doc_id and text; those that ``held_out`` names are left out, only their words and contexts have a place.
     """
-    state = count_tokens(_rows(docs)).withColumns(
-        {
-            "ts": F.transform("cs", lambda c: F.lit(1).cast("long")),
-            "s": F.lit(1).cast("long"),
-            "pw": F.array().cast("array<double>"),
-            "pp": F.transform("cs", lambda c: F.lit(0.0)),
-        }
-    )
-    state = settle(state, "seating")
-    totals = _totals(state)
+    docs = _rows(docs)
+    at = layout(docs)
+    seated = settle(count_tokens(docs, at), "seating")
+    homes = settle(tell_homes(seated, at, None, False, seed), "words")
+    names = seated.where(F.col("kind") == NAMES).unionByName(homes.where(F.col("kind") == REQUEST))
+    asked = homes.where(F.col("kind") == ASKED)
+    totals = _totals(seated.unionByName(homes), at)
     samples: list[Totals] = []
     for k in range(sweeps):
-        state = settle(sweep(state, totals, [totals] if k > burn_in else [], seed * 1000 + k), "seating")
-        totals = _totals(state, totals)
+        rows = seated.where(F.col("kind") == SEATING).unionByName(homes.where(F.col("kind") == ANSWER))
+        seated = settle(sweep(rows, totals, k >= burn_in, seed * 1000 + k), "seating")
+        told = seated.where(F.col("kind") == TOLD_TABLES).unionByName(homes.where(F.col("kind") == WORDS)).unionByName(asked)
+        homes = settle(tell_homes(told, at, totals, k >= burn_in, seed * 1000 + k), "words")
+        totals = _totals(seated.unionByName(homes), at, totals)
         if k >= burn_in:
             samples.append(totals)
-    return state, samples
+    state = seated.where(F.col("kind") == SEATING).unionByName(homes.where(F.col("kind") == WORDS))
+    return state.unionByName(names), samples
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -246,83 +478,89 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    return b"".join(np.int64(len(a)).tobytes() + a.tobytes() for a in arrays)
-
-
-def _unpack(data: bytes, *dtypes: str) -> list[np.ndarray]:
-    out, at = [], 0
-    for dtype in dtypes:
-        n = int(np.frombuffer(data, "<i8", 1, at)[0])
-        out.append(np.frombuffer(data, dtype, n, at + 8))
-        at += 8 + out[-1].nbytes
-    return out
-
-
-def _model_rows(state: DataFrame, samples: list[Totals], buckets: int) -> DataFrame:
-    """The model as (bucket, task, payload): sorted words with counts and parent probabilities, and seen pairs."""
-    n = len(samples)
+def _model_rows(state: DataFrame, samples: list[Totals], partitions: int) -> DataFrame:
+    """The buckets' seatings, and for every bucket and home the words it asked for, with their samples."""
+    n = 2 * len(samples)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            own = Seating(batch)
-            batch = _recorded(batch, own, samples[-1:])
-            parent = np.stack(batch["pw"].tolist())
-            seen = np.concatenate(batch["pp"].tolist()) / n
-            count = own.by_word(own.c)
-            bucket = (mixed(own.w, 12) % np.uint64(buckets)).astype(np.int64)
-            for b in np.unique(bucket):
-                words = np.flatnonzero(bucket == b)
-                words = words[np.argsort(own.w[words].view(np.uint64))]
-                lengths = np.diff(np.append(own.begin, len(own.z)))[words]
-                pairs = np.concatenate([np.arange(own.begin[i], own.begin[i] + k) for i, k in zip(words, lengths, strict=True)])
-                data = _pack(own.w[words], count[words], parent[words].ravel(), lengths, own.z[pairs].astype("u1"), seen[pairs])
-                yield pd.DataFrame({"bucket": [b], "kind": [0], "gathered": [0], "payload": [data]})
-
-    return state.mapInPandas(run, "bucket long, kind int, gathered long, payload binary")
+        for home, rows in _by_key(batches):
+            w, c, _, told = _unpack(rows[0].payload, "<u8", "<i8", "<i8", "<i8")
+            told = told.reshape(n, -1)
+            for r in rows[1:]:
+                (i,) = _unpack(r.payload, "<u4")
+                data = _pack(np.array([VOCABULARY, r.source]), w[i], c[i], told[:, i].ravel())
+                yield _frame([(r.source, VOCABULARY, home, 0, 0, data)])
+
+    homes = _dealt(state.where(F.col("kind").isin(WORDS, REQUEST)), partitions).mapInPandas(run, ROW)
+    return state.where(F.col("kind").isin(SEATING, NAMES)).unionByName(homes)
 
 
 class Model:
-    """A bucket's words in memory."""
+    """A bucket's restaurants and words in memory.
 
-    def __init__(self, payloads: list[bytes], samples: list[Totals], total: int):
-        parts = [_unpack(p, "<i8", "<i8", "<f8", "<i8", "u1", "<f8") for p in payloads]
-        n = len(samples)
-        self.samples = samples
-        self.base = np.log10(0.5 / (total + 0.5 * (samples[0].words + 1)))
+    ``trained`` are the contexts and words of its training tokens, from which come the pairs seen once.
+    """
+
+    def __init__(self, payloads: list[bytes], samples: list[Totals], total: int, trained: tuple | None = None):
+        self.samples, n = samples, len(samples)
         self.scale = total + 0.5 * (samples[0].words + 1)
-        w, c, parent, lengths, z, p = (
-            (np.concatenate([x[k] for x in parts]) if parts else np.zeros(0, d)) for k, d in enumerate(("<i8", "<i8", "<f8", "<i8", "u1", "<f8"))
-        )
-        order = np.argsort(w.view(np.uint64))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.w, self.c, self.parent = w.view(np.uint64)[order], c[order], parent.reshape(-1, n)[order]
-        codes = np.repeat(place, lengths) * CONTEXTS + z
+        kinds = [_unpack(p, "<i8")[0].tolist() for p in payloads]
+        words = [_unpack(p, "<i8", "<u8", "<i8", "<i8")[1:] for p, k in zip(payloads, kinds, strict=True) if k[0] == VOCABULARY]
+        w, c = _joined([p[:2] for p in words], "<u8", "<i8")
+        told = np.concatenate([p[2].reshape(2 * n, -1) for p in words], axis=1) if words else np.zeros((2 * n, 0))
+        known = np.flatnonzero(c > 0)
+        self.w, first = np.unique(w[known], return_index=True)
+        first = known[first]
+        self.c = c[first]
+        self.parent = [t.parent(told[2 * k, first], told[2 * k + 1, first]) for k, t in enumerate(samples)]
+        self.unknown = [t.parent(0, 0) for t in samples]
+
+        names = {k[1]: _unpack(p, "<i8", "<u8")[1] for p, k in zip(payloads, kinds, strict=True) if k[0] == NAMES}
+        seated = {k[1]: Seating.read(p) for p, k in zip(payloads, kinds, strict=True) if k[0] == SEATING}
+        own = list(seated.values())
+        u = np.concatenate([x.u for x in own] + [samples[0].layout.spread])
+        customers = np.concatenate([x.n for x in own] + [0 * samples[0].customers[:-1]])
+        tables = np.concatenate([x.tables.reshape(n, -1) for x in own] + [np.zeros((n, len(u) - sum(len(x.u) for x in own)))], axis=1)
+        context, word = trained or (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        more, count = np.unique(context, return_counts=True)
+        new = ~np.isin(more, u)  # all their pairs are seen once
+        u = np.concatenate([u, more[new]])
+        self.u, first = np.unique(u, return_index=True)
+        customers = np.concatenate([customers, count[new]])[first]
+        tables = np.concatenate([tables, np.tile(count[new], (n, 1))], axis=1)[:, first]
+        self.customers = samples[0].shared(self.u, customers, samples[0].customers)
+        self.mass = [t.mass(t.shared(self.u, tables[k], t.tables)) for k, t in enumerate(samples)]
+
+        discount = samples[0].discount
+        codes = [self._codes(x.u[x.ui], names[b][x.wi]) for b, x in seated.items()]
+        parts = [x.c - discount * x.seen / n for x in own]
+        single, count = np.unique(self._codes(context, word), return_counts=True)
+        codes.append(single[count == 1])
+        parts.append(np.full(len(codes[-1]), 1 - discount))
+        codes, parts = np.concatenate(codes), np.concatenate(parts)
         by = np.argsort(codes)
-        self.codes, self.p = codes[by], p[by]
-        self.unknown = np.array([t.parent(0, 0) for t in samples])
+        self.codes, self.parts = codes[by], parts[by]
+
+    def _codes(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.u, context) * len(self.w) + np.searchsorted(self.w, word)
 
     def score(self, word: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """log10 probability, base log10 probability and whether known, of every (word, context)."""
-        at = np.minimum(np.searchsorted(self.w, word), max(0, len(self.w) - 1))
-        known = self.w[at] == word if len(self.w) else np.zeros(len(word), bool)
-        parent = np.where(known[:, None], self.parent[at], self.unknown) if len(self.w) else np.tile(self.unknown, (len(word), 1))
+        at, known = _find(self.w, word)
+        place, there = _find(self.u, context.astype(np.uint64))
+        j, seen = _find(self.codes, place * len(self.w) + at)
+        part = np.zeros(len(word))
+        seen &= known & there
+        part[seen] = self.parts[j[seen]]
         prob = np.zeros(len(word))
-        for k, t in enumerate(self.samples):
-            prob += t.predictive(0, 0, context, parent[:, k])
-        prob /= len(self.samples)
-        if len(self.codes):
-            code = at * CONTEXTS + context
-            j = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            seen = known & (self.codes[j] == code)
-            prob = np.where(seen, self.p[j], prob)
-        base = np.full(len(word), self.base)
-        if len(self.w):
-            base = np.where(known, np.log10((self.c[at] + 0.5) / self.scale), base)
-        return np.log10(prob), base, known
+        for mass, parent, unknown in zip(self.mass, self.parent, self.unknown, strict=True):
+            above = np.full(len(word), unknown)
+            above[known] = parent[at[known]]
+            prob += (np.where(there, mass[place], STRENGTH) if len(mass) else STRENGTH) * above
+        prob = (part + prob / len(self.samples)) / (STRENGTH + (np.where(there, self.customers[place], 0) if len(self.u) else 0))
+        count = np.zeros(len(word))
+        count[known] = self.c[at[known]]
+        return np.log10(prob), np.log10((count + 0.5) / self.scale), known
 
 
 def _sums(doc: np.ndarray, score: np.ndarray, base: np.ndarray, known: np.ndarray) -> bytes:
@@ -333,17 +571,16 @@ def _sums(doc: np.ndarray, score: np.ndarray, base: np.ndarray, known: np.ndarra
 
 
 def score(docs: DataFrame, state: DataFrame, samples: list[Totals]) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``.
+
+    ``docs`` are those that the model was trained with.
+    """
     total = int(samples[0].customers.sum())
-    buckets = max(12, -(-total // BUCKET_TOKENS))
-    size = F.aggregate("cs", F.lit(0).cast("long"), lambda a, x: a + x)
-    frequent = state.where(size > total // buckets)  # fewer words than buckets
-    hot_rows = [bytes(r["payload"]) for r in _model_rows(frequent, samples, 1).select("payload").collect()]
+    layout = samples[0].layout
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        hot = Model(hot_rows, samples, total)
         task, number = TaskContext.get().partitionId(), 0
         held: list[tuple] = []
         ids: list = []
@@ -352,23 +589,27 @@ def score(docs: DataFrame, state: DataFrame, samples: list[Totals]) -> DataFrame
 
         def flush() -> Iterator[pd.DataFrame]:
             gathered = (task << 32) + number
-            word, context, doc = (np.concatenate(x) for x in zip(*held, strict=True))
             lengths = np.concatenate(n_tokens)
             valid = np.array([i is not None for i in ids])
+            apart = np.array([held_out(i) for i in ids])
             info = _pack(np.array([int(i or 0) for i in ids], "<i8"), valid.astype("u1"), lengths)
-            common = np.isin(word, hot.w)
-            first = _sums(doc[common], *hot.score(word[common], context[common]))
-            yield pd.DataFrame({"bucket": [-1, -1], "kind": [1, 2], "gathered": [gathered] * 2, "payload": [info, first]})
-            word, context, doc = (x[~common] for x in (word, context, doc))
-            bucket = (mixed(word, 12) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((word, bucket))
-            word, context, doc, bucket = (x[order] for x in (word, context, doc, bucket))
-            edges = np.concatenate([np.searchsorted(bucket, np.arange(buckets)), [len(bucket)]])
-            for b, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-                if hi > lo:
-                    words, counts = np.unique(word[lo:hi], return_counts=True)
-                    data = _pack(words, counts.astype("<u4"), context[lo:hi].astype("u1"), doc[lo:hi].astype("<u4"))
-                    yield pd.DataFrame({"bucket": [b], "kind": [1], "gathered": [gathered], "payload": [data]})
+            yield _frame([(-1 - gathered, TOKENS, gathered, 0, 0, info)])
+            word, context, doc = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order, new = _order(context, word)
+            doc = (2 * doc + apart[doc])[order].astype("<u4")
+            context, word = context[order][new], word[order][new]
+            first, count = new, np.diff(np.append(new, len(doc)))
+            bucket = layout.bucket(context, word)
+            order = np.argsort(bucket, kind="stable")
+            context, word, first, count, bucket = (x[order] for x in (context, word, first, count, bucket))
+            out = []
+            for b, s in layout.split(bucket):
+                begin = np.cumsum(count[s]) - count[s]
+                docs = doc[np.repeat(first[s] - begin, count[s]) + np.arange(count[s].sum())]
+                data = _pack(*_pairs(context[s], word[s]), count[s].astype("<u4"), docs)
+                out.append((b, TOKENS, gathered, 0, 0, data))
+            yield _frame(out)
 
         for batch in batches:
             texts, keys = batch["text"].tolist(), batch["doc_id"].tolist()
@@ -386,23 +627,25 @@ def score(docs: DataFrame, state: DataFrame, samples: list[Totals]) -> DataFrame
             yield from flush()
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bucket, payloads, model = None, [], None
-        for batch in batches:
-            for r in batch.itertuples(index=False):
-                if r.bucket == -1:
-                    yield pd.DataFrame({"gathered": [r.gathered], "kind": [r.kind], "payload": [r.payload]})
-                    continue
-                if r.bucket != bucket:
-                    bucket, payloads, model = r.bucket, [], None
-                if r.kind == 0:
-                    payloads.append(r.payload)
-                    continue
-                if model is None:
-                    model, payloads = Model(payloads, samples, total), []
-                words, counts, context, doc = _unpack(r.payload, "<u8", "<u4", "u1", "<u4")
-                word = np.repeat(words, counts)
-                data = _sums(doc, *model.score(word, context.astype(np.int64)))
-                yield pd.DataFrame({"gathered": [r.gathered], "kind": [2], "payload": [data]})
+        for key, rows in _by_key(batches):
+            if key < 0:
+                for r in rows:
+                    yield pd.DataFrame({"gathered": [r.source], "kind": [1], "payload": [r.payload]})
+                continue
+            parts = [_unpack(r.payload, *PAIRS, "<u4", "<u4") for r in rows if r.kind == TOKENS]
+            if not parts:
+                continue
+            pairs = [(np.repeat(p[0], p[1]), p[2][p[3]]) for p in parts]
+            apart = [np.add.reduceat(p[5] & 1, np.cumsum(p[4], dtype=np.int64) - p[4], dtype=np.int64) for p in parts]
+            times = [np.minimum(2, p[4] - a) for p, a in zip(parts, apart, strict=True)]  # only one or more is asked
+            trained = tuple(
+                np.concatenate([np.repeat(p[k], n) for p, n in zip(pairs, times, strict=True)]) for k in (0, 1)
+            )
+            model = Model([r.payload for r in rows if r.kind != TOKENS], samples, total, trained)
+            sources = [r.source for r in rows if r.kind == TOKENS]
+            for source, part, (context, word) in zip(sources, parts, pairs, strict=True):
+                values = (np.repeat(x, part[4]) for x in model.score(word, context))
+                yield pd.DataFrame({"gathered": [source], "kind": [2], "payload": [_sums(part[5] >> 1, *values)]})
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         gathered, sums, info = None, None, None
@@ -433,12 +676,8 @@ def score(docs: DataFrame, state: DataFrame, samples: list[Totals]) -> DataFrame
         if gathered is not None:
             yield done()
 
-    kind = "bucket long, kind int, gathered long, payload binary"
-    rows = _rows(docs).mapInPandas(gather, kind).unionByName(_model_rows(state, samples, buckets))
-    # What needs no bucket goes on evenly.
-    dealt = rows.withColumn("key", F.when(F.col("bucket") < 0, -1 - F.abs(F.xxhash64("gathered", "kind"))).otherwise(F.col("bucket")))
-    dealt = dealt.repartition("key").sortWithinPartitions("bucket", "kind", "gathered").drop("key")
-    met = dealt.mapInPandas(meet, "gathered long, kind int, payload binary")
+    rows = _rows(docs).mapInPandas(gather, ROW).unionByName(_model_rows(state, samples, layout.buckets))
+    met = _dealt(rows, layout.buckets).mapInPandas(meet, "gathered long, kind int, payload binary")
     met = met.repartition("gathered").sortWithinPartitions("gathered", "kind")
     return met.mapInPandas(
         add, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

@@ -47,6 +47,38 @@ def test_predictions_sum_to_one(spark):
         assert (10**score).sum() == pytest.approx(1.0) and known.sum() == len(model.w)
 
 
+def test_contexts_are_whole_words(spark):
+    rows = [(i, "one_ab left two_ab right" if i % 2 else "two_ab right one_ab left") for i in range(40)]
+    held = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    rows += [(held[0], "one_ab left"), (held[1], "one_ab right")]
+    got = {r.doc_id: r for r in language_model.train_and_score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[held[0]].score > got[held[1]].score + 0.5  # the words before end alike
+    assert got[held[0]].base_score == pytest.approx(got[held[1]].base_score)
+
+
+def test_spread_contexts(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "LOOKED_AT", 1)
+    monkeypatch.setattr(language_model, "BUCKET_BYTES", 100)
+    texts = {i: "the " + " the ".join(f"w{i * k % 13} v{i * k % 5}" for k in range(9)) + f" only{i}" for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    state, samples = language_model.train(docs)
+    spread = samples[0].layout.spread
+    the = language_model.tokens(["the"])[0][0]
+    assert the in spread and samples[0].layout.buckets > 12
+    payloads = [bytes(r.payload) for r in language_model._model_rows(state, samples, 3).collect()]
+    kept = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 5 != 1]
+    word, context, _ = language_model.tokens(kept)
+    total = int(samples[0].customers.sum())
+    assert total == len(word) and samples[0].customers[np.flatnonzero(spread == the)[0]] == (context == the).sum()
+    model = language_model.Model(payloads, samples, total, (context, word))
+    for u in [*np.unique(context), np.uint64(12345)]:
+        words = np.append(model.w, np.uint64(12345))
+        assert (10 ** model.score(words, np.full(len(words), u))[0]).sum() == pytest.approx(1.0)
+    for r in language_model.score(docs, state, samples).collect():
+        word, context, _ = language_model.tokens([texts[r.doc_id]])
+        assert r.score == pytest.approx(model.score(word, context)[0].sum())
+
+
 def test_seating():
     rng = np.random.default_rng(1)
     customers = np.array([1, 2, 50, 1000, 100_000])
