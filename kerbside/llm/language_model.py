@@ -69,31 +69,32 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word, context, text
 
 
-def _dense(dtype: np.dtype) -> bool:
-    """Whether values are hashes or scores, which nothing makes smaller."""
-    return dtype.kind == "f" or dtype == np.uint64
+def _low(dtype: np.dtype) -> int:
+    """Bytes of a value that compression does not make smaller: the low ones of hashes and scores."""
+    return 6 if dtype.kind == "f" or dtype == np.uint64 else 0
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays in a row, integers compressed byte plane by byte plane."""
+    """Arrays in a row; high bytes are compressed plane by plane."""
     out = []
     for a in arrays:
-        data = a.tobytes()
-        if not _dense(a.dtype):
-            data = zlib.compress(np.frombuffer(data, "u1").reshape(len(a), -1).T.tobytes() if len(a) else b"", 1)
-        out += [np.int64(len(data)).tobytes(), data]
+        low = _low(a.dtype)
+        planes = np.frombuffer(a.tobytes(), "u1").reshape(-1, a.itemsize)
+        high = zlib.compress(planes[:, low:].T.tobytes(), 1)
+        out += [np.array([len(a), len(high)], "<i8").tobytes(), high, planes[:, :low].tobytes()]
     return b"".join(out)
 
 
 def _unpack(data: bytes, *dtypes: str) -> list[np.ndarray]:
     out, at = [], 0
     for dtype in map(np.dtype, dtypes):
-        n = int(np.frombuffer(data, "<i8", 1, at)[0])
-        values = data[at + 8 : at + 8 + n]
-        if not _dense(dtype):
-            values = np.frombuffer(zlib.decompress(values), "u1").reshape(dtype.itemsize, -1).T.tobytes()
-        out.append(np.frombuffer(values, dtype))
-        at += 8 + n
+        n, size = np.frombuffer(data, "<i8", 2, at).tolist()
+        low, at = _low(dtype), at + 16
+        planes = np.empty((n, dtype.itemsize), "u1")
+        planes[:, low:] = np.frombuffer(zlib.decompress(data[at : at + size]), "u1").reshape(-1, n).T if n else 0
+        planes[:, :low] = np.frombuffer(data, "u1", n * low, at + size).reshape(n, low)
+        out.append(np.frombuffer(planes.tobytes(), dtype))
+        at += size + n * low
     return out
 
 
@@ -566,7 +567,7 @@ class Model:
 def _sums(doc: np.ndarray, score: np.ndarray, base: np.ndarray, known: np.ndarray) -> bytes:
     docs, at = np.unique(doc, return_inverse=True)
     return _pack(
-        docs.astype("<i8"), np.bincount(at, score), np.bincount(at, base), np.bincount(at, known).astype("<i8")
+        np.diff(docs.astype("<i8"), prepend=0), np.bincount(at, score), np.bincount(at, base), np.bincount(at, known).astype("<i8")
     )
 
 
@@ -672,7 +673,7 @@ def score(docs: DataFrame, state: DataFrame, samples: list[Totals]) -> DataFrame
                 else:
                     doc, *parts = _unpack(r.payload, "<i8", "<f8", "<f8", "<i8")
                     for k, p in enumerate(parts):
-                        sums[k, doc] += p
+                        sums[k, np.cumsum(doc)] += p
         if gathered is not None:
             yield done()
 
