@@ -13,7 +13,7 @@ from kerbside.operators import visits
 from kerbside.operators.buildings import anchored_buildings
 from kerbside.operators.joins import distinct_by
 from kerbside.operators.reshape import monitor_long, monitor_wide
-from kerbside.operators.stops import Snapshot, snapshot_stops, stop_changes, store_stops
+from kerbside.operators.stops import Snapshot, snapshot_stops, stop_changes, stop_presence, store_stops
 from kerbside.operators.trips import clean_trips, name_routes, scan_trips
 from kerbside.plans.on_time import OnTimeTables, otp_report
 from kerbside.plans.trip_changes import route_diff, tripchange_report
@@ -237,6 +237,23 @@ def test_stops_are_counted_in_few_shuffles(snapshots, shuffled):
     assert hash_shuffles(planned(stop_changes(*snapshots))) <= 17
 
 
+def test_stops_are_counted_in_the_order_of_their_sort(snapshots, shuffled):
+    """The count takes no memory beside the sorted rows."""
+    plan = planned(stop_presence(*snapshots))
+    assert "HashAggregate" not in plan[: plan.index("Union")]
+
+
+def test_stops_are_counted_once_per_plan(snapshots):
+    place = ["visible_route_id", "non_anchor_point"]
+    sides = [snapshot_stops(s).groupBy(*place).count() for s in snapshots]
+    expected = Counter()
+    for side, found in enumerate(sides):
+        for route, point, n in rows(found):
+            expected[route, point, side] = n
+    got = Counter({(r, p, side): n for r, p, *both in rows(stop_presence(*snapshots)) for side, n in enumerate(both) if n})
+    assert got == expected
+
+
 def test_distinct_rows_by_keys(spark):
     df = spark.createDataFrame([(1, None), (1, None), (None, "a"), (None, "a"), (None, None), (1, "b")], "k long, v string")
     assert rows(distinct_by(df, ["k"])) == rows(df.distinct())
