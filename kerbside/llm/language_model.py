@@ -36,6 +36,8 @@ SWEEPS, BURN_IN = 3, 1
 STRENGTH, PARENT_STRENGTH = 5.0, 5.0
 #: Tokens that a task gathers before it hands them on, and bytes of text of a bucket.
 GATHERED = 3_000_000
+#: Characters of text that are hashed at once, and gathered tokens (whole buckets of them) that are sorted at once.
+HASHED, SORTED = 1_000_000, 400_000
 BUCKET_BYTES = 12_000_000
 #: One document of so many tells which contexts are spread; this moves rows and leaves nothing out.
 LOOKED_AT = 64
@@ -132,6 +134,13 @@ def _by_key(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, list]]:
         yield key, rows
 
 
+def _emptied(parts: list[np.ndarray]) -> np.ndarray:
+    """The arrays of ``parts`` as one; they are let go."""
+    joined = np.concatenate(parts)
+    parts.clear()
+    return joined
+
+
 def _joined(parts: list[list[np.ndarray]], *dtypes: str) -> list[np.ndarray]:
     return [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, d) for k, d in enumerate(dtypes)]
 
@@ -171,6 +180,17 @@ class Layout:
     def home(self, word: np.ndarray) -> np.ndarray:
         return (mixed(word, 13) % np.uint64(self.buckets)).astype(np.int64)
 
+    def groups(self, bucket: np.ndarray) -> Iterator[np.ndarray]:
+        """The places of ``bucket`` in the order of the buckets, in parts that hold whole buckets and few places beyond
+        ``SORTED``, so that a sort of one needs little memory."""
+        order = np.argsort(bucket, kind="stable")
+        edges = np.cumsum(np.bincount(bucket, minlength=self.buckets))
+        begin = 0
+        for end, after in zip(edges.tolist(), [*edges[1:].tolist(), None], strict=True):
+            if end > begin and (after is None or after - begin > SORTED):
+                yield order[begin:end]
+                begin = end
+
     def split(self, bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
         """The stretches of a sorted ``bucket``."""
         edges = np.searchsorted(bucket, np.arange(self.buckets + 1))
@@ -207,30 +227,33 @@ def _gathered_pairs(docs: DataFrame, at: Layout) -> DataFrame:
             order, new = _order(context, word)
             return context[order][new], word[order][new], np.add.reduceat(count[order], new)
 
-        def rows() -> pd.DataFrame:
-            joined = [np.concatenate(x) for x in zip(*held, strict=True)]
+        def rows() -> Iterator[pd.DataFrame]:
+            parts = [list(x) for x in zip(*held, strict=True)]
             held.clear()
-            u, w, c = merged(*joined)
-            del joined
-            bucket = at.bucket(u, w)
-            order = np.argsort(bucket, kind="stable")
-            u, w, c, bucket = u[order], w[order], c[order], bucket[order]
-            return _frame(
-                [(b, 0, 0, 0, 0, _pack(*_pairs(u[s], w[s]), c[s].astype("<u4"))) for b, s in at.split(bucket)]
-            )
+            context, word, count, bucket = (_emptied(x) for x in parts)
+            for own in at.groups(bucket):
+                u, w, c = merged(context[own], word[own], count[own])
+                b = at.bucket(u, w)
+                order = np.argsort(b, kind="stable")
+                u, w, c, b = u[order], w[order], c[order], b[order]
+                yield _frame([(b, 0, 0, 0, 0, _pack(*_pairs(u[s], w[s]), c[s].astype("<u4"))) for b, s in at.split(b)])
 
         for batch in batches:
             texts = batch["text"].tolist()
             kept = np.array([not held_out(k) for k in batch["doc_id"]], np.int32)
             for part in slices(texts):
-                word, context, text = tokens(texts[part])
-                held.append(merged(context, word, kept[part][text]))
-                size += len(held[-1][0])
+                begin, few = part.start, []
+                for own in slices(texts[part], HASHED):
+                    word, context, text = tokens(texts[begin + own.start : begin + own.stop])
+                    few.append((context, word, kept[begin + own.start : begin + own.stop][text]))
+                u, w, c = merged(*(np.concatenate(x) for x in zip(*few, strict=True)))
+                held.append((u, w, c, at.bucket(u, w).astype(np.int32)))
+                size += len(u)
                 if size > GATHERED:
-                    yield rows()
-                    held, size = [], 0
+                    yield from rows()
+                    size = 0
         if held:
-            yield rows()
+            yield from rows()
 
     return docs.mapInPandas(run, ROW)
 
@@ -595,28 +618,31 @@ def score(docs: DataFrame, state: DataFrame, samples: list[Totals]) -> DataFrame
             apart = np.array([held_out(i) for i in ids])
             info = _pack(np.array([int(i or 0) for i in ids], "<i8"), valid.astype("u1"), lengths)
             yield _frame([(-1 - gathered, TOKENS, gathered, 0, 0, info)])
-            word, context, doc = (np.concatenate(x) for x in zip(*held, strict=True))
+            parts = [list(x) for x in zip(*held, strict=True)]
             held.clear()
-            order, new = _order(context, word)
-            doc = (2 * doc + apart[doc])[order].astype("<u4")
-            context, word = context[order][new], word[order][new]
-            first, count = new, np.diff(np.append(new, len(doc)))
-            bucket = layout.bucket(context, word)
-            order = np.argsort(bucket, kind="stable")
-            context, word, first, count, bucket = (x[order] for x in (context, word, first, count, bucket))
-            out = []
-            for b, s in layout.split(bucket):
-                begin = np.cumsum(count[s]) - count[s]
-                docs = doc[np.repeat(first[s] - begin, count[s]) + np.arange(count[s].sum())]
-                data = _pack(*_pairs(context[s], word[s]), count[s].astype("<u4"), docs)
-                out.append((b, TOKENS, gathered, 0, 0, data))
-            yield _frame(out)
+            words, contexts, docs, buckets = (_emptied(x) for x in parts)
+            for own in layout.groups(buckets):
+                out = []
+                word, context, doc = words[own], contexts[own], docs[own]
+                order, new = _order(context, word)
+                doc = (2 * doc.astype(np.int64) + apart[doc])[order].astype("<u4")
+                context, word = context[order][new], word[order][new]
+                first, count = new, np.diff(np.append(new, len(doc)))
+                bucket = layout.bucket(context, word)
+                order = np.argsort(bucket, kind="stable")
+                context, word, first, count, bucket = (x[order] for x in (context, word, first, count, bucket))
+                for b, s in layout.split(bucket):
+                    begin = np.cumsum(count[s]) - count[s]
+                    there = doc[np.repeat(first[s] - begin, count[s]) + np.arange(count[s].sum())]
+                    data = _pack(*_pairs(context[s], word[s]), count[s].astype("<u4"), there)
+                    out.append((b, TOKENS, gathered, 0, 0, data))
+                yield _frame(out)
 
         for batch in batches:
             texts, keys = batch["text"].tolist(), batch["doc_id"].tolist()
-            for part in slices(texts):
+            for part in slices(texts, HASHED):
                 word, context, doc = tokens(texts[part])
-                held.append((word, context, doc + len(ids)))
+                held.append((word, context, (doc + len(ids)).astype(np.int32), layout.bucket(context, word).astype(np.int32)))
                 n_tokens.append(np.bincount(doc, minlength=len(texts[part])))
                 ids += keys[part]
                 size += len(word)

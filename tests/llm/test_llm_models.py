@@ -169,3 +169,16 @@ def test_pipeline_on_odd_rows(spark, odd_docs, no_docs, sf_dir):
         corpus_pipeline.pack(spark, docs, sf_dir).count()
     groups = corpus_pipeline.keep_distinct(spark, odd_docs, sf_dir).collect()
     assert sorted(r.doc_id for r in groups if r.doc_id is not None) == [0, 1, 2, 3, 4, 5, 5, 7, 8, 8, 2**60 + 1]
+
+
+def test_gathered_tokens_are_sorted_by_groups_of_whole_buckets(monkeypatch):
+    monkeypatch.setattr(language_model, "SORTED", 50)
+    layout = language_model.Layout(12)
+    for buckets in ([], [3], [11] * 200, *(np.random.default_rng(k).integers(0, 12, 400) for k in range(5))):
+        buckets = np.array(buckets, np.int32)
+        groups = list(layout.groups(buckets))
+        joined = np.concatenate(groups) if groups else np.zeros(0, np.int64)
+        assert joined.tolist() == np.argsort(buckets, kind="stable").tolist()
+        held = [set(buckets[g]) for g in groups]
+        assert sum(map(len, held)) == len(set(buckets))
+        assert all(len(g) <= 50 or len(h) == 1 for g, h in zip(groups, held, strict=True))
