@@ -30,6 +30,23 @@ def test_parts_give_the_ids_of_the_text(name, spaced):
     assert got == ids_of(name, texts)
 
 
+@pytest.mark.parametrize(("name", "spaced"), [(BYTE, True), (WORD, False)])
+def test_words_of_letters_are_encoded_together(name, spaced):
+    """Line feeds are cuts too, so that the words at their sides are remembered apart, and words share one text."""
+    words = ["Über", "naïve", "été", "Straße", "word", "İstanbul", "ÿ", "ǅ", "x|y", "|", "||", "a²", "ŉ"]
+    rng = random.Random(4)
+    texts = [" ".join(w + rng.choice(["", ".", "?!", "|"]) + rng.choice(["", "\n" + rng.choice(words)]) for w in rng.choices(words, k=9)) for _ in range(400)]
+    texts += ["\nword", "word\n", "a\n\nb c", "a \nb", "a\n b", "a\n\u0301b c", "a\r\nb"]
+    encoder = Encoder(public_tokenizers.path(name), spaced)
+    asked: list[int] = []
+    direct = encoder.direct
+    encoder.direct = lambda own: asked.append(len(own)) or direct(own)
+    got = [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.encode(texts)]
+    assert got == ids_of(name, texts)
+    assert not any("\n" in u[1:] for u in encoder.known if u.strip("\n") and "\n\n" not in u and " " not in u and "\r" not in u)
+    assert sum(asked[1:] if spaced else asked) < 60
+
+
 def crc(ids: list[int]) -> int:
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
