@@ -47,6 +47,35 @@ def test_words_of_letters_are_encoded_together(name, spaced):
     assert sum(asked[1:] if spaced else asked) < 60
 
 
+@pytest.mark.parametrize(("name", "spaced"), [(BYTE, True), (WORD, False)])
+def test_a_stretch_is_looked_up_once(name, spaced):
+    """Not once a word: texts are taken apart and put together in arrays, marks behind a word do not make it another."""
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            self.asked += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+        def __contains__(self, key):
+            self.asked += 1
+            return super().__contains__(key)
+
+    words = ["one", "two,", "two", "é.", "x1", "one!"]
+    texts = [" ".join(words * 50), "", " ", "\n".join(words * 40), "two  one\n", "a"] * 3
+    encoder = Encoder(public_tokenizers.path(name), spaced)
+    encoder.known = Counted()
+    got = [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.encode(texts)]
+    assert got == ids_of(name, texts)
+    assert encoder.known.asked < 40
+    assert encoder.encode([]) == []
+
+
 def crc(ids: list[int]) -> int:
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
