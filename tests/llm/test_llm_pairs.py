@@ -95,6 +95,28 @@ def test_signatures_are_shared_above_the_threshold():
         assert set(bands.signatures(base).tolist()) & set(bands.signatures(other).tolist())
 
 
+def test_empty_parts_are_no_signature():
+    """Sets that have nothing in common share next to none, and sets at the bound still do, also where parts become empty."""
+    rng = np.random.default_rng(12)
+    bands = ngram_join.Bands(80, 100)
+    for n in (300, 1000, 4000):
+        signed = np.concatenate([np.unique(bands.signatures(rng.integers(0, 1 << 63, n).astype(np.uint64))) for _ in range(40)])
+        assert len(signed) - len(np.unique(signed)) <= 8
+    for num in (50, 80, 90):
+        bands = ngram_join.Bands(num, 100)
+        for n in [*range(1, 200, 3), 333, 1000, 2001]:
+            base = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            k = int(bands.distance(2 * n))
+            other = base.copy()
+            other[: k // 2] = rng.integers(0, 1 << 63, k // 2).astype(np.uint64)
+            fewer = base[: -(-n * num // 100)]
+            # Whole parts of the band go first, so that as many as possible become empty.
+            parts = bands.parameters[bands.band(n)][0] * bands.parameters[bands.band(n)][1]
+            emptied = base[np.argsort(ngram_join.mixed(base, 5) % np.uint64(parts), kind="stable")][n - len(fewer) :]
+            for near in (other, fewer, np.sort(emptied)):
+                assert set(bands.signatures(base).tolist()) & set(bands.signatures(near).tolist()), (num, n)
+
+
 def test_long_sketches_keep_links_and_part_other_sets():
     rng = np.random.default_rng(11)
     for num, width in ((90, 3), (80, 5)):
