@@ -15,6 +15,7 @@ from kerbside.functions.text import clock_text, number_text, numeric, route_numb
 from kerbside.operators.joins import join_on, with_membership
 from kerbside.operators.stops import Snapshot, both_sides, enrich_routes, point_texts, stop_changes
 from kerbside.schemas import PLAN_ROUTE, VEHICLE
+from kerbside.session import staged
 
 # The compared attributes in the order of the report, with their published names.
 VARIABLES = {
@@ -159,19 +160,19 @@ def _route_ids(pending: Snapshot, plan: Snapshot, fixes: Fixes) -> DataFrame:
     return flagged.groupBy(*ID_KEY).agg(F.bool_or("in_old_rule").alias("in_old_rule"))
 
 
-def _paired_routes(pending: Snapshot, plan: Snapshot, fixes: Fixes) -> DataFrame:
+def _paired_routes(pending: Snapshot, plan: Snapshot, fixes: Fixes, staging: str | None) -> DataFrame:
     """Full join of the enriched routes of both snapshots, with every column marked by its side, their stop changes and
     the flag ``in_old_rule``.
 
     Everything is joined to the ids of both snapshots, which a full join's rows would be dealt by once more: the wide rows
-    of a side are moved by id only once.
+    of a side are moved by id only once. What is joined is staged part by part, if a folder is given.
     """
-    paired = _route_ids(pending, plan, fixes)
-    changes = stop_changes(pending, plan)
+    paired = staged(_route_ids(pending, plan, fixes), staging)
+    changes = staged(stop_changes(pending, plan, staging), staging)
     changes = changes.select(*_id_keys("visible_route_id"), *changes.columns[1:])
     paired = join_on(paired, changes, plain=ID_KEY)
     for snapshot, side in ((pending, "pend"), (plan, "plan")):
-        anchored = route_anchors(enrich_routes(snapshot), snapshot.points, fixes.anchor)
+        anchored = staged(route_anchors(enrich_routes(snapshot), snapshot.points, fixes.anchor), staging)
         marked = anchored.select(*_id_keys("visible_route_id"), *[F.col(c).alias(f"{c}_{side}") for c in anchored.columns])
         paired = join_on(paired, marked, plain=ID_KEY)
     return paired.withColumn("visible_route_id", F.when(~F.col("id_none"), F.col("id_key"))).drop(*ID_KEY)
@@ -216,9 +217,11 @@ class _Comparison:
         return reduce(add, self._amounts) > 0
 
 
-def _compare_routes(pending: Snapshot, plan: Snapshot, thresholds: Thresholds, fixes: Fixes) -> DataFrame:
+def _compare_routes(
+    pending: Snapshot, plan: Snapshot, thresholds: Thresholds, fixes: Fixes, staging: str | None
+) -> DataFrame:
     """``route_diff`` with the extra flag ``noted``: is there a text to show."""
-    routes = _paired_routes(pending, plan, fixes)
+    routes = _paired_routes(pending, plan, fixes, staging)
     seen = _Comparison(lambda name: number_text(routes, name), fixes.any_change)
 
     def old(name: str) -> Column:
@@ -268,10 +271,18 @@ def _compare_routes(pending: Snapshot, plan: Snapshot, thresholds: Thresholds, f
 
 
 def route_diff(
-    pending: Snapshot, plan: Snapshot, thresholds: Thresholds = Thresholds(), fixes: Fixes = Fixes()
+    pending: Snapshot,
+    plan: Snapshot,
+    thresholds: Thresholds = Thresholds(),
+    fixes: Fixes = Fixes(),
+    staging: str | None = None,
 ) -> DataFrame:
-    """One row per route of either snapshot with difference, new and old text of 14 attributes."""
-    return _compare_routes(pending, plan, thresholds, fixes).drop("noted")
+    """One row per route of either snapshot with difference, new and old text of 14 attributes.
+
+    With ``staging``, a shared folder, the parts of the plan (stops of a side, stop changes, routes of a side) are written
+    there one after another, and the shuffle files of one are gone before the next begins.
+    """
+    return _compare_routes(pending, plan, thresholds, fixes, staging).drop("noted")
 
 
 def change_long(diffs: DataFrame) -> DataFrame:
@@ -305,13 +316,15 @@ def tripchange_report(
     thresholds: Thresholds = Thresholds(),
     fixes: Fixes = Fixes(),
     repeated_routes: bool = False,
+    staging: str | None = None,
 ) -> DataFrame:
     """Changed routes with their differences and readable notes; changed routes without a note are left out.
 
     A snapshot holds a visible route id once, so the notes of a route are those of its row and need no further
-    shuffle. Set ``repeated_routes`` if ids repeat: all rows of an id then share the notes of all of them.
+    shuffle. Set ``repeated_routes`` if ids repeat: all rows of an id then share the notes of all of them. ``staging`` is
+    that of ``route_diff``.
     """
-    compared = _compare_routes(pending, plan, thresholds, fixes).filter("any_change")
+    compared = _compare_routes(pending, plan, thresholds, fixes, staging).filter("any_change")
     changed = compared.drop("noted")
     if repeated_routes:
         return join_on(changed, change_notes(change_long(changed)), null_safe=["visible_route_id"], how="inner")

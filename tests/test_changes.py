@@ -1,6 +1,7 @@
 """Differences between route plans on small plans."""
 
 import dataclasses
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from kerbside.plans.trip_changes import (
     route_diff,
     tripchange_report,
 )
+from kerbside.session import SHUFFLE_CLEANUP, stage
 
 ROUTES = (
     "record_id bigint, visible_route_id string, vehicle_id bigint, route_set_id bigint, name string, desired_load int, "
@@ -207,3 +209,42 @@ def test_missing_columns_are_named(spark):
     broken = dataclasses.replace(plan(spark, {}), routes=spark.range(1))
     with pytest.raises(ValueError, match="plan_route"):
         enrich_routes(broken)
+
+
+def test_parts_of_a_comparison_are_staged_one_by_one(spark, tmp_path):
+    """The same rows as in one plan, null and repeated keys included."""
+    old = plan(
+        spark, {}, {"record_id": 2, "visible_route_id": "2", "vehicle_id": None}, {"record_id": 3, "visible_route_id": None},
+        {"record_id": None, "visible_route_id": "4"}, {"record_id": 2, "visible_route_id": "2", "actual_load": 40},
+        stops=[(1, "I", 300, 1), (1, "O", 1, 301), (2, "X", 300, 200), (None, "I", None, 1)],
+    )
+    new = plan(
+        spark, {"name": "M"}, {"record_id": 2, "visible_route_id": "2", "vehicle_id": 11}, {"record_id": 5, "visible_route_id": None},
+        stops=[(1, "I", 301, 1), (2, "X", 300, 200), (2, "O", None, 302)],
+    )
+    fixes = Fixes(anchor=True, direction=True, any_change="abs")
+    parts = route_diff(old, new, fixes=fixes, staging=str(tmp_path))
+    assert sorted(map(str, parts.collect())) == sorted(map(str, route_diff(old, new, fixes=fixes).collect()))
+    # What is joined (ids, stop changes and the routes of either side), and before that the stops of either side.
+    assert parts._jdf.queryExecution().analyzed().toString().count("parquet") == 4
+    assert len(list(tmp_path.iterdir())) == 6
+
+
+def shuffle_files(spark) -> set[str]:
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f.getName() for f in blocks.localDirs() for f in f.listFiles() for f in f.listFiles() or [] if f.getName().endswith(".data")}
+
+
+def test_staging_removes_its_shuffle_files(spark, tmp_path):
+    rows = spark.range(20_000)
+    spark.conf.set(SHUFFLE_CLEANUP, "false")
+    before = shuffle_files(spark)
+    kept = stage(rows.repartition(4, "id"), str(tmp_path))
+    for _ in range(100):  # they are removed in the background
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert kept.count() == 20_000
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    spark.conf.unset(SHUFFLE_CLEANUP)
