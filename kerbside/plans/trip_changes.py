@@ -279,8 +279,8 @@ def route_diff(
 ) -> DataFrame:
     """One row per route of either snapshot with difference, new and old text of 14 attributes.
 
-    With ``staging``, a shared folder, the parts of the plan (stops of a side, stop changes, routes of a side) are written
-    there one after another, and the shuffle files of one are gone before the next begins.
+    With ``staging``, a shared folder, the parts of the plan (what serves requests and the stops of a side, stop changes,
+    routes of a side) are written there one after another; shuffle files of a part go once it is written (``stage``).
     """
     return _compare_routes(pending, plan, thresholds, fixes, staging).drop("noted")
 

@@ -225,9 +225,10 @@ def test_parts_of_a_comparison_are_staged_one_by_one(spark, tmp_path):
     fixes = Fixes(anchor=True, direction=True, any_change="abs")
     parts = route_diff(old, new, fixes=fixes, staging=str(tmp_path))
     assert sorted(map(str, parts.collect())) == sorted(map(str, route_diff(old, new, fixes=fixes).collect()))
-    # What is joined (ids, stop changes and the routes of either side), and before that the stops of either side.
+    # What is joined (ids, stop changes and the routes of either side), and before that of either side what serves
+    # requests and the stops.
     assert parts._jdf.queryExecution().analyzed().toString().count("parquet") == 4
-    assert len(list(tmp_path.iterdir())) == 6
+    assert len(list(tmp_path.iterdir())) == 8
 
 
 def shuffle_files(spark) -> set[str]:
